@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from featloom.functions.casts import feature_schema, to_double
 from featloom.functions.tiers import tier
-from featloom.functions.vectors import array_squared_distance, squared_distance
+from featloom.functions.vectors import nearest_in_batches, squared_distance, squared_distances
 from featloom.operators import clean as cleaning
 from featloom.operators import cluster as clustering
 from featloom.operators.features import (
@@ -364,13 +364,7 @@ def silhouette_by_metric(spark, sf_dir):
 
 def _fitted(spark, sf_dir):
     rows = _lineitem(spark, sf_dir).select(*KEYS, *FEATURES)
-    features = fit_features(rows, FEATURES)
-    scaled = features.transform(rows).drop("features").persist()
-    try:
-        kmeans = clustering.fit_kmeans(scaled, ClusterSpec())
-    finally:
-        scaled.unpersist()
-    return rows, clustering.join_models(features, kmeans)
+    return rows, clustering.fit_model(rows, FEATURES, ClusterSpec(), rows.count())
 
 
 def kmeans_fit(spark, sf_dir):
@@ -384,20 +378,18 @@ def kmeans_fit(spark, sf_dir):
     )
 
 
-def _fit_checks(labelled: DataFrame, distances: list[Column], origin: Column, score: float):
+def _fit_checks(labelled: DataFrame, nearest: Column, own: Column, origin: Column, score: float):
     """What has to hold of any fit, as one row over all rows.
 
     A distance by norms and dot product, as the model computes it, may differ
     in the last digits, hence the tolerance for the nearest centre.
     """
-    smallest = F.least(*distances)
-    of_label = F.array(*distances)[F.col("prediction")]
-    checked = labelled.select("prediction", smallest.alias("d"), of_label.alias("own"), origin.alias("o"))
+    checked = labelled.select("prediction", nearest.alias("d"), own.alias("own"), origin.alias("o"))
     return checked.agg(
         F.count("*").alias("n_rows"),
         F.count_if(F.col("own") > F.col("d") + 1e-6).alias("off_nearest"),
-        F.count_if(~F.col("prediction").between(0, len(distances) - 1)).alias("off_range"),
-        F.count_distinct("prediction").between(2, len(distances)).alias("labels_used"),
+        F.count_if(F.col("prediction") < 0).alias("off_range"),
+        (F.count_distinct("prediction") > 1).alias("labels_used"),
         (F.sum("d") < F.sum("o")).alias("better_than_one_cluster"),
         F.lit(-1.0 <= score <= 1.0).alias("score_in_range"),
     )
@@ -407,14 +399,19 @@ def kmeans_invariants(spark, sf_dir):
     rows, model = _fitted(spark, sf_dir)
     predictions = clustering.predict(rows, model)
     score = clustering.evaluate(predictions)
-    columns = dict(zip(SCALED, (F.col("_v")[i] for i in range(len(SCALED)))))
     scaled = predictions.withColumn("_v", vector_to_array("scaled_features"))
-    labelled = scaled.select("prediction", *[v.alias(c) for c, v in columns.items()])
-    distances = [
-        squared_distance(SCALED, [float(x) for x in c])
-        for c in model.stages[-1].clusterCenters()
-    ]
-    return _fit_checks(labelled, distances, squared_distance(SCALED, [0.0] * len(SCALED)), score)
+    columns = [F.col("_v")[i].alias(c) for i, c in enumerate(SCALED)]
+    centers = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    labelled = scaled.select("prediction", *columns).withColumn(
+        "_distances", squared_distances(SCALED, centers)
+    )
+    return _fit_checks(
+        labelled,
+        F.array_min("_distances"),
+        F.col("_distances")[F.col("prediction")],
+        squared_distance(SCALED, [0.0] * len(SCALED)),
+        score,
+    )
 
 
 def _embeddings(spark, sf_dir) -> DataFrame:
@@ -439,9 +436,17 @@ def kmeans_embeddings_invariants(spark, sf_dir):
     score = clustering.evaluate(predictions)
     centers = [[float(x) for x in c] for c in model.clusterCenters()]
     vector = F.col("embedding")
-    distances = [array_squared_distance(vector, c) for c in centers]
-    origin = array_squared_distance(vector, [0.0] * len(centers[0]))
-    return _fit_checks(predictions, distances, origin, score)
+    by_label = F.create_map(
+        *[x for i, c in enumerate(centers) for x in (F.lit(i), F.array(*map(F.lit, c)))]
+    )
+    own = F.zip_with(vector, by_label[F.col("prediction")], lambda x, c: (x - c) * (x - c))
+    return _fit_checks(
+        predictions,
+        nearest_in_batches(vector, centers)["distance"],
+        F.aggregate(own, F.lit(0.0), lambda total, d: total + d),
+        nearest_in_batches(vector, [[0.0] * len(centers[0])])["distance"],
+        score,
+    )
 
 
 def assign_embeddings(spark, sf_dir):

@@ -1,8 +1,10 @@
 """Squared Euclidean distances and the nearest centre.
 
-Two forms. Over scalar columns the arithmetic is written out, so it compiles
-into the stage's generated code; that suits the handful of columns of a feature
-table. Over an array column it uses higher-order functions, for wide vectors.
+Two forms. Over scalar columns the arithmetic is written out, so that it becomes
+part of the stage's generated code; that suits the handful of columns of a
+feature table. With many columns and centres such code grows too large for the
+JVM to compile and gets far slower than anything else, so wide vectors are
+labelled by numpy in Arrow batches instead.
 """
 
 from __future__ import annotations
@@ -11,13 +13,24 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
+Centers = Sequence[Sequence[float]]
+
+# Largest number of columns times centres that is written out.
+WRITTEN_OUT_TERMS = 64
+
 
 def feature_array(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c) for c in columns])
 
 
+def written_out(columns: Sequence[str], centers: Sequence) -> bool:
+    return len(columns) * len(centers) <= WRITTEN_OUT_TERMS
+
+
 def squared_distance(columns: Sequence[str], center: Sequence[float]) -> Column:
     if len(columns) != len(center):
         raise ValueError(f"centre has {len(center)} values for {len(columns)} columns")
@@ -25,16 +38,39 @@ def squared_distance(columns: Sequence[str], center: Sequence[float]) -> Column:
     return reduce(add, [d * d for d in differences])
 
 
-def array_squared_distance(vector: Column, center: Sequence[float]) -> Column:
-    literal = F.array(*[F.lit(float(x)) for x in center])
-    squares = F.zip_with(vector, literal, lambda x, c: (x - c) * (x - c))
-    return F.aggregate(squares, F.lit(0.0), lambda total, s: total + s)
+def squared_distances(columns: Sequence[str], centers: Centers) -> Column:
+    """Array of the distances to each centre, in order."""
+    return F.array(*[squared_distance(columns, c) for c in centers])
+
+
+def index_of_smallest(array_col: str) -> Column:
+    """Position from 0 of the smallest element; on a tie the lowest position.
+
+    Takes a column by name: as a column of its own, the array is computed once.
+    """
+    return (F.array_position(array_col, F.array_min(array_col)) - 1).cast("int")
+
+
+def nearest_in_batches(vector: Column, centers: Centers) -> Column:
+    """Struct of the nearest centre's index and its squared distance, for an
+    array column of any width. A null vector gives null."""
+    points = np.array(centers, dtype="float64")
 
+    @F.pandas_udf("cluster int, distance double")
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
+        present = vectors.notna().to_numpy()
+        found = pd.DataFrame(
+            {
+                "cluster": pd.Series(pd.NA, index=vectors.index, dtype="Int32"),
+                "distance": pd.Series(pd.NA, index=vectors.index, dtype="Float64"),
+            }
+        )
+        if present.any():
+            x = np.vstack(vectors[present].to_list())
+            # One centre at a time keeps the batch's working memory at its own size.
+            distances = np.column_stack([((x - p) ** 2).sum(axis=1) for p in points])
+            found.loc[present, "cluster"] = distances.argmin(axis=1)
+            found.loc[present, "distance"] = distances.min(axis=1)
+        return found
 
-def nearest(distances: Sequence[Column]) -> Column:
-    """Index of the smallest distance; on a tie the lowest index."""
-    smallest = F.least(*distances) if len(distances) > 1 else distances[0]
-    index = F.lit(None).cast("int")
-    for i in range(len(distances) - 1, -1, -1):
-        index = F.when(distances[i] == smallest, F.lit(i)).otherwise(index)
-    return index
+    return nearest(vector)

@@ -10,15 +10,26 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from featloom.functions.vectors import array_squared_distance, nearest, squared_distance
+from featloom.functions.vectors import (
+    Centers,
+    feature_array,
+    index_of_smallest,
+    nearest_in_batches,
+    squared_distances,
+    written_out,
+)
+from featloom.operators.features import fit_features
 from featloom.specs import ClusterSpec
 
-Centers = Sequence[Sequence[float]]
+# A fit passes over the rows tens of times. Below this many rows per task more
+# tasks would not pay; tables of that size are left as they are stored.
+_ROWS_PER_TASK = 50_000
 
 
 def fit_kmeans(scaled: DataFrame, spec: ClusterSpec) -> KMeansModel:
-    """Fit on the scaled vector column. The input is read once per iteration,
-    so persist it first unless it is cheap to compute."""
+    """Fit on the scaled vector column. The estimator keeps the vectors, and
+    only them, in memory or on disk for its iterations; do not persist the
+    input as well."""
     return KMeans(
         k=spec.k,
         seed=spec.seed,
@@ -26,7 +37,29 @@ def fit_kmeans(scaled: DataFrame, spec: ClusterSpec) -> KMeansModel:
         tol=spec.tol,
         featuresCol=spec.scaled_features_col,
         predictionCol=spec.prediction_col,
-    ).fit(scaled)
+    ).fit(scaled.select(spec.scaled_features_col))
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Use all cores for a table of many rows stored in few pieces."""
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, rows // _ROWS_PER_TASK)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
+def fit_model(
+    df: DataFrame, columns: Sequence[str], spec: ClusterSpec, rows: int = 0
+) -> PipelineModel:
+    """Scaler and clusters fitted on the columns, as one model. With the number
+    of rows given, the fit uses more tasks than the source has if it helps."""
+    features = fit_features(
+        df,
+        columns,
+        features_col=spec.features_col,
+        scaled_features_col=spec.scaled_features_col,
+    )
+    # The plain columns are what moves, not the vectors made of them.
+    scaled = features.transform(spread(df.select(*columns), rows))
+    return join_models(features, fit_kmeans(scaled, spec))
 
 
 def join_models(features: PipelineModel, kmeans: KMeansModel) -> PipelineModel:
@@ -96,15 +129,17 @@ def assign_nearest(
     df: DataFrame, columns: Sequence[str], centers: Centers, output: str = "prediction"
 ) -> DataFrame:
     """Label each row with its nearest given centre, by scalar columns."""
-    return df.withColumn(output, nearest([squared_distance(columns, c) for c in centers]))
+    if not written_out(columns, centers):
+        return df.withColumn(output, nearest_in_batches(feature_array(columns), centers)["cluster"])
+    distances = df.withColumn("_distances", squared_distances(columns, centers))
+    return distances.withColumn(output, index_of_smallest("_distances")).drop("_distances")
 
 
 def assign_nearest_array(
     df: DataFrame, vector_col: str, centers: Centers, output: str = "prediction"
 ) -> DataFrame:
     """Label each row with its nearest given centre, by an array column."""
-    vector = F.col(vector_col)
-    return df.withColumn(output, nearest([array_squared_distance(vector, c) for c in centers]))
+    return df.withColumn(output, nearest_in_batches(F.col(vector_col), centers)["cluster"])
 
 
 def centers_of(
@@ -124,6 +159,8 @@ def lloyd_step(df: DataFrame, columns: Sequence[str], centers: Centers) -> DataF
 
 def within_cluster_cost(df: DataFrame, columns: Sequence[str], centers: Centers) -> DataFrame:
     """Sum of squared distances of all rows to their nearest centre, one row."""
-    distances = [squared_distance(columns, c) for c in centers]
-    smallest = F.least(*distances) if len(distances) > 1 else distances[0]
+    if written_out(columns, centers):
+        smallest = F.array_min(squared_distances(columns, centers))
+    else:
+        smallest = nearest_in_batches(feature_array(columns), centers)["distance"]
     return df.agg(F.sum(smallest).alias("cost"))

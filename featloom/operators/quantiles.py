@@ -37,6 +37,16 @@ def quantile_bounds(
     return {c: (found[c][0], found[c][1]) for c in columns}
 
 
+def _around(fractions: Sequence[float]) -> list[float]:
+    """Fractions whose approximate quantiles lie on both sides of the given ones."""
+    slack = 2.0 / _NARROWING_ACCURACY
+    return [min(1.0, max(0.0, f + s)) for f in fractions for s in (-slack, slack)]
+
+
+def _sketch(values: Column, fractions: Sequence[float]) -> Column:
+    return F.percentile_approx(values, _around(fractions), _NARROWING_ACCURACY)
+
+
 @dataclass
 class _Search:
     """One wanted order statistic, known to lie strictly between low and high."""
@@ -49,8 +59,8 @@ class _Search:
     answer: float | None = None
 
     @property
-    def sortable(self) -> bool:
-        return self.inside <= _SORTABLE_VALUES
+    def wide(self) -> bool:
+        return self.answer is None and self.inside > _SORTABLE_VALUES
 
     def values(self) -> Column:
         """The column's value where it is still a candidate, else null."""
@@ -62,12 +72,6 @@ class _Search:
             keep &= value < self.high
         return F.when(keep, value)
 
-    def sketch(self) -> Column:
-        """Two values around the wanted one, by approximate quantiles."""
-        at, slack = self.rank / self.inside, 2.0 / _NARROWING_ACCURACY
-        around = [max(0.0, at - slack), min(1.0, at + slack)]
-        return F.percentile_approx(self.values(), around, _NARROWING_ACCURACY)
-
     def sizes(self, low: float, high: float) -> Column:
         """Exact numbers of candidates below, at, between, at and above the two."""
         v = self.values()
@@ -80,12 +84,14 @@ class _Search:
         )
 
     def narrow(self, low: float, high: float, sizes: Sequence[int]) -> None:
-        ranges = [(self.low, low), low, (low, high), high, (high, self.high)]
-        for part, size in zip(ranges, sizes):
+        """Go on with the part the wanted rank falls into."""
+        parts = [(self.low, low), low, (low, high), high, (high, self.high)]
+        for part, size in zip(parts, sizes):
             if self.rank > size:
                 self.rank -= size
             elif isinstance(part, tuple):
-                self.low, self.high, self.inside = *part, size
+                self.low, self.high = part
+                self.inside = size
                 return
             else:
                 self.answer = part
@@ -107,21 +113,28 @@ def exact_quantiles(
     fixed number of candidates is left, those alone are sorted. The passes are
     aggregates over the named columns, shared by all searches.
     """
-    present = [F.count(_Search(c, 1, 1).values()).alias(c) for c in columns]
-    totals = df.agg(*present).first()
-    searches = [
-        _Search(c, max(1, math.ceil(p * totals[c])), totals[c])
-        for c in columns
-        for p in probabilities
-        if totals[c] > 0
-    ]
-    while wide := [s for s in searches if s.answer is None and not s.sortable]:
-        around = df.agg(*[s.sketch().alias(f"s{i}") for i, s in enumerate(wide)]).first()
-        counted = df.agg(
-            *[s.sizes(*around[i]).alias(f"s{i}") for i, s in enumerate(wide)]
-        ).first()
-        for search, (low, high), sizes in zip(wide, around, counted):
+    everything = {c: _Search(c, 1, 1).values() for c in columns}
+    first = df.agg(
+        *[F.count(v).alias(f"n_{c}") for c, v in everything.items()],
+        *[_sketch(v, probabilities).alias(f"q_{c}") for c, v in everything.items()],
+    ).first()
+    searches, around = [], []
+    for c in columns:
+        n, ends = first[f"n_{c}"], first[f"q_{c}"]
+        for i, p in enumerate(probabilities if n else []):
+            searches.append(_Search(c, max(1, math.ceil(p * n)), n))
+            around.append(ends[2 * i : 2 * i + 2])
+
+    pending = list(zip(searches, around))
+    while pending := [(s, ends) for s, ends in pending if s.wide]:
+        wide = [s for s, _ in pending]
+        counted = df.agg(*[s.sizes(*ends).alias(f"s{i}") for i, (s, ends) in enumerate(pending)])
+        for (search, (low, high)), sizes in zip(pending, counted.first()):
             search.narrow(low, high, sizes)
+        if wide := [s for s in wide if s.wide]:
+            sketches = [_sketch(s.values(), [s.rank / s.inside]) for s in wide]
+            row = df.agg(*[q.alias(f"s{i}") for i, q in enumerate(sketches)]).first()
+            pending = list(zip(wide, row))
 
     if left := [s for s in searches if s.answer is None]:
         answers = df.agg(*[s.sorted_value().alias(f"s{i}") for i, s in enumerate(left)]).first()

@@ -14,6 +14,10 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from featloom.functions.vectors import written_out
+from featloom.operators.cluster import evaluate
+from featloom.operators.features import assemble
+
 
 def _sum(terms: Sequence[Column]) -> Column:
     return reduce(add, terms)
@@ -38,31 +42,38 @@ def silhouette(
     predictions: DataFrame, columns: Sequence[str], prediction_col: str = "prediction"
 ) -> DataFrame:
     """One row with the mean silhouette. The moments, one row per cluster, go
-    into the second pass as literals."""
+    into the second pass as literals; with too many columns and clusters for
+    that, the ML evaluator takes over."""
     moments = cluster_moments(predictions, columns, prediction_col).collect()
     if len(moments) < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    label = F.col(prediction_col)
+    if not written_out(columns, moments):
+        vectors = assemble(predictions.select(*columns, prediction_col), columns, "_vector")
+        score = evaluate(vectors, "_vector", prediction_col)
+        return predictions.sparkSession.createDataFrame([(score,)], "silhouette double")
 
     def mean_distance(m: Row) -> Column:
         dot = _sum([F.col(c) * (m[f"sum_{i}"] / m["size"]) for i, c in enumerate(columns)])
-        return _squared_norm(columns) + F.lit(m["squares"] / m["size"]) - dot * 2.0
-
-    # A row is not its own neighbour: its cluster's mean is over size - 1 rows.
-    own = F.coalesce(
-        *[
-            F.when(label == m["cluster"], mean_distance(m) * (m["size"] / max(m["size"] - 1, 1)))
-            for m in moments
-        ]
-    )
-    other = F.least(*[F.when(label != m["cluster"], mean_distance(m)) for m in moments])
-    alone = label.isin([m["cluster"] for m in moments if m["size"] == 1])
+        return F.col("_norm") + F.lit(m["squares"] / m["size"]) - dot * 2.0
+
+    def own_mean(i: int, m: Row) -> Column:
+        # A row is not its own neighbour: its cluster's mean is over size - 1 rows.
+        mean = F.col("_means")[i]
+        return F.when(_is(m), mean * (m["size"] / (m["size"] - 1)) if m["size"] > 1 else F.lit(0.0))
 
+    def _is(m: Row) -> Column:
+        return F.col(prediction_col) == m["cluster"]
+
+    own = F.coalesce(*[own_mean(i, m) for i, m in enumerate(moments)])
+    other = F.least(*[F.when(~_is(m), F.col("_means")[i]) for i, m in enumerate(moments)])
+    alone = F.col(prediction_col).isin([m["cluster"] for m in moments if m["size"] == 1])
+    a, b = F.col("own"), F.col("other")
     score = (
-        F.when(F.col("alone"), 0.0)
-        .when(F.col("own") < F.col("other"), 1 - F.col("own") / F.col("other"))
-        .when(F.col("own") > F.col("other"), F.col("other") / F.col("own") - 1)
-        .otherwise(0.0)
+        F.when(F.col("alone") | (a == b), 0.0).when(a < b, 1 - a / b).otherwise(b / a - 1)
+    )
+    return (
+        predictions.select(prediction_col, *columns, _squared_norm(columns).alias("_norm"))
+        .select(prediction_col, F.array(*[mean_distance(m) for m in moments]).alias("_means"))
+        .select(own.alias("own"), other.alias("other"), alone.alias("alone"))
+        .agg(F.avg(score).alias("silhouette"))
     )
-    distances = predictions.select(own.alias("own"), other.alias("other"), alone.alias("alone"))
-    return distances.agg(F.avg(score).alias("silhouette"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,14 +16,12 @@ from featloom.operators.clean import clean
 from featloom.operators.cluster import (
     cluster_sizes,
     evaluate,
-    fit_kmeans,
-    join_models,
+    fit_model,
     model_centers,
     predict,
     result_columns,
     save_model,
 )
-from featloom.operators.features import fit_features
 from featloom.operators.ids import dense_ids, number_stored_rows
 from featloom.operators.points import build_points
 from featloom.sources.collection import CollectionInfo, CollectionStore
@@ -55,9 +52,7 @@ class RunResult:
 def ingest(spark: SparkSession, spec: PipelineSpec) -> CollectionInfo:
     """Delimited text to the input collection, in one pass over the text."""
     columns, carried = spec.clean.columns, spec.clean.passthrough
-    rows = load_features(
-        spark, spec.source_path, columns, spec.separator, passthrough=carried
-    )
+    rows = load_features(spark, spec.source_path, columns, spec.separator, carried)
     store = CollectionStore(spark, spec.collections.root)
     name = spec.collections.input_name
     with store.staging(name) as path:
@@ -84,38 +79,22 @@ def preprocess(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
 def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
     """Cleaned Parquet to predictions and saved model.
 
-    The scaled rows are persisted, spilling to disk, for the many passes of the
-    fit; the score, the sizes and the output are taken from them as well.
+    The source is narrow and stored by columns, so it is scanned again for
+    scaler, fit, output and score rather than kept.
     """
     columns, settings = spec.clean.columns, spec.cluster
     source = read_parquet(spark, spec.preprocessed_path)
-    features = fit_features(
-        source,
-        columns,
-        features_col=settings.features_col,
-        scaled_features_col=settings.scaled_features_col,
-    )
-    scaled = (
-        features.transform(source)
-        .drop(settings.features_col)
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    rows = source.count()
+    model = fit_model(source, columns, settings, rows)
+    predictions = predict(source, model)
+    result = result_columns(predictions, columns, settings.prediction_col, settings.passthrough)
+    write_parquet(result, spec.predictions_path)
+    score = evaluate(
+        predictions, settings.scaled_features_col, settings.prediction_col, settings.metric
     )
-    try:
-        kmeans = fit_kmeans(scaled, settings)
-        predictions = predict(scaled, kmeans)
-        result = result_columns(
-            predictions, columns, settings.prediction_col, settings.passthrough
-        )
-        write_parquet(result, spec.predictions_path)
-        score = evaluate(
-            predictions, settings.scaled_features_col, settings.prediction_col, settings.metric
-        )
-    finally:
-        scaled.unpersist()
-    model = join_models(features, kmeans)
     save_model(model, spec.model_path)
     stored = read_parquet(spark, spec.predictions_path)
-    log.info("silhouette %.4f", score)
+    log.info("%d rows clustered, %s %.4f", rows, settings.metric, score)
     return ClusterResult(
         predictions=stored,
         model=model,
