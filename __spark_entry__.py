@@ -543,20 +543,21 @@ def scroll_page_gaps(spark, sf_dir):
 
 
 def next_offset(spark, sf_dir):
-    """Next offsets from several places, in collections without and with gaps."""
+    """Next offsets from several places, in collections without and with gaps;
+    -1 stands for none."""
     dense = _part_collection(spark, sf_dir)
     store = _store(spark)
     store.recreate(
         "gaps", len(PART_COLUMNS), points=_part_points(spark, sf_dir).where("id % 3 = 0")
     )
     gaps = store.open("gaps")
-    offsets = (None, 50, 150)
     rows = [
-        (name, -1 if offset is None else offset, collection.next_offset(40, offset))
+        (name, offset, collection.next_offset(40, None if offset < 0 else offset))
         for name, collection in (("dense", dense), ("gaps", gaps))
-        for offset in offsets
+        for offset in (-1, 50, 150)
     ]
-    return spark.createDataFrame(rows, "ids string, start long, following long")
+    found = spark.createDataFrame(rows, "ids string, start long, following long")
+    return found.na.fill(-1, ["following"])
 
 
 def full_scan(spark, sf_dir):

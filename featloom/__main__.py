@@ -34,7 +34,7 @@ def _spec(args: argparse.Namespace) -> PipelineSpec:
     )
 
 
-def main(argv: list[str] | None = None) -> None:
+def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="featloom")
     parser.add_argument("mode", nargs="?", default="preprocess")
     parser.add_argument("--source-path")
@@ -46,8 +46,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--row-limit", type=int, help="rows kept by preprocess; -1 keeps all")
     parser.add_argument("--k", type=int, default=PipelineSpec().cluster.k)
     parser.add_argument("--seed", type=int, default=PipelineSpec().cluster.seed)
-    args = parser.parse_args(argv)
+    return parser
+
 
+def main(argv: list[str] | None = None) -> None:
+    args = _parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.appName(f"featloom-{args.mode}").getOrCreate()
     try:

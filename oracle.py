@@ -206,7 +206,7 @@ WHERE p_partkey % 3 = 0 AND p_partkey >= 50 ORDER BY id LIMIT 40""",
 starts AS (SELECT unnest([-1, 50, 150]) AS start),
 placed AS (SELECT ids, start, id, row_number() OVER (PARTITION BY ids, start ORDER BY id) AS place
   FROM ids, starts WHERE id >= start)
-SELECT ids, CAST(start AS BIGINT) AS start, max(CASE WHEN place = 41 THEN id END) AS following
+SELECT ids, CAST(start AS BIGINT) AS start, coalesce(max(CASE WHEN place = 41 THEN id END), -1) AS following
 FROM placed GROUP BY ids, start""",
     "full_scan": "SELECT CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part",
     "upsert": _UPSERTED,
