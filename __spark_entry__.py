@@ -85,6 +85,8 @@ SCALED_CENTERS = (
     (0.0, 0.0, 0.0, 0.0),
 )
 PART_COLUMNS = ("p_size", "p_retailprice")
+# Small enough that pages cross blocks.
+PART_BLOCK = 60
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -521,7 +523,9 @@ def _part_collection(spark, sf_dir):
     with store.staging("parts") as path:
         numbered = dense_ids(parts, path, ["p_name", "p_partkey"])
         points = build_points(numbered, PART_COLUMNS, passthrough=["p_name", "p_partkey"])
-        store.recreate("parts", len(PART_COLUMNS), points=points)
+        store.recreate(
+            "parts", len(PART_COLUMNS), points=points, together=True, block_size=PART_BLOCK
+        )
     return store.open("parts")
 
 
@@ -537,7 +541,7 @@ def scroll_page_gaps(spark, sf_dir):
     """A page of a collection whose ids have gaps."""
     store = _store(spark)
     gaps = _part_points(spark, sf_dir).where("id % 3 = 0")
-    store.recreate("gaps", len(PART_COLUMNS), points=gaps)
+    store.recreate("gaps", len(PART_COLUMNS), points=gaps, block_size=PART_BLOCK)
     page = store.open("gaps").scroll(40, 50)
     return page.select("id", "payload.p_name", "payload.p_retailprice")
 
@@ -547,9 +551,8 @@ def next_offset(spark, sf_dir):
     -1 stands for none."""
     dense = _part_collection(spark, sf_dir)
     store = _store(spark)
-    store.recreate(
-        "gaps", len(PART_COLUMNS), points=_part_points(spark, sf_dir).where("id % 3 = 0")
-    )
+    every_third = _part_points(spark, sf_dir).where("id % 3 = 0")
+    store.recreate("gaps", len(PART_COLUMNS), points=every_third, block_size=PART_BLOCK)
     gaps = store.open("gaps")
     rows = [
         (name, offset, collection.next_offset(40, None if offset < 0 else offset))

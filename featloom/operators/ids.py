@@ -52,15 +52,24 @@ def number_stored_rows(spark: SparkSession, path: str, id_col: str = "id") -> Da
     )
 
 
+def positioned(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """The rows sorted by key, those of equal key in the order they are read.
+
+    The position read at also counts in splitting the sort into partitions, so
+    one key's rows, however many, are shared among tasks.
+    """
+    placed = df.withColumn("_position", F.monotonically_increasing_id())
+    return placed.orderBy(*order_by, "_position").drop("_position")
+
+
 def dense_ids(
     df: DataFrame, staging_path: str, order_by: Sequence[str] = (), id_col: str = "id"
 ) -> DataFrame:
     """Number any DataFrame, by key or, without one, in the order it is read.
 
     The rows are written to ``staging_path`` first (overwritten), sorted over
-    all partitions if there is a key. That fixes each row's place even where
-    key ties or the input's own order would not.
+    all partitions if there is a key.
     """
-    ordered = df.orderBy(*order_by) if order_by else df
-    ordered.write.mode("overwrite").parquet(staging_path)
+    rows = positioned(df, order_by) if order_by else df
+    rows.write.mode("overwrite").parquet(staging_path)
     return number_stored_rows(df.sparkSession, staging_path, id_col)

@@ -57,7 +57,9 @@ def ingest(spark: SparkSession, spec: PipelineSpec) -> CollectionInfo:
     name = spec.collections.input_name
     with store.staging(name) as path:
         points = build_points(dense_ids(rows, path), columns, passthrough=carried)
-        info = store.recreate(name, len(columns), spec.collections.distance, points)
+        info = store.recreate(
+            name, len(columns), spec.collections.distance, points, together=True
+        )
     log.info("%s: %d rows ingested", name, info.points_count)
     return info
 
@@ -115,7 +117,11 @@ def publish(spark: SparkSession, spec: PipelineSpec) -> CollectionInfo:
     )
     store = CollectionStore(spark, spec.collections.root)
     info = store.recreate(
-        spec.collections.output_name, len(columns), spec.collections.distance, points
+        spec.collections.output_name,
+        len(columns),
+        spec.collections.distance,
+        points,
+        together=True,
     )
     log.info("%s: %d rows published", info.name, info.points_count)
     return info

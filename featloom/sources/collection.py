@@ -5,13 +5,16 @@ of a name tells its settings, its size and which of its two slots holds its
 points. New contents go to the slot not in use, then the registry row makes them
 the current ones, so a reader sees the old points or the new ones and never a
 half-written set. One writer per collection at a time is assumed.
+
+A slot is partitioned into blocks of consecutive ids and sorted by id within, so
+that a page is found by listing folders, without opening the files of others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -19,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from featloom.functions.casts import to_double
 
 _REGISTRY_SCHEMA = (
-    "name string, version long, vector_size int, distance string, "
+    "name string, version long, vector_size int, distance string, block_size long, "
     "points_count long, min_id long, max_id long, slot int"
 )
+# Ids per block: some hundred megabytes of narrow points.
+_BLOCK_SIZE = 4_000_000
 # Up to this many new ids (8 bytes each) an upsert broadcasts them.
 _BROADCAST_IDS = 2_000_000
 
@@ -32,10 +37,11 @@ class CollectionInfo:
     version: int
     vector_size: int
     distance: str
-    points_count: int
-    min_id: int | None
-    max_id: int | None
-    slot: int | None
+    block_size: int
+    points_count: int = 0
+    min_id: int | None = None
+    max_id: int | None = None
+    slot: int | None = None
 
     @property
     def dense(self) -> bool:
@@ -45,10 +51,15 @@ class CollectionInfo:
 
 @dataclass(frozen=True)
 class Collection:
-    """One version of a collection, with its points (id, vector, payload)."""
+    """One version of a collection, for reading."""
 
     info: CollectionInfo
-    points: DataFrame
+    blocks: DataFrame  # id, vector, payload and the block they are in
+
+    @property
+    def points(self) -> DataFrame:
+        """All points: id, vector, payload."""
+        return self.blocks.drop("block")
 
     def scan(
         self, columns: Sequence[str], strict: bool = False, passthrough: Sequence[str] = ()
@@ -57,7 +68,7 @@ class Collection:
         they are. Only these fields are read from storage."""
         fields = [to_double(F.col(f"payload.{c}"), strict).alias(c) for c in columns]
         carried = [F.col(f"payload.{c}") for c in passthrough if c not in columns]
-        return self.points.select(*fields, *carried)
+        return self.blocks.select(*fields, *carried)
 
     def scroll(self, limit: int = 1000, offset: int | None = None) -> DataFrame:
         """One page: ``limit`` points from id ``offset`` on, in id order, with
@@ -84,12 +95,26 @@ class Collection:
         return self.info.min_id if offset is None else max(offset, self.info.min_id)
 
     def _from(self, offset: int | None, limit: int) -> DataFrame:
-        """The points a page is taken from. With no gaps in the ids both ends of
-        the page are known, and files outside of it are skipped by their
-        statistics; else only the lower end is."""
+        """The points from the offset on, up to where ``limit`` of them are sure
+        to be found; whole blocks outside of that are never opened.
+
+        With no gaps in the ids the end follows from the start. Else blocks are
+        added, twice as many each time, until the ids counted in them suffice.
+        """
         start = self._start(offset)
-        points = self.points.where(F.col("id") >= start)
-        return points.where(F.col("id") < start + limit) if self.info.dense else points
+        first, last = start // self.info.block_size, self.info.max_id // self.info.block_size
+        after = F.col("id") >= start
+        if self.info.dense:
+            end = start + limit - 1
+            blocks = F.col("block").between(first, end // self.info.block_size)
+            return self.blocks.where(blocks & after & (F.col("id") <= end))
+        width = 1
+        while first + width <= last:
+            found = self.blocks.where(F.col("block").between(first, first + width - 1) & after)
+            if found.count() >= limit:
+                break
+            width *= 2
+        return self.blocks.where(F.col("block").between(first, first + width - 1) & after)
 
 
 class CollectionStore:
@@ -137,11 +162,6 @@ class CollectionStore:
         found = self.find(name)
         return found is not None and found.points_count > 0
 
-    def _commit(self, info: CollectionInfo) -> CollectionInfo:
-        row = self.spark.createDataFrame([vars(info)], _REGISTRY_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self._registry_path)
-        return info
-
     def open(self, name: str) -> Collection:
         """The collection as it is now, for reading. No data is an error."""
         info = self.info(name)
@@ -149,6 +169,11 @@ class CollectionStore:
             raise ValueError(f"no data in collection {name}")
         return Collection(info, self.spark.read.parquet(self._slot_path(name, info.slot)))
 
+    def _commit(self, info: CollectionInfo) -> CollectionInfo:
+        row = self.spark.createDataFrame([vars(info)], _REGISTRY_SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(self._registry_path)
+        return info
+
     # --- writing --------------------------------------------------------
 
     def _slot_path(self, name: str, slot: int) -> str:
@@ -164,24 +189,42 @@ class CollectionStore:
             empty = self.spark.createDataFrame([], "released boolean")
             empty.write.mode("overwrite").parquet(path)
 
-    def _checked(self, points: DataFrame, vector_size: int) -> DataFrame:
-        """Fail the write on a vector of another size, without a pass of its own."""
-        message = F.concat(
-            F.lit("vector size "), F.size("vector"), F.lit(f" instead of {vector_size}")
-        )
-        right_size = F.when(F.size("vector") == vector_size, F.col("vector"))
-        return points.withColumn("vector", right_size.otherwise(F.raise_error(message)))
+    def _replace(self, info: CollectionInfo, points: DataFrame, together: bool) -> CollectionInfo:
+        """Write the points to the free slot and make it the current one.
 
-    def _replace(self, info: CollectionInfo, points: DataFrame) -> CollectionInfo:
+        ``together`` says that near ids are in the same partitions already.
+        Otherwise one shuffle by id range sees to it, as each task writes a file
+        for every block it has points of.
+        """
         slot = 0 if info.slot is None else 1 - info.slot
         path = self._slot_path(info.name, slot)
-        self._checked(points, info.vector_size).write.mode("overwrite").parquet(path)
+        size = info.block_size
+        # A vector of another size fails the write itself.
+        message = F.concat(
+            F.lit("vector size "), F.size("vector"), F.lit(f" instead of {info.vector_size}")
+        )
+        right_size = F.when(F.size("vector") == info.vector_size, F.col("vector"))
+        (
+            (points if together else points.repartitionByRange("id"))
+            .withColumn("vector", right_size.otherwise(F.raise_error(message)))
+            .withColumn("block", F.expr(f"(id - pmod(id, {size})) div {size}"))
+            .sortWithinPartitions("block", "id")
+            .write.partitionBy("block")
+            .mode("overwrite")
+            .parquet(path)
+        )
         # Counted from what is stored: footers and the id column only.
-        stored = self.spark.read.parquet(path)
+        schema = points.select("id").schema
+        stored = self.spark.read.schema(schema).parquet(path)
         count, low, high = stored.agg(F.count("*"), F.min("id"), F.max("id")).first()
         return self._commit(
-            CollectionInfo(
-                info.name, info.version + 1, info.vector_size, info.distance, count, low, high, slot
+            replace(
+                info,
+                version=info.version + 1,
+                points_count=count,
+                min_id=low,
+                max_id=high,
+                slot=slot,
             )
         )
 
@@ -191,22 +234,23 @@ class CollectionStore:
         vector_size: int,
         distance: str = "Cosine",
         points: DataFrame | None = None,
+        together: bool = False,
+        block_size: int = _BLOCK_SIZE,
     ) -> CollectionInfo:
         """A new collection of that name in place of any old one: empty, or with
         the points given, which then appear in the same change."""
         old = self.find(name)
         version, slot = (old.version, old.slot) if old else (0, None)
+        fresh = CollectionInfo(name, version, vector_size, distance, block_size, slot=slot)
         if points is None:
-            return self._commit(
-                CollectionInfo(name, version + 1, vector_size, distance, 0, None, None, slot)
-            )
-        fresh = CollectionInfo(name, version, vector_size, distance, 0, None, None, slot)
-        return self._replace(fresh, points)
+            return self._commit(replace(fresh, version=version + 1))
+        return self._replace(fresh, points, together)
 
-    def write_points(self, name: str, points: DataFrame) -> CollectionInfo:
-        """Make the points the whole contents. They are written by all tasks at
-        once, in the partitions they come in; nothing passes the driver."""
-        return self._replace(self.info(name), points)
+    def write_points(self, name: str, points: DataFrame, together: bool = False) -> CollectionInfo:
+        """Make the points the whole contents. All tasks write at once; nothing
+        passes the driver. With ``together`` the partitions stay as they are,
+        which suits numbered rows."""
+        return self._replace(self.info(name), points, together)
 
     def upsert(self, name: str, points: DataFrame) -> CollectionInfo:
         """Insert points, replacing those with the same id.
@@ -223,17 +267,16 @@ class CollectionStore:
             if not new.groupBy("id").count().where("count > 1").isEmpty():
                 raise ValueError("a point id occurs more than once among the new points")
             if info.points_count == 0:
-                merged = new
-            elif new.count() <= _BROADCAST_IDS:
-                merged = self.merge_few(self.open(name).points, new)
-            else:
-                merged = self.merge_many(self.open(name).points, new)
-            return self._replace(info, merged)
+                return self._replace(info, new, together=False)
+            old = self.open(name).points
+            few = new.count() <= _BROADCAST_IDS
+            merged = self.merge_few(old, new) if few else self.merge_many(old, new)
+            return self._replace(info, merged, together=True)
 
     @staticmethod
     def merge_few(old: DataFrame, new: DataFrame) -> DataFrame:
         kept = old.join(F.broadcast(new.select("id")), "id", "left_anti")
-        return kept.unionByName(new, allowMissingColumns=True)
+        return kept.unionByName(new.repartitionByRange("id"), allowMissingColumns=True)
 
     @staticmethod
     def merge_many(old: DataFrame, new: DataFrame) -> DataFrame:

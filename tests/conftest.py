@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         .appName("featloom-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "100")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))

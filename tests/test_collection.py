@@ -1,8 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from featloom.operators.ids import dense_ids, number_stored_rows
+from featloom.operators.ids import dense_ids, number_stored_rows, positioned
 from featloom.operators.points import build_points
 from featloom.sources import collection as module
 from featloom.sources.collection import CollectionStore
@@ -54,10 +56,42 @@ def test_ids_are_dense_and_follow_the_key(spark, tmp_path):
 
 def test_ids_stay_dense_when_one_key_holds_a_third(spark, tmp_path):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("key"))
-    numbered = dense_ids(df.repartition(8), str(tmp_path / "staged"), ["key"])
+    path = str(tmp_path / "staged")
+    numbered = dense_ids(df.repartition(8), path, ["key"])
     assert sorted(r["id"] for r in numbered.collect()) == list(range(3000))
 
 
+def test_one_key_is_shared_among_sorting_tasks(spark):
+    df = spark.range(80_000).select(F.lit(1).alias("key")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = positioned(df, ["key"]).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)])
+        sizes = tasks.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 8 and max(sizes) < 20_000
+
+
+def test_rows_of_one_key_keep_their_order(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 7).select((F.col("id") % 3).alias("key"), F.col("id").alias("n"))
+    found = dense_ids(df, str(tmp_path / "staged"), ["key"]).orderBy("id").collect()
+    assert [(r["key"], r["n"]) for r in found] == sorted((r["key"], r["n"]) for r in found)
+
+
+def test_ids_hold_across_the_splits_of_a_file(spark, tmp_path):
+    path = str(tmp_path / "large")
+    rows = spark.range(200_000).select(F.col("id").alias("n"), F.rand(1).alias("x")).coalesce(1)
+    rows.write.option("parquet.block.size", 128 * 1024).parquet(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 200 * 1024)
+    try:
+        numbered = number_stored_rows(spark, path)
+        assert numbered.rdd.getNumPartitions() > 4
+        assert numbered.where("id <> n").count() == 0 and numbered.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_ids_without_key_follow_the_rows(spark, tmp_path):
     numbered = dense_ids(spark.range(0, 1000, 1, 13).withColumnRenamed("id", "n"), str(tmp_path / "s"))
     assert all(r["id"] == r["n"] for r in numbered.collect())
@@ -136,6 +170,17 @@ def test_upsert_inserts_and_replaces(spark, store, monkeypatch, broadcast):
     assert store.info("c").points_count == 4
 
 
+@pytest.mark.parametrize("broadcast", [1000, 0])
+def test_stored_blocks_hold_their_ids_in_few_files(spark, store, monkeypatch, broadcast):
+    monkeypatch.setattr(module, "_BROADCAST_IDS", broadcast)
+    store.recreate("c", 2, points=points(spark, range(200)).repartition(16), block_size=50)
+    store.upsert("c", points(spark, range(150, 250)).repartition(16))
+    blocks = store.open("c").blocks
+    assert blocks.where("id div 50 <> block").count() == 0
+    assert len(blocks.inputFiles()) < 5 * 4
+    assert sorted(contents(store)) == list(range(250))
+
+
 def test_upsert_rejects_an_id_twice(spark, store):
     store.recreate("c", 2, points=points(spark, range(3)))
     with pytest.raises(ValueError, match="more than once"):
@@ -154,11 +199,13 @@ def test_many_new_ids_take_one_shuffle(spark):
 
 
 @pytest.mark.parametrize("step", [1, 3])
+@pytest.mark.parametrize("block", [4, 1000])
 @pytest.mark.parametrize("limit", [7, 10, 1000])
-def test_pages_put_together_are_the_whole(spark, store, step, limit):
-    """Without gaps in the ids and with; the last page full and not."""
-    ids = range(5, 45, step)
-    store.recreate("c", 2, points=points(spark, ids).repartition(3))
+def test_pages_put_together_are_the_whole(spark, store, step, limit, block):
+    """Without gaps in the ids and with; the last page full and not; in one
+    block or across several, of which some are empty."""
+    ids = [i for i in range(5, 65, step) if step == 1 or not 20 < i < 40]
+    store.recreate("c", 2, points=points(spark, ids).repartition(3), block_size=block)
     pages = [[r["id"] for r in page.collect()] for page in store.open("c").pages(limit)]
     assert all(len(p) == limit for p in pages[:-1]) and 0 < len(pages[-1]) <= limit
     assert [i for p in pages for i in p] == list(ids)
@@ -175,10 +222,11 @@ def test_page_has_payload_without_vector(spark, store):
 
 
 def test_page_and_scan_push_down(spark, store):
-    store.recreate("c", 2, points=points(spark, range(20)))
+    store.recreate("c", 2, points=points(spark, range(20)), block_size=4)
     page = plan_of(store.open("c").scroll(5, 10))
     assert "TakeOrderedAndProject" in page
-    assert "GreaterThanOrEqual(id,10), LessThan(id,15)" in page
+    assert "GreaterThanOrEqual(id,10), LessThanOrEqual(id,14)" in page
+    assert re.search(r"PartitionFilters: \[[^]]*block#\d+ >= 2[^]]*block#\d+ <= 3", page)
     scan = plan_of(store.open("c").scan(["a"]))
     assert "ReadSchema: struct<payload:struct<a:double>>" in scan
 
