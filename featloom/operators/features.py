@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from featloom.functions.vectors import feature_array
@@ -67,6 +67,14 @@ def scaler_values(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[floa
     return {r["column_name"]: (r["mean"], r["std"]) for r in rows}
 
 
+def model_scaler(
+    model: PipelineModel, columns: Sequence[str]
+) -> dict[str, tuple[float, float]]:
+    """The same numbers, taken from a fitted model."""
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    return {c: (float(m), float(s)) for c, m, s in zip(columns, scaler.mean, scaler.std)}
+
+
 def standardise(
     df: DataFrame, stats: Mapping[str, tuple[float, float]], suffix: str = "_scaled"
 ) -> DataFrame:

@@ -15,15 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from featloom.operators.clean import clean
 from featloom.operators.cluster import (
     cluster_sizes,
-    evaluate,
     fit_model,
     model_centers,
     predict,
     result_columns,
     save_model,
 )
+from featloom.operators.features import model_scaler, standardise
 from featloom.operators.ids import dense_ids, number_stored_rows
 from featloom.operators.points import build_points
+from featloom.operators.silhouette import silhouette
 from featloom.sources.collection import CollectionInfo, CollectionStore
 from featloom.sources.delimited import load_features
 from featloom.sources.parquet import read_parquet, write_parquet
@@ -82,7 +83,8 @@ def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
     """Cleaned Parquet to predictions and saved model.
 
     The source is narrow and stored by columns, so it is scanned again for
-    scaler, fit, output and score rather than kept.
+    scaler, fit and output rather than kept. The score is taken from the stored
+    labels, scaled by plain column arithmetic.
     """
     columns, settings = spec.clean.columns, spec.cluster
     source = read_parquet(spark, spec.preprocessed_path)
@@ -91,12 +93,13 @@ def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
     predictions = predict(source, model)
     result = result_columns(predictions, columns, settings.prediction_col, settings.passthrough)
     write_parquet(result, spec.predictions_path)
-    score = evaluate(
-        predictions, settings.scaled_features_col, settings.prediction_col, settings.metric
-    )
     save_model(model, spec.model_path)
     stored = read_parquet(spark, spec.predictions_path)
-    log.info("%d rows clustered, %s %.4f", rows, settings.metric, score)
+    scaled = standardise(stored, model_scaler(model, columns), "_scaled")
+    score = silhouette(
+        scaled, [f"{c}_scaled" for c in columns], settings.prediction_col
+    ).first()["silhouette"]
+    log.info("%d rows clustered, silhouette %.4f", rows, score)
     return ClusterResult(
         predictions=stored,
         model=model,

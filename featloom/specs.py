@@ -72,7 +72,6 @@ class ClusterSpec:
     features_col: str = "features"
     scaled_features_col: str = "scaled_features"
     prediction_col: str = "prediction"
-    metric: str = "silhouette"
     # Columns of the input to keep in the predictions besides the features.
     passthrough: tuple[str, ...] = ()
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from featloom.__main__ import _parser, _spec
 from featloom.plans import jobs
-from featloom.operators.cluster import load_model, predict
+from featloom.operators.cluster import evaluate, load_model, predict
 from featloom.sources.collection import CollectionStore
 from featloom.sources.delimited import load_features, read_delimited
 from featloom.specs import CollectionSpec, PipelineSpec
@@ -75,6 +75,10 @@ def test_all_jobs(spark, spec):
     counts = dict(stored.groupBy("payload.cluster").count().collect())
     assert counts == {r["prediction"]: r["cluster_size"] for r in clusters.sizes.collect()}
 
+    # The score is the one of the evaluator over the scaled vectors.
+    scored = predict(result.preprocessed, clusters.model)
+    assert clusters.silhouette == pytest.approx(evaluate(scored), abs=1e-9)
+
     # The saved model brings its scaler and labels the plain columns again.
     again = predict(result.preprocessed, load_model(spec.model_path))
     assert dict(again.groupBy("prediction").count().collect()) == counts
