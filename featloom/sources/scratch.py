@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="featloom-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder the session names for checkpoints.
 
@@ -20,6 +26,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="featloom-")
-        spark.conf.set(_SETTING, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
