@@ -85,8 +85,6 @@ SCALED_CENTERS = (
     (0.0, 0.0, 0.0, 0.0),
 )
 PART_COLUMNS = ("p_size", "p_retailprice")
-# Small enough that pages cross blocks.
-PART_BLOCK = 60
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -210,7 +208,7 @@ def stage_funnel(spark, sf_dir):
 def _part_text(spark, sf_dir) -> str:
     """The part table as tab-separated text, with some sizes made unreadable."""
     path = scratch_path(spark, "part-text")
-    size = F.when(F.col("p_size") % 5 == 0, "n/a").otherwise(F.col("p_size").cast("string"))
+    size = F.when(F.col("p_size") > 40, "n/a").otherwise(F.col("p_size").cast("string"))
     parts = _table(spark, sf_dir, "part").withColumn("p_size", size)
     parts.write.options(header=True, sep="\t").csv(path)
     return path
@@ -232,9 +230,9 @@ def safe_cast(spark, sf_dir):
     """Texts of every kind made from part names and sizes, as numbers."""
     size = F.col("p_size").cast("string")
     text = (
-        F.when(F.col("p_size") % 4 == 0, F.col("p_name"))
-        .when(F.col("p_size") % 4 == 1, F.concat(F.lit(" "), size, F.lit(" ")))
-        .when(F.col("p_size") % 4 == 2, F.concat(size, F.lit("e1")))
+        F.when(F.col("p_size") <= 10, F.col("p_name"))
+        .when(F.col("p_size") <= 20, F.concat(F.lit(" "), size, F.lit(" ")))
+        .when(F.col("p_size") <= 35, F.concat(size, F.lit("e1")))
         .otherwise(F.lit(""))
     )
     return _table(spark, sf_dir, "part").select("p_partkey", to_double(text).alias("number"))
@@ -523,9 +521,7 @@ def _part_collection(spark, sf_dir):
     with store.staging("parts") as path:
         numbered = dense_ids(parts, path, ["p_name", "p_partkey"])
         points = build_points(numbered, PART_COLUMNS, passthrough=["p_name", "p_partkey"])
-        store.recreate(
-            "parts", len(PART_COLUMNS), points=points, together=True, block_size=PART_BLOCK
-        )
+        store.recreate("parts", len(PART_COLUMNS), points=points, together=True)
     return store.open("parts")
 
 
@@ -537,27 +533,30 @@ def scroll_page(spark, sf_dir):
     return _page_columns(_part_collection(spark, sf_dir).scroll(50, 75))
 
 
-def scroll_page_gaps(spark, sf_dir):
-    """A page of a collection whose ids have gaps."""
+def _spaced_collection(spark, sf_dir):
+    """All parts under every third id, so that the ids have gaps."""
     store = _store(spark)
-    gaps = _part_points(spark, sf_dir).where("id % 3 = 0")
-    store.recreate("gaps", len(PART_COLUMNS), points=gaps, block_size=PART_BLOCK)
-    page = store.open("gaps").scroll(40, 50)
+    spaced = _part_points(spark, sf_dir).withColumn("id", F.col("id") * 3)
+    store.recreate("parts", len(PART_COLUMNS), points=spaced)
+    return store.open("parts")
+
+
+def scroll_page_gaps(spark, sf_dir):
+    page = _spaced_collection(spark, sf_dir).scroll(40, 50)
     return page.select("id", "payload.p_name", "payload.p_retailprice")
 
 
 def next_offset(spark, sf_dir):
     """Next offsets from several places, in collections without and with gaps;
     -1 stands for none."""
-    dense = _part_collection(spark, sf_dir)
-    store = _store(spark)
-    every_third = _part_points(spark, sf_dir).where("id % 3 = 0")
-    store.recreate("gaps", len(PART_COLUMNS), points=every_third, block_size=PART_BLOCK)
-    gaps = store.open("gaps")
+    collections = {
+        "dense": _part_collection(spark, sf_dir),
+        "spaced": _spaced_collection(spark, sf_dir),
+    }
     rows = [
         (name, offset, collection.next_offset(40, None if offset < 0 else offset))
-        for name, collection in (("dense", dense), ("gaps", gaps))
-        for offset in (-1, 50, 150)
+        for name, collection in collections.items()
+        for offset in (-1, 50, 180)
     ]
     found = spark.createDataFrame(rows, "ids string, start long, following long")
     return found.na.fill(-1, ["following"])

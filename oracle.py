@@ -143,11 +143,12 @@ SELECT count(*) AS input_rows,
   (SELECT count(*) FROM fixed, band WHERE {_IN_BAND}) AS after_band
 FROM lineitem""",
     "csv_scan": """SELECT p_partkey, p_name, p_retailprice,
-  CASE WHEN p_size % 5 = 0 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS p_size FROM part""",
+  CASE WHEN p_size > 40 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS p_size FROM part""",
     "csv_feature_load": """SELECT CAST(p_size AS DOUBLE) AS p_size, p_retailprice, p_name
-FROM part WHERE p_size % 5 <> 0""",
-    "safe_cast": """SELECT p_partkey, TRY_CAST(CASE p_size % 4 WHEN 0 THEN p_name
-  WHEN 1 THEN ' ' || p_size || ' ' WHEN 2 THEN p_size || 'e1' ELSE '' END AS DOUBLE) AS number
+FROM part WHERE p_size <= 40""",
+    "safe_cast": """SELECT p_partkey, TRY_CAST(CASE WHEN p_size <= 10 THEN p_name
+  WHEN p_size <= 20 THEN ' ' || p_size || ' ' WHEN p_size <= 35 THEN p_size || 'e1'
+  ELSE '' END AS DOUBLE) AS number
 FROM part""",
     "payload_schema": "SELECT CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part",
     "parquet_round_trip": "SELECT * FROM part",
@@ -198,12 +199,12 @@ SELECT id, {_VECTOR}, {", ".join(FEATURES)}, price_tier FROM numbered""",
 SELECT id, {_VECTOR}, {", ".join(FEATURES)}, price_tier, prediction AS cluster FROM labelled""",
     "scroll_page": f"""WITH {_PARTS_BY_NAME} SELECT id, p_partkey, p_name, p_retailprice
 FROM parts WHERE id >= 75 ORDER BY id LIMIT 50""",
-    "scroll_page_gaps": """SELECT p_partkey AS id, p_name, p_retailprice FROM part
-WHERE p_partkey % 3 = 0 AND p_partkey >= 50 ORDER BY id LIMIT 40""",
+    "scroll_page_gaps": """SELECT p_partkey * 3 AS id, p_name, p_retailprice FROM part
+WHERE p_partkey * 3 >= 50 ORDER BY id LIMIT 40""",
     "next_offset": f"""WITH {_PARTS_BY_NAME}, ids AS (
   SELECT 'dense' AS ids, id FROM parts UNION ALL
-  SELECT 'gaps', p_partkey FROM part WHERE p_partkey % 3 = 0),
-starts AS (SELECT unnest([-1, 50, 150]) AS start),
+  SELECT 'spaced', p_partkey * 3 FROM part),
+starts AS (SELECT unnest([-1, 50, 180]) AS start),
 placed AS (SELECT ids, start, id, row_number() OVER (PARTITION BY ids, start ORDER BY id) AS place
   FROM ids, starts WHERE id >= start)
 SELECT ids, CAST(start AS BIGINT) AS start, coalesce(max(CASE WHEN place = 41 THEN id END), -1) AS following
