@@ -82,7 +82,6 @@ class CollectionSpec:
     input_name: str = DEFAULT_INPUT_COLLECTION
     output_name: str = DEFAULT_OUTPUT_COLLECTION
     distance: str = "Cosine"
-    scroll_size: int = 1000
     batch_size: int = 512
 
 

@@ -96,6 +96,17 @@ def test_fit_finds_separated_groups(spark):
     assert all(len(p) == 1 for p in found) and len({p[0] for p in found}) == 4
 
 
+def test_a_fit_over_the_same_stored_rows_is_the_same(spark, tmp_path):
+    df, names = blobs(spark, k=6, each=40, columns=3)
+    df.write.parquet(str(tmp_path / "rows"))
+    fits = [
+        clustering.fit_model(spark.read.parquet(str(tmp_path / "rows")), names, ClusterSpec(k=4))
+        for _ in range(2)
+    ]
+    first, second = (clustering.model_centers(spark, m).collect() for m in fits)
+    assert first == second
+
+
 def test_what_holds_of_any_fit(spark):
     df, names = blobs(spark, k=3, each=40, columns=3)
     model = clustering.fit_model(df, names, ClusterSpec(k=5), rows=df.count())
