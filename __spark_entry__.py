@@ -38,6 +38,7 @@ from featloom.operators.silhouette import silhouette
 from featloom.plans.jobs import run_all
 from featloom.sources.collection import CollectionStore
 from featloom.sources.delimited import load_features, read_delimited
+from featloom.sources.local import small_table
 from featloom.sources.parquet import read_parquet, write_parquet
 from featloom.sources.scratch import scratch_path
 from featloom.specs import (
@@ -128,7 +129,8 @@ def upper_bounds(spark, sf_dir):
 def _bounds_frame(spark, bounds) -> DataFrame:
     # Adding zero turns the negative zero of some rows into plain zero.
     rows = [(c, low + 0.0, high + 0.0) for c, (low, high) in bounds.items()]
-    return spark.createDataFrame(rows, "column_name string, lower double, upper double")
+    fields = {"column_name": "string", "lower": "double", "upper": "double"}
+    return small_table(spark, fields, rows)
 
 
 def _quantile_bounds(band: BandSpec):
@@ -359,7 +361,7 @@ def silhouette_by_metric(spark, sf_dir):
     """The ML evaluator, chosen by metric name, on the same labels."""
     rows = assemble(_scaled_labelled(spark, sf_dir), SCALED, "scaled_features")
     score = clustering.evaluate(rows, metric="silhouette")
-    return spark.createDataFrame([(round(score, 4),)], "silhouette double")
+    return small_table(spark, {"silhouette": "double"}, [(round(score, 4),)])
 
 
 def _fitted(spark, sf_dir):
@@ -558,8 +560,8 @@ def next_offset(spark, sf_dir):
         for name, collection in collections.items()
         for offset in (-1, 50, 180)
     ]
-    found = spark.createDataFrame(rows, "ids string, start long, following long")
-    return found.na.fill(-1, ["following"])
+    fields = {"ids": "string", "start": "long", "following": "long"}
+    return small_table(spark, fields, rows).na.fill(-1, ["following"])
 
 
 def full_scan(spark, sf_dir):
@@ -635,7 +637,8 @@ def has_data(spark, sf_dir):
     store = _several_collections(spark, sf_dir)
     names = ("parts", "small_parts", "emptied_parts", "other_parts")
     rows = [(n, store.exists(n), store.has_data(n)) for n in names]
-    return spark.createDataFrame(rows, "name string, found boolean, filled boolean")
+    fields = {"name": "string", "found": "boolean", "filled": "boolean"}
+    return small_table(spark, fields, rows)
 
 
 # --- whole jobs -----------------------------------------------------------
@@ -671,7 +674,7 @@ def end_to_end(spark, sf_dir):
         ("clusters", stored[1]),
         ("high_tier", stored[2]),
     ]
-    return spark.createDataFrame(rows, "stage string, n_rows long")
+    return small_table(spark, {"stage": "string", "n_rows": "long"}, rows)
 
 
 # --- contract -------------------------------------------------------------

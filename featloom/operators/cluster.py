@@ -8,7 +8,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from featloom.functions.vectors import (
     Centers,
@@ -19,6 +18,7 @@ from featloom.functions.vectors import (
     written_out,
 )
 from featloom.operators.features import fit_features
+from featloom.sources.local import small_table
 from featloom.specs import ClusterSpec
 
 # A fit passes over the rows tens of times. Below this many rows per task more
@@ -82,14 +82,8 @@ def predict(df: DataFrame, model: PipelineModel | KMeansModel) -> DataFrame:
 def model_centers(spark: SparkSession, model: PipelineModel | KMeansModel) -> DataFrame:
     """The fitted centres, k rows of (cluster, center)."""
     kmeans = model.stages[-1] if isinstance(model, PipelineModel) else model
-    schema = StructType(
-        [
-            StructField("cluster", IntegerType(), False),
-            StructField("center", ArrayType(DoubleType(), False), False),
-        ]
-    )
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(kmeans.clusterCenters())]
-    return spark.createDataFrame(rows, schema)
+    return small_table(spark, {"cluster": "int", "center": "array<double>"}, rows)
 
 
 def evaluate(

@@ -16,6 +16,8 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from featloom.sources.local import small_table
+
 # Up to this many files (about 200 bytes each) their offsets are broadcast;
 # beyond it the join is left to Spark.
 _BROADCAST_FILES = 500_000
@@ -44,7 +46,7 @@ def number_stored_rows(spark: SparkSession, path: str, id_col: str = "id") -> Da
     counts = {r["_file"]: r["rows"] for r in counted}
     files = sorted(counts, key=_file_order)
     starts = [0, *accumulate(counts[f] for f in files)][: len(files)]
-    offsets = spark.createDataFrame(list(zip(files, starts)), "_file string, _start long")
+    offsets = small_table(spark, {"_file": "string", "_start": "long"}, zip(files, starts))
     if len(files) <= _BROADCAST_FILES:
         offsets = F.broadcast(offsets)
     return placed.join(offsets, "_file").select(

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from featloom.functions.vectors import written_out
 from featloom.operators.cluster import evaluate
 from featloom.operators.features import assemble
+from featloom.sources.local import small_table
 
 
 def _sum(terms: Sequence[Column]) -> Column:
@@ -50,7 +51,7 @@ def silhouette(
     if not written_out(columns, moments):
         vectors = assemble(predictions.select(*columns, prediction_col), columns, "_vector")
         score = evaluate(vectors, "_vector", prediction_col)
-        return predictions.sparkSession.createDataFrame([(score,)], "silhouette double")
+        return small_table(predictions.sparkSession, {"silhouette": "double"}, [(score,)])
 
     def mean_distance(m: Row) -> Column:
         dot = _sum([F.col(c) * (m[f"sum_{i}"] / m["size"]) for i, c in enumerate(columns)])

@@ -20,11 +20,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from featloom.functions.casts import to_double
-
-_REGISTRY_SCHEMA = (
-    "name string, version long, vector_size int, distance string, block_size long, "
-    "points_count long, min_id long, max_id long, slot int"
-)
+from featloom.sources.local import small_table
+
+_REGISTRY_FIELDS = {
+    "name": "string",
+    "version": "long",
+    "vector_size": "int",
+    "distance": "string",
+    "block_size": "long",
+    "points_count": "long",
+    "min_id": "long",
+    "max_id": "long",
+    "slot": "int",
+}
+_REGISTRY_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _REGISTRY_FIELDS.items())
 # Ids per block: some hundred megabytes of narrow points.
 _BLOCK_SIZE = 4_000_000
 # Up to this many new ids (8 bytes each) an upsert broadcasts them.
@@ -135,7 +144,7 @@ class CollectionStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _REGISTRY_SCHEMA)
+            return small_table(self.spark, _REGISTRY_FIELDS, [])
 
     def registry(self) -> DataFrame:
         """The current row of every collection."""
@@ -170,7 +179,8 @@ class CollectionStore:
         return Collection(info, self.spark.read.parquet(self._slot_path(name, info.slot)))
 
     def _commit(self, info: CollectionInfo) -> CollectionInfo:
-        row = self.spark.createDataFrame([vars(info)], _REGISTRY_SCHEMA)
+        values = [vars(info)[name] for name in _REGISTRY_FIELDS]
+        row = small_table(self.spark, _REGISTRY_FIELDS, [values])
         row.coalesce(1).write.mode("append").parquet(self._registry_path)
         return info
 
@@ -186,7 +196,7 @@ class CollectionStore:
         try:
             yield path
         finally:
-            empty = self.spark.createDataFrame([], "released boolean")
+            empty = small_table(self.spark, {"released": "boolean"}, [])
             empty.write.mode("overwrite").parquet(path)
 
     def _replace(self, info: CollectionInfo, points: DataFrame, together: bool) -> CollectionInfo:

@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("featloom-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.debug.maxToStringFields", "100")
