@@ -51,6 +51,12 @@ from featloom.specs import (
 )
 from oracle import ORACLE
 
+# The subpackage for training data, and the pipeline made of it, are optional.
+try:
+    from featloom.llm import queries as llm
+except ImportError:
+    llm = None
+
 SMALL = "/root/testdata/sf0.001"
 
 # The feature table of most queries, and the columns that identify its rows.
@@ -752,8 +758,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "list_collections": list_collections,
         "has_data": has_data,
         "end_to_end": end_to_end,
-    }
+    } | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(ORACLE) | (llm.oracle_sql() if llm else {})
