@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from featloom.sources.scratch import scratch_path
@@ -24,6 +25,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` as stored files, so that each row, repeated ones too, has a place."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+        return docs
+    except AnalysisException:
+        return stored(docs, "located")
+
+
+def place() -> Column:
+    """File and row of a stored row."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like those asked for that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

@@ -22,10 +22,9 @@ columns, whatever their names, pass through ``survivors`` unchanged.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from featloom.llm.common import SPACE, settings, stored
+from featloom.llm.common import SPACE, located, place, settings, stored
 from featloom.sources.scratch import scratch_path
 
 _STATE = {
@@ -45,15 +44,6 @@ def sha256_of(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def _located(docs: DataFrame) -> DataFrame:
-    """``docs`` as stored files, so that each row has a place."""
-    try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
-        return docs
-    except AnalysisException:
-        return stored(docs, "dedup-content")
-
-
 def run_state(keys: DataFrame, state_path: str, bytes_per_batch: int) -> DataFrame:
     """Adds ``keys`` (digest, id, place) to the state at ``state_path`` and returns
     the whole state: digest, first (the smallest id and its place), copies."""
@@ -106,15 +96,12 @@ def judge(
     """
     spark = docs.sparkSession
     columns = docs.columns
-    docs = _located(docs)
+    docs = located(docs)
     digest = sha256_of(F.col("normal")) if digest is None else digest
     whole = F.struct(*columns) if carry else F.struct(id_col, text_col)
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
     base = docs.select(
         F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("normal"),
-        place.alias("place"), whole.alias("row"),
+        place().alias("place"), whole.alias("row"),
     ).select(digest.alias("digest"), "id", "place", "row")
 
     state = run_state(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import exact_dedup
+from featloom.llm import exact_dedup, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,13 +34,22 @@ FROM d
 """
 
 
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return mixing.totals(mixing.plan(docs)).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op10_mix": op10_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1_SQL,
+        "op10_mix": mixing.sql(),
     }
