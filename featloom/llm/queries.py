@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import exact_dedup, mixing
+from featloom.llm import exact_dedup, fingerprints, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,26 @@ FROM d
 """
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.with_next(_table(spark, sf_dir, "documents"))
+    chars = F.length("text")
+    kept = F.expr("substring(text, 1, length(text) - length(text) div 4)")
+    rows = rows.withColumn("edited", F.concat(kept, F.col("next_start")))
+    rows = fingerprints.with_sketch(rows, "edited", "edited_sketch")
+    sketch, edited, following = map(F.col, ("sketch", "edited_sketch", "next_sketch"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        chars.cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.written(sketch).alias("fingerprint"),
+        fingerprints.written(edited).alias("edited_fingerprint"),
+        fingerprints.likeness(sketch, edited).alias("near_edited"),
+        fingerprints.likeness(sketch, following).alias("near_next"),
+        fingerprints.containment(sketch, edited).alias("contained_in_edited"),
+        fingerprints.containment(sketch, following).alias("contained_in_next"),
+    )
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mixing.totals(mixing.plan(docs)).select(
@@ -44,6 +64,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op5_fingerprints": op5_fingerprints,
         "op10_mix": op10_mix,
     }
 
