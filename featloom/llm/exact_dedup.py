@@ -33,6 +33,9 @@ _STATE = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Logs grow as they are written: with many state partitions, space set aside
+    # for each would be many times what they hold.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
