@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import exact_dedup, fingerprints, mixing
+from featloom.llm import exact_dedup, fingerprints, mixing, warc
+from featloom.sources.scratch import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,31 @@ FROM d
 """
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "warc")
+    manifest = warc.write_archives(_table(spark, sf_dir, "pages"), root)
+    return warc.read_archives(spark, root, manifest).drop("url", "payload")
+
+
+OP2_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (
+  SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS hex,
+         min(page_id) OVER (PARTITION BY h) AS first,
+         row_number() OVER (PARTITION BY h ORDER BY page_id) AS place
+  FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string([
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((('0x' || substr(hex, i // 4 * 5 + 1, 5))::INT >> (15 - i % 4 * 5)::INT) & 31) + 1, 1)
+         FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN first END AS refers_to
+FROM d
+"""
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.with_next(_table(spark, sf_dir, "documents"))
     chars = F.length("text")
@@ -64,6 +90,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_warc": op2_warc,
         "op5_fingerprints": op5_fingerprints,
         "op10_mix": op10_mix,
     }
@@ -72,5 +99,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1_SQL,
+        "op2_warc": OP2_SQL,
         "op10_mix": mixing.sql(),
     }
