@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import exact_dedup, fingerprints, mixing, warc
+from featloom.llm import bpe, exact_dedup, fingerprints, mixing, warc
 from featloom.sources.scratch import scratch_path
 
 
@@ -80,6 +81,25 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.Tokenizer(spark, bpe.read_ranks(path), public_tokenizers.PATTERN)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coder = tokenizer(spark)
+    ids = _table(spark, sf_dir, "documents").select(
+        "doc_id", coder.encode(F.col("text")).alias("ids")
+    )
+    decoded = ids.select("doc_id", "ids", coder.decode(F.col("ids")).alias("decoded"))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mixing.totals(mixing.plan(docs)).select(
@@ -92,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_warc": op2_warc,
         "op5_fingerprints": op5_fingerprints,
+        "op8_bpe": op8_bpe,
         "op10_mix": op10_mix,
     }
 
