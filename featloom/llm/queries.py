@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import bpe, exact_dedup, fingerprints, mixing, warc
+from featloom.llm import bpe, exact_dedup, fingerprints, mixing, url_graph, warc
 from featloom.sources.scratch import scratch_path
 
 
@@ -81,6 +81,22 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed values of the contract.
+URL_RULES = (
+    url_graph.Rule("org", "/", True),
+    url_graph.Rule("example.org", "/es/", False),
+    url_graph.Rule("example.org", "/en/1", False),
+    url_graph.Rule("com", "/fr/", True),
+    url_graph.Rule("com", "/de/", False),
+)
+
+
+def op7_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_graph.judge(_table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.Tokenizer(spark, bpe.read_ranks(path), public_tokenizers.PATTERN)
@@ -112,6 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_warc": op2_warc,
         "op5_fingerprints": op5_fingerprints,
+        "op7_url_graph": op7_url_graph,
         "op8_bpe": op8_bpe,
         "op10_mix": op10_mix,
     }
@@ -121,5 +138,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1_SQL,
         "op2_warc": OP2_SQL,
+        "op7_url_graph": url_graph.sql(URL_RULES),
         "op10_mix": mixing.sql(),
     }
