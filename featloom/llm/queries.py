@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import bpe, exact_dedup, fingerprints, mixing, url_graph, warc
+from featloom.llm import bpe, exact_dedup, fingerprints, language, mixing, url_graph, warc
+from featloom.llm.common import held_out
 from featloom.sources.scratch import scratch_path
 
 
@@ -61,6 +62,18 @@ FROM d
 """
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"))
+    model = language.fit(docs, ~out)
+    return language.predicted(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        out.alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.with_next(_table(spark, sf_dir, "documents"))
     chars = F.length("text")
@@ -127,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_warc": op2_warc,
+        "op4_language": op4_language,
         "op5_fingerprints": op5_fingerprints,
         "op7_url_graph": op7_url_graph,
         "op8_bpe": op8_bpe,
