@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import bpe, exact_dedup, fingerprints, language, mixing, url_graph, warc
+from featloom.llm import bpe, exact_dedup, fingerprints, language, mixing, quality, url_graph, warc
 from featloom.llm.common import held_out
 from featloom.sources.scratch import scratch_path
 
@@ -62,6 +62,26 @@ FROM d
 """
 
 
+# Fixed value of the contract: from this score on a document is predicted good.
+GOOD_FROM = 0.3
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
+    """Learned from labelled documents outside the evaluation fold."""
+    return quality.fit(docs, _table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_model(spark, sf_dir, docs)
+    return quality.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"))
@@ -140,6 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_warc": op2_warc,
+        "op3_quality": op3_quality,
         "op4_language": op4_language,
         "op5_fingerprints": op5_fingerprints,
         "op7_url_graph": op7_url_graph,
