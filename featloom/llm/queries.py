@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import bpe, exact_dedup, fingerprints, language, mixing, quality, url_graph, warc
+from featloom.llm import bpe, exact_dedup, fingerprints, jaccard_join, language, mixing, quality, url_graph, warc
 from featloom.llm.common import held_out
 from featloom.sources.scratch import scratch_path
 
@@ -149,6 +149,42 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("links").alias("n_links")
+    )
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS overlap
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * overlap >= 80 * (x.n + y.n - overlap)
+), reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+       least(w.doc_id, (SELECT min(b) FROM reach WHERE a = w.doc_id)) AS component_id,
+       (SELECT count(*) FROM links WHERE a = w.doc_id) AS n_links
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id
+"""
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mixing.totals(mixing.plan(docs)).select(
@@ -165,6 +201,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_fingerprints": op5_fingerprints,
         "op7_url_graph": op7_url_graph,
         "op8_bpe": op8_bpe,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_mix": op10_mix,
     }
 
@@ -174,5 +211,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_dedup": OP1_SQL,
         "op2_warc": OP2_SQL,
         "op7_url_graph": url_graph.sql(URL_RULES),
+        "op9_jaccard_join": OP9_SQL,
         "op10_mix": mixing.sql(),
     }
