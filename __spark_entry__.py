@@ -53,9 +53,10 @@ from oracle import ORACLE
 
 # The subpackage for training data, and the pipeline made of it, are optional.
 try:
+    import corpus_pipeline
     from featloom.llm import queries as llm
 except ImportError:
-    llm = None
+    corpus_pipeline = llm = None
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -758,7 +759,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "list_collections": list_collections,
         "has_data": has_data,
         "end_to_end": end_to_end,
-    } | (llm.queries() if llm else {})
+    } | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
