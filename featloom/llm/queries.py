@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import bpe, exact_dedup, fingerprints, jaccard_join, language, mixing, quality, url_graph, warc
+from featloom.llm import bpe, exact_dedup, fingerprints, jaccard_join, language, mixing, quality, suffix_dedup, url_graph, warc
 from featloom.llm.common import held_out
 from featloom.sources.scratch import scratch_path
 
@@ -114,6 +114,13 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "found.n_bytes", "found.n_removed", "found.n_spans",
+        F.sha2("found.kept", 256).alias("kept_sha256"),
+    )
+
+
 # Fixed values of the contract.
 URL_RULES = (
     url_graph.Rule("org", "/", True),
@@ -199,6 +206,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op4_language": op4_language,
         "op5_fingerprints": op5_fingerprints,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_url_graph": op7_url_graph,
         "op8_bpe": op8_bpe,
         "op9_jaccard_join": op9_jaccard_join,
