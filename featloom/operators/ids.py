@@ -1,16 +1,16 @@
 """Dense row ids 0..n-1 without a global window and without Python rows.
 
 Rows are numbered by where they stand in a written Parquet table: the id is the
-number of rows in the files before, plus the row's position in its own file.
-File row counts come from the footers; the numbering itself is a join with one
-row per file, so there is no shuffle. Written files do not move, so a lost
-executor or a retried task sees the same ids again.
+number of rows in the files before, plus the row's position in its own file. Files
+are told apart by the task number and roll-over number in their names. Counting
+reads no data column; the numbering itself is a broadcast join with 24 bytes per
+file, so there is no shuffle, at any size (a million files are some 24 MB on the
+driver and each executor). Written files do not move, so a lost executor or a
+retried task sees the same ids again.
 """
 
 from __future__ import annotations
 
-import os
-import re
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -18,40 +18,39 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from featloom.sources.local import small_table
 
-# Up to this many files (about 200 bytes each) their offsets are broadcast;
-# beyond it the join is left to Spark.
-_BROADCAST_FILES = 500_000
-_TASK_NUMBER = re.compile(r"^part-(\d+)")
-
-
-def _file_order(path: str) -> tuple[str, int, str]:
-    folder, name = os.path.split(path)
-    found = _TASK_NUMBER.match(name)
-    return folder, int(found.group(1)) if found else -1, name
+# Spark's own names: part-<task>-<job>[-c<roll>|.c<roll>].
+_TASK = r"/part-(\d+)-[^/]*$"
+_ROLL = r"[-.]c(\d+)[^/]*$"
 
 
 def number_stored_rows(spark: SparkSession, path: str, id_col: str = "id") -> DataFrame:
-    """Parquet table at ``path`` with ids in order of its files and their rows."""
+    """Parquet table at ``path``, written by one Spark job, with ids in order of its
+    files and their rows."""
     stored = spark.read.parquet(path)
     columns = stored.columns
     if id_col in columns:
         raise ValueError(f"the table already has a column {id_col}")
+    file = F.col("_metadata.file_path")
+
+    def number(pattern: str):
+        return F.coalesce(F.regexp_extract(file, pattern, 1).try_cast("int"), F.lit(-1))
+
     placed = stored.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
+        "*", number(_TASK).alias("_task"), number(_ROLL).alias("_roll"), F.col("_metadata.row_index").alias("_row")
     )
     # One row per file comes to the driver, which has listed the files anyway.
-    counted = placed.groupBy("_file").agg(F.count("*").alias("rows")).collect()
-    counts = {r["_file"]: r["rows"] for r in counted}
-    files = sorted(counts, key=_file_order)
-    starts = [0, *accumulate(counts[f] for f in files)][: len(files)]
-    offsets = small_table(spark, {"_file": "string", "_start": "long"}, zip(files, starts))
-    if len(files) <= _BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    return placed.join(offsets, "_file").select(
-        (F.col("_start") + F.col("_row")).alias(id_col), *columns
+    counted = placed.groupBy("_task", "_roll").agg(F.count("*").alias("rows"), F.max("_row").alias("last")).collect()
+    if any(r["_task"] < 0 or r["rows"] != r["last"] + 1 for r in counted):
+        raise ValueError(f"{path} is not the output of one Spark job")
+    counted.sort(key=lambda r: (r["_task"], r["_roll"]))
+    starts = accumulate((r["rows"] for r in counted), initial=0)
+    offsets = small_table(
+        spark,
+        {"_of": "int", "_part": "int", "_start": "long"},
+        [(r["_task"], r["_roll"], start) for r, start in zip(counted, starts)],
     )
+    here = (F.col("_task") == F.col("_of")) & (F.col("_roll") == F.col("_part"))
+    return placed.join(F.broadcast(offsets), here).select((F.col("_start") + F.col("_row")).alias(id_col), *columns)
 
 
 def positioned(df: DataFrame, order_by: Sequence[str]) -> DataFrame:

@@ -1,23 +1,28 @@
 """Named collections of points, kept as Parquet tables under one root.
 
-A registry table holds one small row per change to a collection; the newest row
-of a name tells its settings, its size and which of its two slots holds its
-points. New contents go to the slot not in use, then the registry row makes them
-the current ones, so a reader sees the old points or the new ones and never a
-half-written set. One writer per collection at a time is assumed.
-
-A slot is partitioned into blocks of consecutive ids and sorted by id within, so
-that a page is found by listing folders, without opening the files of others.
+Each collection has a small registry of its own, a row per change; the newest row
+tells its settings, its size and its block table. The block table lists the stored
+files, each a block of points sorted by id, with count and smallest and largest id.
+A change writes new blocks to a fresh folder, then a block table that names them and
+the old blocks that stay, then the registry row. So a reader keeps the version it
+opened, however many changes follow, and never sees a half-written one. A commit
+fails if another writer's came first.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from urllib.parse import quote
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from featloom.functions.casts import to_double
 from featloom.sources.local import small_table
@@ -31,13 +36,14 @@ _REGISTRY_FIELDS = {
     "points_count": "long",
     "min_id": "long",
     "max_id": "long",
-    "slot": "int",
+    "block_table": "string",
+    "point_schema": "string",
 }
 _REGISTRY_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _REGISTRY_FIELDS.items())
-# Ids per block: some hundred megabytes of narrow points.
+_BLOCK_FIELDS = {"path": "string", "points": "long", "min_id": "long", "max_id": "long"}
+_BLOCK_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _BLOCK_FIELDS.items())
+# Points per block at most: some hundred megabytes of narrow points.
 _BLOCK_SIZE = 4_000_000
-# Up to this many new ids (8 bytes each) an upsert broadcasts them.
-_BROADCAST_IDS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -50,25 +56,32 @@ class CollectionInfo:
     points_count: int = 0
     min_id: int | None = None
     max_id: int | None = None
-    slot: int | None = None
+    block_table: str | None = None
+    point_schema: str | None = None
 
     @property
     def dense(self) -> bool:
-        """Whether the ids have no gaps."""
+        """Whether the ids, which are unique, have no gaps."""
         return self.points_count > 0 and self.max_id - self.min_id + 1 == self.points_count
 
 
 @dataclass(frozen=True)
 class Collection:
-    """One version of a collection, for reading."""
+    """One version of a collection, for reading. ``blocks`` has a row per stored
+    file, some 200 bytes each."""
 
+    spark: SparkSession
     info: CollectionInfo
-    blocks: DataFrame  # id, vector, payload and the block they are in
+    blocks: Sequence[Row]
+
+    def _read(self, blocks: Sequence[Row]) -> DataFrame:
+        schema = StructType.fromJson(json.loads(self.info.point_schema))
+        return self.spark.read.schema(schema).parquet(*[b["path"] for b in blocks])
 
     @property
     def points(self) -> DataFrame:
         """All points: id, vector, payload."""
-        return self.blocks.drop("block")
+        return self._read(self.blocks)
 
     def scan(
         self, columns: Sequence[str], strict: bool = False, passthrough: Sequence[str] = ()
@@ -77,7 +90,7 @@ class Collection:
         they are. Only these fields are read from storage."""
         fields = [to_double(F.col(f"payload.{c}"), strict).alias(c) for c in columns]
         carried = [F.col(f"payload.{c}") for c in passthrough if c not in columns]
-        return self.blocks.select(*fields, *carried)
+        return self.points.select(*fields, *carried)
 
     def scroll(self, limit: int = 1000, offset: int | None = None) -> DataFrame:
         """One page: ``limit`` points from id ``offset`` on, in id order, with
@@ -104,26 +117,24 @@ class Collection:
         return self.info.min_id if offset is None else max(offset, self.info.min_id)
 
     def _from(self, offset: int | None, limit: int) -> DataFrame:
-        """The points from the offset on, up to where ``limit`` of them are sure
-        to be found; whole blocks outside of that are never opened.
-
-        With no gaps in the ids the end follows from the start. Else blocks are
-        added, twice as many each time, until the ids counted in them suffice.
-        """
+        """The points from the offset on, up to an id by which ``limit`` of them are
+        sure to be found. It follows from the block table alone; other blocks are
+        never opened. Blocks may overlap."""
         start = self._start(offset)
-        first, last = start // self.info.block_size, self.info.max_id // self.info.block_size
-        after = F.col("id") >= start
+        ahead = sorted((b for b in self.blocks if b["max_id"] >= start), key=lambda b: b["max_id"])
+        end, sure = self.info.max_id, 0
         if self.info.dense:
-            end = start + limit - 1
-            blocks = F.col("block").between(first, end // self.info.block_size)
-            return self.blocks.where(blocks & after & (F.col("id") <= end))
-        width = 1
-        while first + width <= last:
-            found = self.blocks.where(F.col("block").between(first, first + width - 1) & after)
-            if found.count() >= limit:
-                break
-            width *= 2
-        return self.blocks.where(F.col("block").between(first, first + width - 1) & after)
+            end = min(end, start + limit - 1)
+        else:
+            for block in ahead:
+                sure += block["points"] if block["min_id"] >= start else 0
+                if sure >= limit:
+                    end = block["max_id"]
+                    break
+        needed = [b for b in ahead if b["min_id"] <= end]
+        if not needed:
+            return self._read(self.blocks[:1]).where(F.lit(False))
+        return self._read(needed).where(F.col("id").between(start, end))
 
 
 class CollectionStore:
@@ -133,14 +144,15 @@ class CollectionStore:
 
     # --- registry -------------------------------------------------------
 
-    @property
-    def _registry_path(self) -> str:
-        return f"{self.root}/_collections"
+    def _registry_path(self, name: str | None = None) -> str:
+        base = f"{self.root}/_collections"
+        return base if name is None else f"{base}/collection={quote(name, safe='')}"
 
-    def changes(self) -> DataFrame:
-        """All registry rows, old and current."""
+    def changes(self, name: str | None = None) -> DataFrame:
+        """All registry rows, old and current, of one collection or of all."""
         try:
-            return self.spark.read.schema(_REGISTRY_SCHEMA).parquet(self._registry_path)
+            rows = self.spark.read.schema(_REGISTRY_SCHEMA).parquet(self._registry_path(name))
+            return rows.select(*_REGISTRY_FIELDS)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -155,7 +167,7 @@ class CollectionStore:
         return self.registry().select("name").orderBy("name")
 
     def find(self, name: str) -> CollectionInfo | None:
-        row = self.changes().where(F.col("name") == name).orderBy(F.desc("version")).first()
+        row = self.changes(name).orderBy(F.desc("version")).first()
         return CollectionInfo(**row.asDict()) if row else None
 
     def info(self, name: str) -> CollectionInfo:
@@ -176,57 +188,89 @@ class CollectionStore:
         info = self.info(name)
         if info.points_count == 0:
             raise ValueError(f"no data in collection {name}")
-        return Collection(info, self.spark.read.parquet(self._slot_path(name, info.slot)))
-
-    def _commit(self, info: CollectionInfo) -> CollectionInfo:
+        return Collection(self.spark, info, self._blocks(info))
+
+    def _blocks(self, info: CollectionInfo) -> list[Row]:
+        if info.block_table is None:
+            return []
+        return self.spark.read.schema(_BLOCK_SCHEMA).parquet(info.block_table).orderBy("min_id").collect()
+
+    def _commit(self, info: CollectionInfo, after: int) -> CollectionInfo:
+        """Makes ``info`` the newest row, if version ``after`` still is; 0: none."""
+        newest = self.find(info.name)
+        if (newest.version if newest else 0) != after:
+            raise RuntimeError(f"collection {info.name} was changed by another writer")
         values = [vars(info)[name] for name in _REGISTRY_FIELDS]
         row = small_table(self.spark, _REGISTRY_FIELDS, [values])
-        row.coalesce(1).write.mode("append").parquet(self._registry_path)
+        row.coalesce(1).write.mode("append").parquet(self._registry_path(info.name))
         return info
 
     # --- writing --------------------------------------------------------
 
-    def _slot_path(self, name: str, slot: int) -> str:
-        return f"{self.root}/{name}/slot={slot}"
+    def _fresh_path(self, name: str, kind: str) -> str:
+        return f"{self.root}/{name}/{kind}-{uuid.uuid4().hex}"
+
+    def _remove(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(place, True)
 
     @contextmanager
     def staging(self, name: str) -> Iterator[str]:
-        """A path for an intermediate table, emptied again at the end."""
-        path = f"{self.root}/{name}/staging"
+        """A path for an intermediate table, removed at the end."""
+        path = self._fresh_path(name, "staging")
         try:
             yield path
         finally:
-            empty = small_table(self.spark, {"released": "boolean"}, [])
-            empty.write.mode("overwrite").parquet(path)
+            self._remove(path)
 
-    def _replace(self, info: CollectionInfo, points: DataFrame, together: bool) -> CollectionInfo:
-        """Write the points to the free slot and make it the current one.
+    def _replace(
+        self,
+        info: CollectionInfo,
+        points: DataFrame,
+        together: bool,
+        stay: Sequence[Row] = (),
+    ) -> CollectionInfo:
+        """Write the points as new blocks and make them, with the blocks that
+        ``stay``, the current contents.
 
         ``together`` says that near ids are in the same partitions already.
-        Otherwise one shuffle by id range sees to it, as each task writes a file
-        for every block it has points of.
+        Otherwise one shuffle by id range sees to it. Ids have to be unique: one
+        sum over the ids just stored finds those that are not.
         """
-        slot = 0 if info.slot is None else 1 - info.slot
-        path = self._slot_path(info.name, slot)
-        size = info.block_size
+        path = self._fresh_path(info.name, "points")
         # A vector of another size fails the write itself.
         message = F.concat(
             F.lit("vector size "), F.size("vector"), F.lit(f" instead of {info.vector_size}")
         )
         right_size = F.when(F.size("vector") == info.vector_size, F.col("vector"))
+        checked = (points if together else points.repartitionByRange("id")).withColumn(
+            "vector", right_size.otherwise(F.raise_error(message))
+        )
         (
-            (points if together else points.repartitionByRange("id"))
-            .withColumn("vector", right_size.otherwise(F.raise_error(message)))
-            .withColumn("block", F.expr(f"(id - pmod(id, {size})) div {size}"))
-            .sortWithinPartitions("block", "id")
-            .write.partitionBy("block")
-            .mode("overwrite")
+            checked.sortWithinPartitions("id")
+            .write.option("maxRecordsPerFile", info.block_size)
             .parquet(path)
         )
-        # Counted from what is stored: footers and the id column only.
-        schema = points.select("id").schema
-        stored = self.spark.read.schema(schema).parquet(path)
-        count, low, high = stored.agg(F.count("*"), F.min("id"), F.max("id")).first()
+        # Only the id column is read back.
+        stored = self.spark.read.schema(points.select("id").schema).parquet(path)
+        if not stored.groupBy("id").count().where("count > 1").isEmpty():
+            self._remove(path)
+            raise ValueError("a point id occurs more than once")
+        new = (
+            stored.groupBy(F.col("_metadata.file_path").alias("path"))
+            .agg(F.count("*").alias("points"), F.min("id").alias("min_id"), F.max("id").alias("max_id"))
+            .select(*[F.col(c).cast(kind) for c, kind in _BLOCK_FIELDS.items()])
+        )
+        kept = small_table(self.spark, _BLOCK_FIELDS, [tuple(b) for b in stay])
+        table = self._fresh_path(info.name, "blocks")
+        new.unionByName(kept).coalesce(1).write.parquet(table)
+        count, low, high = (
+            self.spark.read.schema(_BLOCK_SCHEMA)
+            .parquet(table)
+            .agg(F.coalesce(F.sum("points"), F.lit(0)), F.min("min_id"), F.max("max_id"))
+            .first()
+        )
         return self._commit(
             replace(
                 info,
@@ -234,8 +278,10 @@ class CollectionStore:
                 points_count=count,
                 min_id=low,
                 max_id=high,
-                slot=slot,
-            )
+                block_table=table,
+                point_schema=checked.schema.json(),
+            ),
+            info.version,
         )
 
     def recreate(
@@ -248,13 +294,39 @@ class CollectionStore:
         block_size: int = _BLOCK_SIZE,
     ) -> CollectionInfo:
         """A new collection of that name in place of any old one: empty, or with
-        the points given, which then appear in the same change."""
+        the points given, which then appear in the same change. Of what was there
+        before, the last version stays on disk for its readers."""
         old = self.find(name)
-        version, slot = (old.version, old.slot) if old else (0, None)
-        fresh = CollectionInfo(name, version, vector_size, distance, block_size, slot=slot)
+        version = old.version if old else 0
+        fresh = CollectionInfo(name, version, vector_size, distance, block_size)
         if points is None:
-            return self._commit(replace(fresh, version=version + 1))
-        return self._replace(fresh, points, together)
+            made = self._commit(replace(fresh, version=version + 1), version)
+        else:
+            made = self._replace(fresh, points, together)
+        self._prune(made, old)
+        return made
+
+    def _prune(self, *versions: CollectionInfo | None) -> None:
+        """Remove what none of these versions of a collection names."""
+        named = {v.block_table for v in versions if v and v.block_table}
+        for v in versions:
+            named.update(b["path"].rpartition("/")[0] for b in (self._blocks(v) if v else ()))
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{versions[0].name}")
+        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(place):
+            return
+        keep = {path.rpartition("/")[2] for path in named}
+        for entry in files.listStatus(place):
+            kind = entry.getPath().getName()
+            if kind.startswith(("points-", "blocks-")) and kind not in keep:
+                files.delete(entry.getPath(), True)
+
+    def delete(self, name: str) -> bool:
+        """Remove a collection's points and registry; whether there was one."""
+        found = self.exists(name)
+        self._remove(self._registry_path(name))
+        self._remove(f"{self.root}/{name}")
+        return found
 
     def write_points(self, name: str, points: DataFrame, together: bool = False) -> CollectionInfo:
         """Make the points the whole contents. All tasks write at once; nothing
@@ -265,28 +337,42 @@ class CollectionStore:
     def upsert(self, name: str, points: DataFrame) -> CollectionInfo:
         """Insert points, replacing those with the same id.
 
-        The new points are staged first, so their number is known. Few ids are
-        broadcast and the stored points pass by them without a shuffle; with
-        many, old and new are range-partitioned by id in a single shuffle and
-        the new one of each pair is kept. Ids have to be unique among the new.
+        Only blocks in whose id range a new id lies are read and written again, in
+        one shuffle with the new points; all others stay as they are. Ids have to
+        be unique among the new.
         """
         info = self.info(name)
         with self.staging(name) as path:
-            points.write.mode("overwrite").parquet(path)
+            points.write.parquet(path)
             new = self.spark.read.parquet(path)
             if not new.groupBy("id").count().where("count > 1").isEmpty():
                 raise ValueError("a point id occurs more than once among the new points")
             if info.points_count == 0:
                 return self._replace(info, new, together=False)
-            old = self.open(name).points
-            few = new.count() <= _BROADCAST_IDS
-            merged = self.merge_few(old, new) if few else self.merge_many(old, new)
-            return self._replace(info, merged, together=True)
+            blocks = self._blocks(info)
+            touched = set(self._touched(new, blocks))
+            stay = [b for i, b in enumerate(blocks) if i not in touched]
+            again = [b for i, b in enumerate(blocks) if i in touched]
+            schema = StructType.fromJson(json.loads(info.point_schema))
+            old = self.spark.read.schema(schema)
+            # Without a touched block the stored schema still has to be met.
+            rows = old.parquet(*[b["path"] for b in again]) if again else old.parquet(blocks[0]["path"]).where(F.lit(False))
+            return self._replace(info, self.merge_many(rows, new), together=True, stay=stay)
 
     @staticmethod
-    def merge_few(old: DataFrame, new: DataFrame) -> DataFrame:
-        kept = old.join(F.broadcast(new.select("id")), "id", "left_anti")
-        return kept.unionByName(new.repartitionByRange("id"), allowMissingColumns=True)
+    def _touched(new: DataFrame, blocks: Sequence[Row]) -> list[int]:
+        """Positions of the blocks in whose range any of the ids lies."""
+        low = np.array([b["min_id"] for b in blocks], np.int64)
+        high = np.array([b["max_id"] for b in blocks], np.int64)
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = np.sort(batch.column(0).to_numpy(zero_copy_only=False))
+                hit = np.searchsorted(ids, low) < np.searchsorted(ids, high, side="right")
+                yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(hit))], ["block"])
+
+        found = new.select(F.col("id").cast("long")).mapInArrow(meet, "block long").distinct()
+        return [r["block"] for r in found.collect()]
 
     @staticmethod
     def merge_many(old: DataFrame, new: DataFrame) -> DataFrame:
