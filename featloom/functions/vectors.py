@@ -4,14 +4,16 @@ Two forms. Over scalar columns the arithmetic is written out, so that it becomes
 part of the stage's generated code; that suits the handful of columns of a
 feature table. With many columns and centres such code grows too large for the
 JVM to compile and gets far slower than anything else, so wide vectors are
-labelled by numpy in Arrow batches instead.
+labelled by numpy in Arrow batches instead. Both add up coordinate by coordinate,
+so they give the same bits, and in both a row with a null or NaN coordinate has
+neither label nor distance.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 import numpy as np
 import pandas as pd
@@ -43,6 +45,11 @@ def squared_distances(columns: Sequence[str], centers: Centers) -> Column:
     return F.array(*[squared_distance(columns, c) for c in centers])
 
 
+def present(columns: Sequence[str]) -> Column:
+    """Whether no column is null or NaN."""
+    return reduce(and_, [F.col(c).isNotNull() & ~F.isnan(c) for c in columns])
+
+
 def index_of_smallest(array_col: str) -> Column:
     """Position from 0 of the smallest element; on a tie the lowest position.
 
@@ -51,26 +58,36 @@ def index_of_smallest(array_col: str) -> Column:
     return (F.array_position(array_col, F.array_min(array_col)) - 1).cast("int")
 
 
+def summed(terms: Iterable[np.ndarray]) -> np.ndarray:
+    """Added up one after the other, as generated code does; numpy's own sum
+    pairs terms and may differ in the last bits."""
+    return reduce(add, terms)
+
+
 def nearest_in_batches(vector: Column, centers: Centers) -> Column:
     """Struct of the nearest centre's index and its squared distance, for an
-    array column of any width. A null vector gives null."""
+    array column of any width. A null vector, and one with a null or NaN
+    element, gives null."""
     points = np.array(centers, dtype="float64")
 
     @F.pandas_udf("cluster int, distance double")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
-        present = vectors.notna().to_numpy()
+        whole = vectors.notna().to_numpy()
+        x = np.array(vectors[whole].to_list(), dtype="float64").reshape(int(whole.sum()), points.shape[1])
+        known = ~np.isnan(x).any(axis=1)
+        whole[whole] = known
         found = pd.DataFrame(
             {
                 "cluster": pd.Series(pd.NA, index=vectors.index, dtype="Int32"),
                 "distance": pd.Series(pd.NA, index=vectors.index, dtype="Float64"),
             }
         )
-        if present.any():
-            x = np.vstack(vectors[present].to_list())
+        if whole.any():
+            x = x[known]
             # One centre at a time keeps the batch's working memory at its own size.
-            distances = np.column_stack([((x - p) ** 2).sum(axis=1) for p in points])
-            found.loc[present, "cluster"] = distances.argmin(axis=1)
-            found.loc[present, "distance"] = distances.min(axis=1)
+            distances = np.column_stack([summed((x[:, i] - c) ** 2 for i, c in enumerate(p)) for p in points])
+            found.loc[whole, "cluster"] = distances.argmin(axis=1)
+            found.loc[whole, "distance"] = distances.min(axis=1)
         return found
 
     return nearest(vector)

@@ -44,8 +44,10 @@ def keep_within(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> Dat
 
 
 def limit_rows(df: DataFrame, n: int, order_by: Sequence[str] = ()) -> DataFrame:
-    """At most n rows: the first by the key, or any if there is no key."""
-    return (df.orderBy(*order_by) if order_by else df).limit(n)
+    """The first n rows by the key; without a key it would be any n, so it is asked for."""
+    if not order_by:
+        raise ValueError("a row limit needs order_by")
+    return df.orderBy(*order_by).limit(n)
 
 
 def add_tier(df: DataFrame, spec: TierSpec) -> DataFrame:

@@ -14,6 +14,7 @@ from featloom.functions.vectors import (
     feature_array,
     index_of_smallest,
     nearest_in_batches,
+    present,
     squared_distances,
     written_out,
 )
@@ -21,10 +22,6 @@ from featloom.operators.features import fit_features
 from featloom.sources.local import small_table
 from featloom.specs import ClusterSpec
 
-# A fit passes over the rows tens of times. Below this many rows per task more
-# tasks would not pay; tables of that size are left as they are stored.
-_ROWS_PER_TASK = 50_000
-
 
 def fit_kmeans(scaled: DataFrame, spec: ClusterSpec) -> KMeansModel:
     """Fit on the scaled vector column. The estimator keeps the vectors, and
@@ -40,17 +37,9 @@ def fit_kmeans(scaled: DataFrame, spec: ClusterSpec) -> KMeansModel:
     ).fit(scaled.select(spec.scaled_features_col))
 
 
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """Use all cores for a table of many rows stored in few pieces."""
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, rows // _ROWS_PER_TASK)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
-def fit_model(
-    df: DataFrame, columns: Sequence[str], spec: ClusterSpec, rows: int = 0
-) -> PipelineModel:
-    """Scaler and clusters fitted on the columns, as one model. With the number
-    of rows given, the fit uses more tasks than the source has if it helps."""
+def fit_model(df: DataFrame, columns: Sequence[str], spec: ClusterSpec) -> PipelineModel:
+    """Scaler and clusters fitted on the columns, as one model, in as many
+    partitions as ``spec`` says."""
     features = fit_features(
         df,
         columns,
@@ -58,7 +47,8 @@ def fit_model(
         scaled_features_col=spec.scaled_features_col,
     )
     # The plain columns are what moves, not the vectors made of them.
-    scaled = features.transform(spread(df.select(*columns), rows))
+    rows = df.select(*columns)
+    scaled = features.transform(rows.repartition(spec.partitions) if spec.partitions else rows)
     return join_models(features, fit_kmeans(scaled, spec))
 
 
@@ -122,11 +112,13 @@ def result_columns(
 def assign_nearest(
     df: DataFrame, columns: Sequence[str], centers: Centers, output: str = "prediction"
 ) -> DataFrame:
-    """Label each row with its nearest given centre, by scalar columns."""
+    """Label each row with its nearest given centre, by scalar columns; null if
+    one of them is missing."""
     if not written_out(columns, centers):
         return df.withColumn(output, nearest_in_batches(feature_array(columns), centers)["cluster"])
     distances = df.withColumn("_distances", squared_distances(columns, centers))
-    return distances.withColumn(output, index_of_smallest("_distances")).drop("_distances")
+    label = F.when(present(columns), index_of_smallest("_distances"))
+    return distances.withColumn(output, label).drop("_distances")
 
 
 def assign_nearest_array(
@@ -152,9 +144,10 @@ def lloyd_step(df: DataFrame, columns: Sequence[str], centers: Centers) -> DataF
 
 
 def within_cluster_cost(df: DataFrame, columns: Sequence[str], centers: Centers) -> DataFrame:
-    """Sum of squared distances of all rows to their nearest centre, one row."""
+    """Sum of squared distances of all rows without missing values to their nearest
+    centre, one row."""
     if written_out(columns, centers):
-        smallest = F.array_min(squared_distances(columns, centers))
+        smallest = F.when(present(columns), F.array_min(squared_distances(columns, centers)))
     else:
         smallest = nearest_in_batches(feature_array(columns), centers)["distance"]
     return df.agg(F.sum(smallest).alias("cost"))

@@ -78,11 +78,13 @@ def model_scaler(
 def standardise(
     df: DataFrame, stats: Mapping[str, tuple[float, float]], suffix: str = "_scaled"
 ) -> DataFrame:
-    """Add (x - mean) / std per column; a column without spread gives 0."""
+    """Add (x - mean) / std per column; a column without spread gives 0, and a
+    missing value stays missing."""
 
     def scaled(column: str, mean: float, std: float | None):
         if not std:
-            return F.lit(0.0)
+            missing = F.col(column).isNull() | F.isnan(column)
+            return F.when(missing, F.col(column)).otherwise(F.lit(0.0)).cast("double")
         return (F.col(column) - F.lit(mean)) / F.lit(std)
 
     return df.withColumns({c + suffix: scaled(c, m, s) for c, (m, s) in stats.items()})

@@ -12,12 +12,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from featloom.functions.vectors import written_out
-from featloom.operators.cluster import evaluate
-from featloom.operators.features import assemble
-from featloom.sources.local import small_table
+from featloom.functions.vectors import feature_array, present, summed, written_out
 
 
 def _sum(terms: Sequence[Column]) -> Column:
@@ -42,16 +41,13 @@ def cluster_moments(
 def silhouette(
     predictions: DataFrame, columns: Sequence[str], prediction_col: str = "prediction"
 ) -> DataFrame:
-    """One row with the mean silhouette. The moments, one row per cluster, go
-    into the second pass as literals; with too many columns and clusters for
-    that, the ML evaluator takes over."""
+    """One row with the mean silhouette of the rows without missing values. The
+    moments, one row per cluster, go into the second pass as literals or, with many
+    columns and clusters, to numpy in Arrow batches; the sums are the same."""
+    predictions = predictions.where(present(columns) & F.col(prediction_col).isNotNull())
     moments = cluster_moments(predictions, columns, prediction_col).collect()
     if len(moments) < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    if not written_out(columns, moments):
-        vectors = assemble(predictions.select(*columns, prediction_col), columns, "_vector")
-        score = evaluate(vectors, "_vector", prediction_col)
-        return small_table(predictions.sparkSession, {"silhouette": "double"}, [(score,)])
 
     def mean_distance(m: Row) -> Column:
         dot = _sum([F.col(c) * (m[f"sum_{i}"] / m["size"]) for i, c in enumerate(columns)])
@@ -65,6 +61,10 @@ def silhouette(
     def _is(m: Row) -> Column:
         return F.col(prediction_col) == m["cluster"]
 
+    if written_out(columns, moments):
+        means = F.array(*[mean_distance(m) for m in moments])
+    else:
+        means = _means_in_batches(columns, moments)
     own = F.coalesce(*[own_mean(i, m) for i, m in enumerate(moments)])
     other = F.least(*[F.when(~_is(m), F.col("_means")[i]) for i, m in enumerate(moments)])
     alone = F.col(prediction_col).isin([m["cluster"] for m in moments if m["size"] == 1])
@@ -74,7 +74,26 @@ def silhouette(
     )
     return (
         predictions.select(prediction_col, *columns, _squared_norm(columns).alias("_norm"))
-        .select(prediction_col, F.array(*[mean_distance(m) for m in moments]).alias("_means"))
+        .select(prediction_col, means.alias("_means"))
         .select(own.alias("own"), other.alias("other"), alone.alias("alone"))
         .agg(F.avg(score).alias("silhouette"))
     )
+
+
+def _means_in_batches(columns: Sequence[str], moments: Sequence[Row]) -> Column:
+    """Array of the mean distances to the clusters, in their order."""
+    centers = [[m[f"sum_{i}"] / m["size"] for i in range(len(columns))] for m in moments]
+    squares = [m["squares"] / m["size"] for m in moments]
+
+    @F.pandas_udf("array<double>")
+    def means(vectors: pd.Series, norms: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        x, norm = np.stack(vectors.to_list()), norms.to_numpy()
+        found = [
+            norm + q - summed(x[:, i] * c for i, c in enumerate(center)) * 2.0
+            for center, q in zip(centers, squares)
+        ]
+        return pd.Series(list(np.column_stack(found)))
+
+    return means(feature_array(columns), F.col("_norm"))

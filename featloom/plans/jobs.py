@@ -88,8 +88,7 @@ def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
     """
     columns, settings = spec.clean.columns, spec.cluster
     source = read_parquet(spark, spec.preprocessed_path)
-    rows = source.count()
-    model = fit_model(source, columns, settings, rows)
+    model = fit_model(source, columns, settings)
     predictions = predict(source, model)
     result = result_columns(predictions, columns, settings.prediction_col, settings.passthrough)
     write_parquet(result, spec.predictions_path)
@@ -99,7 +98,7 @@ def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
     score = silhouette(
         scaled, [f"{c}_scaled" for c in columns], settings.prediction_col
     ).first()["silhouette"]
-    log.info("%d rows clustered, silhouette %.4f", rows, score)
+    log.info("%d rows clustered, silhouette %.4f", stored.count(), score)
     return ClusterResult(
         predictions=stored,
         model=model,
@@ -138,6 +137,9 @@ _MODES = {
 }
 
 
+MODES = (*_MODES, "all")
+
+
 def run_mode(spark: SparkSession, mode: str | None, spec: PipelineSpec):
     """One job by name; without a name, or with an unknown one, preprocess."""
     return _MODES.get(mode, preprocess)(spark, spec)

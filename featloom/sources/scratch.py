@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
-_SETTING = "spark.checkpoint.dir"
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="featloom-")
+# The first that is set. Both are folders that all executors share.
+_SETTINGS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder the session names for checkpoints.
-
-    Only a local session without that setting gets a temporary folder; on a
-    cluster the setting is required, as executors do not share local disks.
-    """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder all executors share")
-        base = _local_folder()
+    """A new path in the shared folder that the session names for checkpoints or,
+    if it names none, in its warehouse."""
+    base = next(filter(None, (spark.conf.get(s, None) for s in _SETTINGS)), None)
+    if base is None:
+        raise ValueError(f"set {_SETTINGS[0]} to a folder all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

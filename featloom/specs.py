@@ -56,8 +56,8 @@ class CleanSpec:
     upper_bounds: Mapping[str, float] = field(default_factory=lambda: dict(DEFAULT_UPPER_BOUNDS))
     band: BandSpec | None = BandSpec()
     tier: TierSpec | None = TierSpec()
-    # None keeps every row. Without order_by, which rows survive is not defined.
-    row_limit: int | None = 1000
+    # None keeps every row; a limit needs order_by, the key that says which stay.
+    row_limit: int | None = None
     order_by: tuple[str, ...] = ()
     # Columns carried along untouched: row keys, anything to be published later.
     passthrough: tuple[str, ...] = ()
@@ -69,6 +69,9 @@ class ClusterSpec:
     seed: int = 51
     max_iter: int = 20
     tol: float = 1e-4
+    # Partitions to fit in; None: as stored. A fit depends on how rows are split,
+    # so the number is the caller's and never the cluster's.
+    partitions: int | None = None
     features_col: str = "features"
     scaled_features_col: str = "scaled_features"
     prediction_col: str = "prediction"
@@ -78,10 +81,11 @@ class ClusterSpec:
 
 @dataclass(frozen=True)
 class CollectionSpec:
-    root: str = "data/collections"
+    root: str
     input_name: str = DEFAULT_INPUT_COLLECTION
     output_name: str = DEFAULT_OUTPUT_COLLECTION
     distance: str = "Cosine"
+    # Only says what batch_counts reports; writing is by partition.
     batch_size: int = 512
 
 
@@ -89,11 +93,11 @@ class CollectionSpec:
 class PipelineSpec:
     """Everything the jobs need. Paths have to be on storage all executors see."""
 
-    source_path: str = "data/raw/products.csv"
+    source_path: str
+    preprocessed_path: str
+    predictions_path: str
+    model_path: str
+    collections: CollectionSpec
     separator: str = "\t"
-    preprocessed_path: str = "data/processed/preprocessed.parquet"
-    predictions_path: str = "data/processed/predictions.parquet"
-    model_path: str = "data/processed/kmeans_model"
     clean: CleanSpec = CleanSpec()
     cluster: ClusterSpec = ClusterSpec()
-    collections: CollectionSpec = CollectionSpec()

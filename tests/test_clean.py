@@ -54,7 +54,13 @@ def test_tiers_on_their_cut_points(spark):
 def test_limit_by_key_and_without(spark):
     df = spark.range(100).withColumn("x", F.lit(1.0)).repartition(8)
     assert values(cleaning.limit_rows(df, 3, ["id"]), "id") == [0, 1, 2]
-    assert cleaning.limit_rows(df, 3).count() == 3
+    with pytest.raises(ValueError, match="order_by"):
+        cleaning.limit_rows(df, 3)
+
+
+def test_default_settings_keep_every_row(spark):
+    df = spark.range(3000).select(*[F.lit(1.0).alias(c) for c in CleanSpec().columns])
+    assert cleaning.clean(df, CleanSpec()).count() == 3000
 
 
 def test_text_to_double(spark):
@@ -87,7 +93,7 @@ def test_default_chain(spark):
     cleaned = cleaning.clean(products(spark), CleanSpec(row_limit=None))
     assert cleaned.columns == [*CleanSpec().columns, "energy_tier"]
     assert cleaned.count() == 1800
-    assert cleaning.clean(products(spark), CleanSpec()).count() == 1000
+    assert cleaning.clean(products(spark), CleanSpec()).count() == 1800
 
 
 def test_default_band_removes_nothing_and_an_exact_one_does(spark):

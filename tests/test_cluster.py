@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from featloom.functions import vectors
 from featloom.operators import cluster as clustering
 from featloom.operators.features import (
     assemble,
@@ -109,7 +110,7 @@ def test_a_fit_over_the_same_stored_rows_is_the_same(spark, tmp_path):
 
 def test_what_holds_of_any_fit(spark):
     df, names = blobs(spark, k=3, each=40, columns=3)
-    model = clustering.fit_model(df, names, ClusterSpec(k=5), rows=df.count())
+    model = clustering.fit_model(df, names, ClusterSpec(k=5))
     predictions = clustering.predict(df, model)
     sizes = clustering.cluster_sizes(predictions).collect()
     assert sum(r["cluster_size"] for r in sizes) == 120
@@ -167,9 +168,44 @@ def test_lloyd_step_does_not_raise_the_cost(spark):
     assert clustering.within_cluster_cost(df, names, moved).first()["cost"] <= cost
 
 
-def test_spread_only_large_tables_in_few_pieces(spark):
-    one = spark.range(10).coalesce(1)
-    assert clustering.spread(one, 1000).rdd.getNumPartitions() == 1
-    assert clustering.spread(one, 10_000_000).rdd.getNumPartitions() == 8
-    many = spark.range(100).repartition(20)
-    assert clustering.spread(many, 10_000_000).rdd.getNumPartitions() == 20
+def test_a_fit_does_not_depend_on_the_cluster(spark):
+    df, names = blobs(spark, k=3, each=40, columns=3)
+    spec = ClusterSpec(k=4, partitions=3)
+    centers = [clustering.model_centers(spark, clustering.fit_model(df, names, spec)).collect() for _ in range(2)]
+    assert centers[0] == centers[1]
+
+
+@pytest.mark.parametrize("terms", [0, 1_000_000])
+def test_missing_values_have_no_label_either_way(spark, monkeypatch, terms):
+    monkeypatch.setattr(vectors, "WRITTEN_OUT_TERMS", terms)
+    rows = [(None, 1.0), (float("nan"), 1.0), (5.0, 1.0), (0.0, 0.0), (0.1, 0.2)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    centers = [[0.0, 0.0], [5.0, 1.0], [0.1, 0.3]]
+    found = clustering.assign_nearest(df, ["a", "b"], centers).collect()
+    assert [r["prediction"] for r in found] == [None, None, 1, 0, 2]
+    array = df.withColumn("v", F.array("a", "b"))
+    found = clustering.assign_nearest_array(array, "v", centers).collect()
+    assert [r["prediction"] for r in found] == [None, None, 1, 0, 2]
+    cost = clustering.within_cluster_cost(df, ["a", "b"], centers).first()["cost"]
+    assert cost == pytest.approx(0.01)
+
+
+def test_both_forms_give_the_same_bits(spark, monkeypatch):
+    df, names = blobs(spark, k=5, each=40, columns=9)
+    centers = [[100.0 * i + j for j in range(9)] for i in range(20)]
+    found = []
+    for terms in (0, 1_000_000):
+        monkeypatch.setattr(vectors, "WRITTEN_OUT_TERMS", terms)
+        labelled = clustering.assign_nearest(df, names, centers)
+        score = silhouette(labelled, names).first()["silhouette"]
+        cost = clustering.within_cluster_cost(df, names, centers).first()["cost"]
+        found.append((sorted(map(tuple, labelled.collect())), pytest.approx(score, abs=1e-12), cost))
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("terms", [0, 1_000_000])
+def test_silhouette_leaves_out_missing_values_and_takes_text_labels(spark, monkeypatch, terms):
+    monkeypatch.setattr(vectors, "WRITTEN_OUT_TERMS", terms)
+    rows = [(0.0, "x"), (0.0, "x"), (9.0, "y"), (None, "x"), (float("nan"), "y")]
+    df = spark.createDataFrame(rows, "a double, prediction string")
+    assert silhouette(df, ["a"]).first()["silhouette"] == pytest.approx(2 / 3)

@@ -3,12 +3,12 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from featloom.__main__ import _parser, _spec
+from featloom.__main__ import _parser, _spec, main
 from featloom.plans import jobs
 from featloom.operators.cluster import evaluate, load_model, predict
 from featloom.sources.collection import CollectionStore
 from featloom.sources.delimited import load_features, read_delimited
-from featloom.specs import CollectionSpec, PipelineSpec
+from featloom.specs import BandSpec, CleanSpec, CollectionSpec, PipelineSpec, TierSpec
 
 from test_clean import products
 
@@ -56,13 +56,13 @@ def test_all_jobs(spark, spec):
     result = jobs.run_all(spark, spec)
     loaded = products(spark).na.drop().where("fat_100g <> 33.0").count()
     assert result.ingested.points_count == loaded
-    assert result.preprocessed.count() == 1000
+    assert result.preprocessed.count() == 1778
     assert result.preprocessed.columns == [*spec.clean.columns, "energy_tier"]
     clusters = result.clusters
     assert clusters.predictions.dtypes == [*[(c, "double") for c in spec.clean.columns], ("prediction", "int")]
-    assert clusters.sizes.agg(F.sum("cluster_size")).first()[0] == 1000
+    assert clusters.sizes.agg(F.sum("cluster_size")).first()[0] == 1778
     assert clusters.centers.count() == 5 and -1 <= clusters.silhouette <= 1
-    assert result.published.points_count == 1000
+    assert result.published.points_count == 1778
 
     store = CollectionStore(spark, spec.collections.root)
     names = [r["name"] for r in store.list_collections().collect()]
@@ -90,7 +90,7 @@ def test_a_rerun_replaces_and_does_not_ingest_again(spark, spec):
     version = store.info("products_raw").version
     jobs.run_all(spark, replace(spec, source_path="/nowhere"))
     assert store.info("products_raw").version == version
-    assert store.info("products_clustered").points_count == 1000
+    assert store.info("products_clustered").points_count == 1778
 
 
 def test_the_tier_can_be_carried_to_the_end(spark, spec):
@@ -115,8 +115,37 @@ def test_preprocess_without_data(spark, spec, tmp_path):
         jobs.preprocess(spark, empty)
 
 
+PATHS = ["--root", "/r", "--source-path", "/s", "--preprocessed-path", "/p", "--predictions-path", "/q", "--model-path", "/m"]
+
+
 def test_command_line():
-    assert _parser().parse_args([]).mode == "preprocess"
-    spec = _spec(_parser().parse_args(["all", "--row-limit", "-1", "--k", "3", "--root", "/r"]))
-    assert spec.clean.row_limit is None and spec.cluster.k == 3 and spec.collections.root == "/r"
-    assert _spec(_parser().parse_args([])) == PipelineSpec()
+    assert _parser().parse_args(PATHS).mode == "preprocess"
+    paths = PATHS
+    spec = _spec(_parser().parse_args(["all", "--k", "3", *paths]))
+    assert spec == PipelineSpec("/s", "/p", "/q", "/m", CollectionSpec("/r"), cluster=replace(spec.cluster, k=3))
+    assert spec.clean.row_limit is None
+    more = ["--columns", "a,b", "--upper-bound", "a=5", "--tier", "b:1:2:grade", "--band", "0.1:0.9:0",
+            "--order-by", "key", "--passthrough", "key,name", "--row-limit", "7"]
+    clean = _spec(_parser().parse_args(["preprocess", *paths, *more])).clean
+    assert clean == CleanSpec(
+        ("a", "b"), {"a": 5.0}, BandSpec(0.1, 0.9, 0.0), TierSpec("b", 1.0, 2.0, "grade"), 7, ("key",), ("key", "name")
+    )
+    none = _spec(_parser().parse_args(["preprocess", *paths, "--columns", "a", "--tier", "none", "--band", "none"])).clean
+    assert none == CleanSpec(("a",), {}, None, None)
+
+
+def test_any_table_by_arguments_alone(spark, sf_dir, tmp_path, monkeypatch):
+    columns = ("l_quantity", "l_tax")
+    base = str(tmp_path)
+    table = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    table.write.options(header=True, sep="\t").csv(f"{base}/raw")
+    arguments = ["--root", f"{base}/c", "--source-path", f"{base}/raw", "--preprocessed-path", f"{base}/p",
+                 "--predictions-path", f"{base}/q", "--model-path", f"{base}/m", "--columns", ",".join(columns),
+                 "--upper-bound", "l_quantity=40", "--tier", "l_quantity:10:20:size", "--band", "none",
+                 "--passthrough", "l_orderkey"]
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    main(["upload", *arguments])
+    main(["preprocess", *arguments])
+    found = spark.read.parquet(f"{base}/p")
+    assert found.columns == ["l_orderkey", *columns, "size"]
+    assert found.count() == table.where("l_quantity < 40").count()

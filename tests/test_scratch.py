@@ -4,24 +4,26 @@ from featloom.sources.scratch import scratch_path
 
 
 class Session:
-    """The two things a scratch path is made from."""
+    """The settings a scratch path is made from."""
 
-    def __init__(self, master, folder=None):
-        self.conf, self.sparkContext, self.master, self.folder = self, self, master, folder
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
 
     def get(self, name, default):
-        assert name == "spark.checkpoint.dir"
-        return self.folder or default
+        return self.settings.get(name.removeprefix("spark.").replace(".", "_"), default)
 
 
 def test_paths_are_new_and_below_the_setting(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(f"{folder}/x-")
-    assert scratch_path(Session("yarn", "s3a://b/c/"), "x").startswith("s3a://b/c/x-")
+    assert scratch_path(Session(checkpoint_dir="s3a://b/c/"), "x").startswith("s3a://b/c/x-")
 
 
-def test_a_cluster_has_to_name_a_shared_folder():
+def test_the_warehouse_stands_in():
+    both = Session(checkpoint_dir="hdfs://a", sql_warehouse_dir="hdfs://b")
+    assert scratch_path(both, "x").startswith("hdfs://a/")
+    assert scratch_path(Session(sql_warehouse_dir="hdfs://b"), "x").startswith("hdfs://b/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(Session("yarn"), "x")
-    assert "featloom-" in scratch_path(Session("local[2]"), "x")
+        scratch_path(Session(), "x")
