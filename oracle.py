@@ -59,6 +59,18 @@ ab AS (SELECT rid, max(CASE WHEN own = other THEN n END) AS n,
 SELECT round(avg(CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1
   ELSE 0 END), 4) AS silhouette FROM ab"""
 
+SILHOUETTE_WIDE = SILHOUETTE.replace(
+    _SCALED_LABELLED,
+    f"WITH {SCALED},\nlabelled AS (SELECT *, row_number() OVER () AS rid, l_suppkey % 20 AS prediction FROM z)",
+)
+
+_WHOLE = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATURES)
+
+# lineitem with nulls, NaN and negative values in the features.
+GAPS = """lineitem AS (SELECT * REPLACE (nullif(l_discount, 0) AS l_discount,
+  CASE WHEN l_tax = 0.01::DOUBLE THEN 'NaN'::DOUBLE ELSE l_tax END AS l_tax,
+  CASE WHEN l_quantity = 13 THEN -13 ELSE l_quantity END AS l_quantity) FROM main.lineitem)"""
+
 _FIXED = f"""FROM lineitem WHERE {" AND ".join(
     f"{c} IS NOT NULL AND NOT isnan({c}) AND {c} >= 0" for c in FEATURES
 )} AND l_quantity < 50 AND l_extendedprice < 100000 AND l_discount < 0.1::DOUBLE
@@ -80,7 +92,7 @@ _IN_BAND = " AND ".join(f"{c} >= lo_{c} AND {c} <= hi_{c}" for c in FEATURES)
 
 def _chain(ends: tuple[str, str], limit: bool) -> str:
     last = f"ORDER BY {ROW_KEY} LIMIT 1000" if limit else ""
-    return f"""WITH fixed AS (SELECT {COLUMNS} {_FIXED}),
+    return f"""WITH {GAPS}, fixed AS (SELECT {COLUMNS} {_FIXED}),
 {_band("fixed", *ends)},
 kept AS (SELECT {COLUMNS} FROM fixed, band WHERE {_IN_BAND} {last})
 SELECT {COLUMNS}, {PRICE_TIER} FROM kept"""
@@ -133,12 +145,12 @@ FROM events GROUP BY 1""",
     "preprocess_chain": _chain(_DISC, True),
     "preprocess_chain_whole": _chain(_DISC, False),
     "preprocess_chain_default_band": _chain(_ENDS, False),
-    "stage_funnel": f"""WITH fixed AS (SELECT {COLUMNS} {_FIXED}),
-{_band("fixed", *_DISC)}
-SELECT count(*) AS input_rows,
-  count(*) FILTER ({" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATURES)})
-    AS after_missing,
-  count(*) FILTER ({" AND ".join(f"{c} >= 0" for c in FEATURES)}) AS after_non_negative,
+    "stage_funnel": f"""WITH {GAPS}, fixed AS (SELECT {COLUMNS} {_FIXED}),
+{_band("fixed", *_DISC)},
+whole AS (FROM lineitem WHERE {_WHOLE})
+SELECT count(*) AS input_rows, (SELECT count(*) FROM whole) AS after_missing,
+  (SELECT count(*) FROM whole WHERE {" AND ".join(f"{c} >= 0" for c in FEATURES)})
+    AS after_non_negative,
   (SELECT count(*) FROM fixed) AS after_upper_bounds,
   (SELECT count(*) FROM fixed, band WHERE {_IN_BAND}) AS after_band
 FROM lineitem""",
@@ -161,8 +173,19 @@ FROM part""",
     ),
     "standardise": f"WITH {SCALED} SELECT {ROW_KEY}, {_ROUNDED_SCALED} FROM z",
     "feature_build": f"WITH {SCALED} SELECT {ROW_KEY}, {_ROUNDED_SCALED} FROM z",
-    "constant_column": f"""SELECT {ROW_KEY}, 0.0::DOUBLE AS by_model, 0.0::DOUBLE AS by_column
-FROM lineitem""",
+    "constant_column": f"""SELECT {ROW_KEY}, 0.0::DOUBLE AS by_model, 0.0::DOUBLE AS by_column,
+  CASE WHEN l_linenumber > 1 THEN 0.0::DOUBLE END AS with_missing FROM lineitem""",
+    "assign_missing": f"""WITH {GAPS}, whole AS (SELECT * FROM lineitem
+  WHERE {_WHOLE}),
+{_nearest("whole", FEATURES, RAW_CENTERS)}
+SELECT {ROW_KEY}, prediction AS few_terms, prediction AS many_terms FROM labelled
+UNION ALL SELECT {ROW_KEY}, NULL, NULL FROM lineitem
+WHERE NOT ({_WHOLE})""",
+    "silhouette_wide": SILHOUETTE_WIDE,
+    "kmeans_fit": """SELECT CAST(5 AS BIGINT) AS n_centers, count(*) AS n_rows,
+  count(*) AS rows_within FROM lineitem""",
+    "kmeans_embeddings": """SELECT CAST(10 AS BIGINT) AS n_centers, count(*) AS n_rows,
+  count(*) AS rows_within FROM embeddings""",
     "assign_fixed_centers": f"{_RAW_LABELLED} SELECT {ROW_KEY}, prediction FROM labelled",
     "assign_scaled_centers": f"{_SCALED_LABELLED} SELECT {ROW_KEY}, prediction FROM labelled",
     # Distance to the unit point of axis i is |x|^2 + 1 - 2 x_i.
@@ -223,9 +246,22 @@ UNION ALL SELECT 'emptied_parts', 0""",
     "has_data": """SELECT 'parts' AS name, true AS found, count(*) > 0 AS filled FROM part
 UNION ALL SELECT 'small_parts', true, count(*) > 0 FROM part WHERE p_size < 5
 UNION ALL SELECT 'emptied_parts', true, false UNION ALL SELECT 'other_parts', false, false""",
-    "end_to_end": f"""WITH cleaned AS ({_chain(_DISC, False)}),
+    "pages_concatenated": "SELECT p_partkey * 3 AS id, p_name, p_retailprice FROM part",
+    "delete_collection": """SELECT 'parts' AS name, true AS before, false AS after, false AS filled
+UNION ALL SELECT 'small_parts', true, true, count(*) > 0 FROM part WHERE p_size < 5
+UNION ALL SELECT 'emptied_parts', true, true, false""",
+    "empty_read_guard": """SELECT 'parts' AS name, count(*) = 0 AS raised FROM part
+UNION ALL SELECT 'small_parts', count(*) = 0 FROM part WHERE p_size < 5
+UNION ALL SELECT 'emptied_parts', true UNION ALL SELECT 'other_parts', true""",
+    "run_modes": f"""WITH {GAPS}, fixed AS (SELECT count(*) AS n {_FIXED})
+SELECT 'upload' AS mode, count(*) AS n_rows FROM lineitem WHERE {_WHOLE}
+""" + "".join(
+        f"UNION ALL SELECT '{mode}', n FROM fixed\n"
+        for mode in ("preprocess", "cluster", "write-results", "none", "anything")
+    ),
+    "end_to_end": f"""WITH {GAPS.replace("lineitem", "gaps", 1)}, cleaned AS ({_chain(_DISC, False)}),
 total AS (SELECT count(*) AS n, count(*) FILTER (price_tier = 'high') AS high FROM cleaned)
-SELECT 'ingested' AS stage, count(*) AS n_rows FROM lineitem
+SELECT 'ingested' AS stage, count(*) AS n_rows FROM gaps WHERE {_WHOLE}
 UNION ALL SELECT 'preprocessed', n FROM total UNION ALL SELECT 'clustered', n FROM total
 UNION ALL SELECT 'published', n FROM total UNION ALL SELECT 'stored', n FROM total
 UNION ALL SELECT 'clusters', 5 UNION ALL SELECT 'high_tier', high FROM total""",
