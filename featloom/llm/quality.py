@@ -23,7 +23,7 @@ no labels at all). Repeated rows are scored each; other columns are not read.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,6 +79,8 @@ def passages(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     of_byte = np.repeat(passage, np.diff(np.append(begins, len(w.buffer))))
     kind = _KIND[w.buffer].astype(np.int64)
     pair = of_byte[:-1] * PAIRS + kind[:-1] * 16 + kind[1:]
+    # A text's last pair is with the break after it, not with the next text.
+    pair = np.delete(pair, w.text_starts[1:] - 1)
     pairs = np.bincount(pair, minlength=n * PAIRS)[: n * PAIRS].reshape(n, PAIRS)
     x = np.zeros((n, WIDTH), np.float32)
     x[:, :PAIRS] = np.sqrt(pairs / np.maximum(pairs.sum(axis=1, keepdims=True), 1))
@@ -97,7 +99,7 @@ def passages(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
         x[:, PAIRS + 1] = repeated / some
         x[:, PAIRS + 2] = np.minimum(letters / some / 10, 3)
         x[:, PAIRS + 3] = in_passage / size
-        x[:, PAIRS + 4] = np.log1p(np.bincount(owner, minlength=len(texts)))[owner] / 5
+    x[:, PAIRS + 4] = np.log1p(np.bincount(owner, minlength=len(texts)))[owner] / 5
     return x, owner
 
 
@@ -175,9 +177,9 @@ class Model:
         logit = (z / weight[:, None]) @ self.p["c"] + self.p["cb"] + self.shift
         return 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -50, 50)))
 
-    def score(self, texts: list[bytes], spec: QualitySpec) -> np.ndarray:
+    def score(self, texts: Iterable[bytes], spec: QualitySpec) -> np.ndarray:
         out = []
-        for group in in_chunks(texts, CHUNK // 4):
+        for group in in_chunks(texts, CHUNK // 2):
             if len(group) == 1 and len(group[0]) > CHUNK:
                 out.append(self._score_long(group[0], spec))
             else:
@@ -271,7 +273,7 @@ def scored(
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = pickle.loads(shared.value)
         for texts in batches:
-            data = [(t.as_py() or "").encode() for t in texts]
+            data = ((t.as_py() or "").encode() for t in texts)
             yield pa.array(own.score(data, spec), pa.float64())
 
     return docs.withColumn(into, score(F.col(text_col)))
