@@ -41,6 +41,7 @@ from featloom.llm.common import located, place, stored
 from featloom.llm.words import _powers, in_chunks, mix
 
 CHUNK = 1 << 20
+GROUP = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -139,33 +140,40 @@ def _tuples(spec: PassageSpec, large: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _texts(batch.column("text"))
-            keys = list(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist()))
-            wanted = batch.column("large" if large else "names").to_pylist()
-            seen: dict[tuple[bytes, int], list] = {}
-            for text, key, want, (at, names) in zip(texts, keys, wanted, anchors(texts, spec)):
-                want = np.array(want or [], np.int64)
-                names = names.astype(np.int64)
-                hit = np.isin(names, want)
-                for p, name in zip(at[hit].tolist(), names[hit].tolist()):
-                    low = max(p - half, 0)
-                    seen.setdefault((text[low : p + length], p - low), [name]).append((key, p))
-            rows = []
-            for (context, before), (name, *places) in seen.items():
-                # Where the windows with this anchor begin and end.
-                after = len(context) - before
-                nearest = max(0, length - after)
-                if len(places) > 1:
-                    for (k1, k2), p in places:
-                        rows.append((k1, None, None, None, k1, k2, p - before, p - nearest + length))
-                sure = int.from_bytes(hashlib.blake2b(context[before : before + half], digest_size=7).digest())
-                (k1, k2), p = places[0]
-                rows.append((name, sure, context[before + half :], context[:before][::-1], k1, k2, p, None))
-                if len(rows) >= 20_000:
-                    yield _batch(rows, _TUPLES)
-                    rows = []
-            if rows:
+            columns = [batch.column(c) for c in ("text", "k1", "k2", "large" if large else "names")]
+            group, held = [], 0
+            for text, *rest in zip(*columns):
+                group.append(((text.as_py() or "").encode(), *(x.as_py() for x in rest)))
+                held += len(group[-1][0])
+                # Repeats are looked for within a few megabytes, for bounded memory.
+                if held >= GROUP:
+                    yield from tuples_of(group)
+                    group, held = [], 0
+            yield from tuples_of(group)
+
+    def tuples_of(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple[bytes, int], list] = {}
+        found = anchors([g[0] for g in group], spec)
+        for (text, k1, k2, want), (at, names) in zip(group, found):
+            names = names.astype(np.int64)
+            hit = np.isin(names, np.array(want or [], np.int64))
+            for p, name in zip(at[hit].tolist(), names[hit].tolist()):
+                low = max(p - half, 0)
+                seen.setdefault((text[low : p + length], p - low), [name]).append((k1, k2, p))
+        rows = []
+        for (context, before), (name, *places) in seen.items():
+            # Where the windows with this anchor begin and end.
+            nearest = max(0, length - (len(context) - before))
+            if len(places) > 1:
+                for k1, k2, p in places:
+                    rows.append((k1, None, None, None, k1, k2, p - before, p - nearest + length))
+            sure = int.from_bytes(hashlib.blake2b(context[before : before + half], digest_size=7).digest())
+            rows.append((name, sure, context[before + half :], context[:before][::-1], *places[0], None))
+            if len(rows) >= 20_000:
                 yield _batch(rows, _TUPLES)
+                rows = []
+        if rows:
+            yield _batch(rows, _TUPLES)
 
     return run
 
