@@ -46,10 +46,14 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, and whether they decode to it again."""
     coder = tokenizer(spark)
-    rows = docs.select("doc_id", "source", "text", coder.encode(F.col("text")).alias("ids"))
-    same = coder.decode(F.col("ids")) == F.coalesce("text", F.lit("")).cast("binary")
+    rows = docs.select("doc_id", "source", "text", coder.round_trip(F.col("text")).alias("trip"))
+    same = F.col("trip.decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return rows.select(
-        "doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip")
+        "doc_id",
+        "source",
+        F.col("trip.ids").alias("ids"),
+        F.size("trip.ids").cast("long").alias("n_tokens"),
+        same.alias("round_trip"),
     )
 
 

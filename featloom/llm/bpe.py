@@ -9,7 +9,7 @@ are then closed up by a shift, and rows without a pair left go. A piece that is
 itself in the vocabulary is that id.
 
 A piece of n bytes takes up to n rounds of n steps; ordinary pieces are words.
-What a task holds is bounded: pieces are encoded in groups of ``GROUP`` matches,
+What a task holds is bounded: pieces are looked up in groups of ``GROUP``,
 however long the text, matrices have at most ``CELLS`` cells, and the memory of
 pieces seen is emptied at ``SEEN`` of them.
 
@@ -21,7 +21,7 @@ touched.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -32,7 +32,10 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 GROUP = 200_000
 CELLS = 1 << 20
-SEEN = 200_000
+SEEN = 250_000
+LONG = 1 << 22
+# Before a piece that is looked up as it is; other keys are words after one space.
+WHOLE = "\0"
 NONE = np.int32(2**31 - 1)
 
 
@@ -81,6 +84,14 @@ class PairTable:
         return out
 
 
+def _uneven(words: list[str]) -> bool:
+    """Whether there is white space next to a space or at an end of the text; such
+    a text is cut by the pattern alone."""
+    if "" in words:
+        return True
+    return any(map(str.isspace, {w[0] for w in words} | {w[-1] for w in words}))
+
+
 class Coder:
     def __init__(self, ranks: bytes, pattern: str):
         rows = (line.split() for line in ranks.splitlines() if line)
@@ -96,12 +107,11 @@ class Coder:
                     pairs.append(a << 32 | b)
                     merged.append(rank)
         self.table = PairTable(np.array(pairs, np.int64), np.array(merged, np.int32))
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self.seen: dict[str, int] = _Numbered()
-        self.pool = np.empty(1 << 16, np.int32)
-        self.starts, self.sizes, self.used = np.empty(0, np.int64), np.empty(0, np.int64), 0
+    def forget(self) -> None:
+        """Drops what was remembered; an idle worker keeps the tables only."""
+        self.pieces, self.words = _Memo(self._learn_pieces), _Memo(self._learn_words)
 
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece."""
@@ -182,66 +192,97 @@ class Coder:
             np.copyto(cells[:, :-1], cells[:, 1:].copy(), where=later)
         cells[:, -1] = filler
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.merge([p.encode() for p in pieces])
-        sizes = np.array([len(f) for f in found], np.int64)
-        flat = np.concatenate(found)
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.used += len(flat)
-
-    def _look_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in a row, and how many ids each has."""
-        if len(self.seen) > SEEN:
-            self._forget()
-        known = len(self.seen)
-        index = np.fromiter(map(self.seen.__getitem__, pieces), np.int64, len(pieces))
-        if len(self.seen) > known:
-            self._learn(list(islice(self.seen, known, None)))
-        sizes = self.sizes[index]
-        total = int(sizes.sum())
-        ends = np.cumsum(sizes)
-        gather = np.repeat(self.starts[index] - (ends - sizes), sizes) + np.arange(total)
-        return self.pool[gather], sizes
+        return np.concatenate(found), np.array([len(f) for f in found], np.int64)
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cut = self.pattern.findall
+        parts = [[w[1:]] if w[0] == WHOLE else cut(" " + w) for w in words]
+        ids, sizes = self.pieces.look_up([p for part in parts for p in part])
+        counts = np.array([len(part) for part in parts])
+        return ids, np.add.reduceat(sizes, np.cumsum(counts) - counts)
+
+    def _keys(self, text: str) -> Iterator[list[str]]:
+        """What a text's ids are looked up by, in groups.
+
+        No piece goes on past the last letter before a single space, so a text is
+        cut at those first, and a word with its pieces is remembered as one.
+        """
+        if len(text) >= LONG:
+            matches = (WHOLE + m.group() for m in self.pattern.finditer(text))
+            yield from iter(lambda: list(islice(matches, GROUP)), [])
+            return
+        first, *words = text.split(" ")
+        if WHOLE in text or _uneven([first, *words]):
+            yield [WHOLE + piece for piece in self.pattern.findall(text)]
+        else:
+            yield [WHOLE + piece for piece in self.pattern.findall(first)] + words
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many ids each text has."""
-        counts, out = np.zeros(len(texts), np.int64), []
-        pieces: list[str] = []
+        counts: list[int] = []
+        out: list[np.ndarray] = []
+        keys: list[str] = []
         owners: list[int] = []
         numbers: list[int] = []
 
         def settle() -> None:
-            if pieces:
-                ids, sizes = self._look_up(pieces)
+            if keys:
+                ids, sizes = self.words.look_up(keys)
                 out.append(ids)
-                np.add.at(counts, np.repeat(owners, numbers), sizes)
-                pieces.clear(), owners.clear(), numbers.clear()
+                ends = np.cumsum(numbers)
+                for i, n in zip(owners, np.add.reduceat(sizes, ends - numbers)):
+                    counts[i] += int(n)
+                keys.clear(), owners.clear(), numbers.clear()
 
         for i, text in enumerate(texts):
-            if not text:
-                continue
-            if len(text) < GROUP:
-                groups = [self.pattern.findall(text)]
-            else:
-                matches = (m.group() for m in self.pattern.finditer(text))
-                groups = iter(lambda: list(islice(matches, GROUP)), [])
-            for group in groups:
-                pieces.extend(group)
+            counts.append(0)
+            for group in self._keys(text) if text else ():
+                keys.extend(group)
                 owners.append(i)
                 numbers.append(len(group))
-                if len(pieces) >= GROUP:
+                if len(keys) >= GROUP:
                     settle()
         settle()
-        return (np.concatenate(out) if out else np.empty(0, np.int32)), counts
+        return (np.concatenate(out) if out else np.empty(0, np.int32)), np.array(counts, np.int64)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+class _Memo:
+    """Ids of the keys seen, learned when first asked for; emptied when full."""
+
+    def __init__(self, learn):
+        self.learn = learn
+        self._forget()
+
+    def _forget(self) -> None:
+        self.seen = _Numbered()
+        self.pool = np.empty(1 << 16, np.int32)
+        self.starts, self.sizes, self.used = np.empty(0, np.int64), np.empty(0, np.int64), 0
+
+    def look_up(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all keys in a row, and how many ids each has."""
+        if len(self.seen) > SEEN:
+            self._forget()
+        known = len(self.seen)
+        index = np.fromiter(map(self.seen.__getitem__, keys), np.int64, len(keys))
+        if len(self.seen) > known:
+            ids, sizes = self.learn(list(islice(self.seen, known, None)))
+            while self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+            self.pool[self.used : self.used + len(ids)] = ids
+            self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.used += len(ids)
+        sizes = self.sizes[index]
+        ends = np.cumsum(sizes)
+        gather = np.repeat(self.starts[index] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        return self.pool[gather], sizes
+
+
 class _Numbered(dict):
     """Numbers its keys in the order in which they are first asked for."""
 
@@ -267,24 +308,41 @@ class Tokenizer:
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             own = coder(shared.value, pattern)
             for texts in batches:
-                ids, counts = own.encode(texts.to_pylist())
+                ids, counts = own.encode(t.as_py() for t in texts)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+            own.forget()
 
         @F.arrow_udf("binary")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             own = coder(shared.value, pattern)
             for rows in batches:
-                yield pa.array(
-                    [None if r is None else own.decode(r) for r in rows.to_pylist()], pa.binary()
+                # A row at a time, as ids take many times their space as objects.
+                yield pa.array((own.decode(r.as_py()) if r.is_valid else None for r in rows), pa.binary())
+
+        @F.arrow_udf("ids array<int>, decoded binary")
+        def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            own = coder(shared.value, pattern)
+            for texts in batches:
+                ids, counts = own.encode(t.as_py() for t in texts)
+                ends = np.cumsum(counts)
+                listed = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids, pa.int32())
                 )
+                texts = (own.decode(ids[e - n : e].tolist()) for e, n in zip(ends, counts))
+                yield pa.StructArray.from_arrays([listed, pa.array(texts, pa.binary())], ["ids", "decoded"])
+            own.forget()
 
-        self._encode, self._decode = encode, decode
+        self._encode, self._decode, self._both = encode, decode, both
 
     def encode(self, text: Column) -> Column:
         """The text's token ids."""
         return self._encode(text)
 
+    def round_trip(self, text: Column) -> Column:
+        """The text's token ids and the bytes these decode to, by one Python worker."""
+        return self._both(text)
+
     def decode(self, ids: Column) -> Column:
         """The bytes that the ids stand for."""
         return self._decode(ids)

@@ -144,11 +144,10 @@ def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = tokenizer(spark)
-    ids = _table(spark, sf_dir, "documents").select(
-        "doc_id", coder.encode(F.col("text")).alias("ids")
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", coder.round_trip(F.col("text")).alias("trip")
     )
-    decoded = ids.select("doc_id", "ids", coder.decode(F.col("ids")).alias("decoded"))
-    return decoded.select(
+    return rows.select("doc_id", "trip.*").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
