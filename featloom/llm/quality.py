@@ -55,6 +55,8 @@ class QualitySpec:
     hidden: int = 24
     attention: int = 16
     epochs: int = 12
+    # With few documents, more epochs: at least so many steps.
+    steps: int = 800
     batch: int = 32
     rate: float = 0.01
     seed: int = 11
@@ -148,8 +150,10 @@ class Model:
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         q = {k: np.zeros_like(v) for k, v in self.p.items()}
         step = 0
-        total = spec.epochs * -(-len(y) // spec.batch)
-        for _ in range(spec.epochs):
+        each = -(-len(y) // spec.batch)
+        epochs = max(spec.epochs, -(-spec.steps // each))
+        total = epochs * each
+        for _ in range(epochs):
             order = r.permutation(len(y))
             for at in range(0, len(y), spec.batch):
                 bags = order[at : at + spec.batch]
