@@ -13,12 +13,13 @@ t(n) = ceil(share * n) of its members with any partner.
    Members that several sets of a batch share are counted there and sent on twice
    only, so a frequent shingle makes no long list. Most documents end here.
 3. The sets that stay are put together if they share a member of their prefixes
-   (n - t(n) + 1 members, the frequent ones last), by stars and components.
+   (the n - t(n) + 1 rarest members by exact counts), by stars and components.
 4. Together in a task, they are searched: for each set as a query the lists of
    its members in the task are split in short and L long ones (DivideSkip); the
    short ones are merged, those that occur at least T - L times are looked up in
    the long ones by binary search, and who reaches the pair's required overlap is
-   a link. A component larger than ``block`` sets is searched block against block.
+   a link. A component of more than ``block`` members is searched block against
+   block, blocks being of sets of similar size and met by those whose sizes can link.
    A task gives back a forest and numbers of links, never pairs.
 5. Forests of blocks are joined by components again.
 
@@ -35,12 +36,14 @@ result. Columns other than id and text are not read by ``classes``.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from featloom.llm.common import located, place, stored
 from featloom.llm.components import components
@@ -55,10 +58,9 @@ _FACTORS = [np.uint64(x) for x in (
 class JoinSpec:
     percent: int = 80
     extra: float = 0.15
-    block: int = 4096
+    block: int = 500_000
     list_entries: int = 2_000_000
-    frequent: int = 1_000
-    most_frequent: int = 100_000
+    frequent: int = 8
 
     def least(self, n):
         """Fewest members that a set of n shares with a partner."""
@@ -115,6 +117,7 @@ def _from_six(data: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8")
 
 
+PROBES = 1 << 19
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -162,19 +165,21 @@ def _list_out(buckets: int):
             many = np.bincount(group)
             shared = many[group] > 1
             credit, n = np.unique(owner[shared], return_counts=True)
-            # The first two of a shared member go on, as counted, and its number.
+            # The first two of a shared member go on, as counted.
             rank = np.arange(len(token)) - np.flatnonzero(first)[group]
             send = rank < 2
-            known, count = shared[send], np.where(rank == 0, many[group], 0)[send]
+            known = shared[send]
             token, owner = token[send], owner[send]
             bucket = (token >> np.uint64(16)).astype(np.int64) * buckets >> 32
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = [
-                dict(bucket=b, token=_six(token[i:j]), owner=_six(owner[i:j]), known=known[i:j].tobytes(),
-                     count=count[i:j].astype(np.int32).tobytes())
+                dict(bucket=b, token=_six(token[i:j]), owner=_six(owner[i:j]), known=known[i:j].tobytes(), count=b"")
                 for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i
             ]
-            rows.append(dict(bucket=-1, token=b"", owner=_six(credit), known=b"", count=n.astype(np.int32).tobytes()))
+            if len(credit):
+                # Counts go along with any bucket.
+                rows.append(dict(bucket=int(credit[0]) % buckets, token=b"", owner=_six(credit), known=b"",
+                                 count=n.astype(np.int32).tobytes()))
             yield pa.RecordBatch.from_pylist(rows, schema=_LISTS)
 
     return run
@@ -182,50 +187,41 @@ def _list_out(buckets: int):
 
 _LISTS = pa.schema([("bucket", pa.int32()), ("token", pa.binary()), ("owner", pa.binary()),
                     ("known", pa.binary()), ("count", pa.binary())])
-_CREDITS = pa.schema([("owner", pa.int64()), ("n", pa.int64()), ("token", pa.int64())])
+_CREDITS = pa.schema([("owner", pa.int64()), ("n", pa.int64())])
 
 
 def _credits(owner: np.ndarray, n: np.ndarray) -> pa.Table:
-    nothing = pa.nulls(len(owner), pa.int64())
-    return pa.Table.from_arrays([pa.array(owner.astype(np.int64)), pa.array(n.astype(np.int64)), nothing], schema=_CREDITS)
-
-
-def _count_shared(frequent: int):
-    """Per bucket: how many of each set's members are shared, and frequent members."""
-
-    def run(table: pa.Table) -> pa.Table:
-        columns = {c: table.column(c).to_pylist() for c in ("token", "owner", "known", "count")}
-        token, owner = (_from_six(b"".join(columns[c])) for c in ("token", "owner"))
-        known = np.frombuffer(b"".join(columns["known"]), bool)
-        count = np.frombuffer(b"".join(columns["count"]), np.int32)
-        order = np.lexsort((owner, token))
-        token, owner, known, count = token[order], owner[order], known[order], count[order]
-        first = np.ones(len(token), bool)
-        first[1:] = token[1:] != token[:-1]
-        group = np.cumsum(first) - 1
-        # Copies of a set in other batches come as the same owner.
-        new_owner = first.copy()
-        new_owner[1:] |= owner[1:] != owner[:-1]
-        owners = np.bincount(group, weights=new_owner)
-        total = np.bincount(group, weights=count)
-        # A set that one batch has counted must not be counted again for a copy.
-        runs = np.flatnonzero(new_owner)
-        counted = np.logical_or.reduceat(known, runs)[np.cumsum(new_owner) - 1]
-        credit = (owners[group] > 1) & new_owner & ~counted
-        who, n = np.unique(owner[credit], return_counts=True)
-        often = total >= frequent
-        hot = pa.Table.from_arrays(
-            [pa.nulls(int(often.sum()), pa.int64()), pa.array(total[often].astype(np.int64)),
-             pa.array(token[first][often].astype(np.int64))], schema=_CREDITS)
-        return pa.concat_tables([_credits(who, n), hot])
-
-    return run
-
-
-def _local_credits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for owner, count in zip(batch.column("owner").to_pylist(), batch.column("count").to_pylist()):
-            yield from _credits(_from_six(owner), np.frombuffer(count, np.int32)).to_batches()
+    return pa.Table.from_arrays([pa.array(owner.astype(np.int64)), pa.array(n.astype(np.int64))], schema=_CREDITS)
+
+
+def _count_shared(table: pa.Table) -> pa.Table:
+    """Per bucket: how many of each set's members other sets have as well."""
+    done = pc.greater(pc.binary_length(table.column("count")), 0)
+    ready = table.filter(done)
+    local = [
+        _credits(_from_six(o), np.frombuffer(c, np.int32))
+        for o, c in zip(ready.column("owner").to_pylist(), ready.column("count").to_pylist())
+    ]
+    table = table.filter(pc.invert(done))
+    columns = {c: table.column(c).to_pylist() for c in ("token", "owner", "known")}
+    token, owner = (_from_six(b"".join(columns[c])) for c in ("token", "owner"))
+    known = np.frombuffer(b"".join(columns["known"]), bool)
+    if not len(token):
+        return pa.concat_tables(local)
+    order = np.lexsort((owner, token))
+    token, owner, known = token[order], owner[order], known[order]
+    first = np.ones(len(token), bool)
+    first[1:] = token[1:] != token[:-1]
+    group = np.cumsum(first) - 1
+    # Copies of a set in other batches come as the same owner.
+    new_owner = first.copy()
+    new_owner[1:] |= owner[1:] != owner[:-1]
+    owners = np.bincount(group, weights=new_owner)
+    # A set that one batch has counted must not be counted again for a copy.
+    runs = np.flatnonzero(new_owner)
+    counted = np.logical_or.reduceat(known, runs)[np.cumsum(new_owner) - 1]
+    who, n = np.unique(owner[(owners[group] > 1) & new_owner & ~counted], return_counts=True)
+    return pa.concat_tables([_credits(who, n), *local])
 
 
 def _search_task(spec: JoinSpec):
@@ -235,12 +231,14 @@ def _search_task(spec: JoinSpec):
         names = table.column("name").to_pylist()
         weight = table.column("copies").to_numpy()
         block = table.column("block").to_numpy()
-        sets = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
+        column = table.column("members").combine_chunks()
+        sets = [m.values.to_numpy(zero_copy_only=False) for m in column]
         sizes = np.array([len(s) for s in sets])
         order = sorted(range(len(sets)), key=lambda i: (sizes[i], names[i]))
         names, sets = [names[i] for i in order], [sets[i] for i in order]
         sizes, weight, block = sizes[order], weight[order], block[order]
-        parent, links = search(sets, sizes, block if len(set(block.tolist())) > 1 else None, weight, spec)
+        across = bool(table.column("across")[0].as_py())
+        parent, links = search(sets, sizes, block if across else None, weight, spec)
         return pa.Table.from_arrays(
             [pa.array(names, pa.binary()), pa.array([names[p] for p in parent], pa.binary()), pa.array(links)],
             schema=_FOREST,
@@ -302,11 +300,12 @@ def search(
         if not len(found):
             continue
         # Long lists: binary search for each candidate.
-        for at in range(0, len(found), 4096):
-            some = found[at : at + 4096]
+        step = max(1, PROBES // max(len(long), 1))
+        for at in range(0, len(found), step):
+            some = found[at : at + step]
             want = (long * m)[:, None] + some[None, :]
             spot = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            count[at : at + 4096] += (keys[spot] == want).sum(axis=0)
+            count[at : at + step] += (keys[spot] == want).sum(axis=0)
         found = found[spec.links(count, sizes[q], sizes[found])]
         if len(found):
             links[q] += weight[found].sum()
@@ -319,23 +318,38 @@ def search(
     return [root(i) for i in range(m)], links
 
 
-def _prefixes(spec: JoinSpec, frequent):
-    """The sets of texts, and their members to meet by."""
+def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [s.astype(np.int64) for s in _sets_of(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("name"), batch.column("copies"), _lists(sets)], ["name", "copies", "members"]
+        )
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
+
+
+def _prefixes(spec: JoinSpec):
+    """The members by which sets meet: the rarest, as many as a partner must share
+    one of. Members that are not listed as frequent come first, in hash order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = frequent.value
         for batch in batches:
-            members, prefix = [], []
-            for s in _sets_of(batch.column("text")):
-                n = len(s)
-                short = s >> np.uint64(16)
-                order = np.lexsort((short, np.isin(short, often)))
-                members.append(s.tobytes())
-                prefix.append(short[order][: n - spec.least(n) + 1].astype(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("name"), batch.column("copies"), pa.array(members, pa.binary()),
-                 pa.array(prefix, pa.list_(pa.int64()))], ["name", "copies", "members", "prefix"],
-            )
+            prefix = []
+            for members, often in zip(batch.column("members"), batch.column("often")):
+                s = members.values.to_numpy(zero_copy_only=False)
+                count = np.zeros(len(s), np.int64)
+                pairs = often.as_py() or []
+                if pairs:
+                    known = np.array([(p["member"], p["sets"]) for p in pairs], np.int64)
+                    known = known[np.argsort(known[:, 0], kind="stable")]
+                    spot = np.minimum(np.searchsorted(known[:, 0], s), len(known) - 1)
+                    count = np.where(known[spot, 0] == s, known[spot, 1], 0)
+                prefix.append(s[np.lexsort((s, count))][: len(s) - spec.least(len(s)) + 1])
+            yield pa.RecordBatch.from_arrays([batch.column("name"), _lists(prefix)], ["name", "prefix"])
 
     return run
 
@@ -366,18 +380,8 @@ def search_links(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "do
     lists = filled.select("name", "listed").mapInArrow(
         _list_out(buckets), "bucket int, token binary, owner binary, known binary, count binary"
     )
-    lists = stored(lists, "join-lists")
-    kind = "owner bigint, n bigint, token bigint"
-    counted = stored(
-        lists.where("bucket >= 0").groupBy("bucket").applyInArrow(_count_shared(spec.frequent), kind)
-        .unionByName(lists.where("bucket < 0").mapInArrow(_local_credits, kind)),
-        "join-counts",
-    )
-    # No more than most_frequent members are looked at last; which, matters to speed only.
-    hot = counted.where("token IS NOT NULL").orderBy(F.desc("n"), "token").limit(spec.most_frequent).select("token")
-    frequent = spark.sparkContext.broadcast(np.array(sorted(r.token for r in hot.collect()), np.uint64))
-
-    credits = counted.where("token IS NULL").groupBy("owner").agg(F.sum("n").alias("shared"))
+    counted = lists.groupBy("bucket").applyInArrow(_count_shared, "owner bigint, n bigint")
+    credits = counted.groupBy("owner").agg(F.sum("n").alias("shared"))
     sets = filled.groupBy("name").agg(
         F.first("n").alias("n"), F.count("*").alias("copies"), F.min("place").alias("at")
     )
@@ -388,14 +392,27 @@ def search_links(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "do
         .where(F.col("shared") >= F.floor(fewest * spec.extra) + 1)
         .select("name", "copies", "at")
     )
-    texts = rows.select("place", "text").join(stored(stays, "join-stay"), F.col("place") == F.col("at"))
+    # A merge join at every size: those that stay are a share of all documents.
+    stay = stored(stays, "join-stay").hint("merge")
+    texts = rows.select("place", "text").join(stay, F.col("place") == F.col("at"))
     found = stored(
         texts.select("name", "copies", "text").mapInArrow(
-            _prefixes(spec, frequent), "name binary, copies bigint, members binary, prefix array<bigint>"
+            _full_sets, "name binary, copies bigint, members array<bigint>"
         ),
         "join-found",
     )
-    met = found.select("name", F.explode("prefix").alias("token"))
+    short = F.xxhash64("name")
+    each = found.select(short.alias("set"), F.explode("members").alias("member"))
+    often = each.groupBy(F.col("member").alias("of")).agg(F.count("*").alias("sets")).where(F.col("sets") >= spec.frequent)
+    known = (
+        each.join(often, F.col("member") == F.col("of"))
+        .groupBy("set")
+        .agg(F.collect_list(F.struct("member", "sets")).alias("often"))
+    )
+    prefixes = found.join(known, short == F.col("set"), "left").select("name", "members", "often").mapInArrow(
+        _prefixes(spec), "name binary, prefix array<bigint>"
+    )
+    met = stored(prefixes, "join-prefixes").select("name", F.explode("prefix").alias("token"))
     stars = met.groupBy("token").agg(F.min("name").alias("least"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("token", "of")
     edges = met.join(stars, F.col("token") == F.col("of")).select(F.col("name").alias("a"), F.col("least").alias("b"))
     groups = components(edges.distinct())
@@ -413,29 +430,64 @@ def _search_groups(found: DataFrame, groups: DataFrame, spec: JoinSpec) -> DataF
     member = groups.unionByName(
         groups.select(F.col("label").alias("vertex"), "label").distinct()
     )
-    sizes = member.groupBy("label").agg(F.count("*").alias("size"))
+    sizes = found.select("name", F.size("members").alias("n"))
+    member = member.join(sizes, F.col("vertex") == F.col("name")).drop("name")
+    sizes = member.groupBy(F.col("label").alias("of")).agg(F.sum("n").alias("size"))
     member = stored(
-        member.join(sizes.withColumnRenamed("label", "of"), F.col("label") == F.col("of")).select("vertex", "label", "size"),
-        "join-members",
+        member.join(sizes, F.col("label") == F.col("of")).select("vertex", "label", "size", "n"), "join-members"
     )
-    total = member.count()
-    tasks = max(1, total // spec.block + 1)
-    blocks = F.ceil(F.col("size") / spec.block)
-    mine = F.pmod(F.xxhash64("name", F.lit(1)), blocks)
-    placed = found.join(member, F.col("name") == F.col("vertex")).select(
-        "name", "copies", "members", "label", "size", mine.alias("block"), blocks.alias("blocks")
-    )
-    one = placed.where("blocks = 1").select(
+    total = member.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = total // spec.block + 1
+    placed = found.join(member, F.col("name") == F.col("vertex")).select("name", "copies", "members", "label", "size", "n")
+    small = placed.where(F.col("size") <= spec.block).select(
         F.concat(F.lit("s"), F.pmod(F.xxhash64("label"), F.lit(tasks))).alias("task"),
-        "name", "copies", "members", F.lit(0).cast("bigint").alias("block"),
+        "name", "copies", "members", F.lit(0).cast("bigint").alias("block"), F.lit(False).alias("across"),
+    )
+    # Large components by classes of size: sets that link are in the same or
+    # neighbouring classes, as the classes' ratio is above that of linked sizes.
+    ratio = 1.01 * 100 / spec.percent
+    kind = F.floor(F.log(F.col("n")) / math.log(ratio))
+    large = F.col("size") > spec.block
+    parts = (
+        member.where(large)
+        .groupBy("label", kind.alias("class"))
+        .agg(F.ceil(F.sum("n") / spec.block).alias("parts"))
+    )
+
+    def of_class(offset: int, name: str) -> DataFrame:
+        return parts.select(F.col("label").alias(f"l{name}"), (F.col("class") - offset).alias(f"c{name}"), F.col("parts").alias(name))
+
+    here = placed.where(large).withColumn("class", kind)
+    for offset, name in ((0, "same"), (1, "above"), (-1, "below")):
+        other = of_class(offset, name)
+        here = here.join(other, (F.col("label") == F.col(f"l{name}")) & (F.col("class") == F.col(f"c{name}")), "left")
+    mine = F.col("part")
+
+    def meet(count: str, low, high) -> Column:
+        """A task for each part of another class: its two blocks, in order."""
+        each = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(count), F.lit(0)) - 1)
+        some = F.when(F.coalesce(F.col(count), F.lit(0)) > 0, each).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(some, lambda p: F.struct(low(p).alias("low"), high(p).alias("high")))
+
+    def number(offset: int, part: Column) -> Column:
+        return (F.col("class") + offset) * 1_000_000 + part
+
+    own = number(0, mine)
+    pairs = F.concat(
+        meet("same", lambda p: F.least(own, number(0, p)), lambda p: F.greatest(own, number(0, p))),
+        meet("above", lambda p: own, lambda p: number(1, p)),
+        meet("below", lambda p: number(-1, p), lambda p: own),
     )
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    several = placed.where("blocks > 1").withColumn("other", other).select(
-        F.concat_ws("-", F.hex("label"), F.least("block", "other"), F.greatest("block", "other")).alias("task"),
-        "name", "copies", "members", "block",
+    several = (
+        here.withColumn("part", F.pmod(F.xxhash64("name", F.lit(1)), F.col("same")))
+        .select("name", "copies", "members", "label", own.alias("block"), F.explode(pairs).alias("pair"))
+        .select(
+            F.concat_ws("-", F.hex("label"), F.col("pair.low").cast("string"), F.col("pair.high").cast("string")).alias("task"),
+            "name", "copies", "members", "block", (F.col("pair.low") != F.col("pair.high")).alias("across"),
+        )
     )
     forest = stored(
-        one.unionByName(several).groupBy("task").applyInArrow(_search_task(spec), "name binary, root binary, links bigint"),
+        small.unionByName(several).groupBy("task").applyInArrow(_search_task(spec), "name binary, root binary, links bigint"),
         "join-forest",
     )
     labels = components(forest.select(F.col("name").alias("a"), F.col("root").alias("b")))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _IS_SPACE = np.zeros(256, bool)
