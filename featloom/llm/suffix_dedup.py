@@ -310,7 +310,9 @@ def repeated_spans(docs: DataFrame, spec: PassageSpec, base: DataFrame) -> DataF
         base.select("k1", "k2", "text").mapInArrow(_name_anchors(spec), "k1 bigint, k2 bigint, names array<bigint>"),
         "passage-anchors",
     ).select("k1", "k2", F.explode("names").alias("name"))
-    repeated = named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").withColumnRenamed("name", "of")
+    repeated = named.groupBy(F.col("name").alias("of")).agg(F.count("*").alias("n")).where("n > 1")
+    # Stored, so that the join deals out both sides anew and splits a frequent name.
+    repeated = stored(repeated, "passage-names")
     big = F.col("n") > spec.class_rows
     marks = stored(
         named.join(repeated, F.col("name") == F.col("of"))
