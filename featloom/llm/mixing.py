@@ -181,6 +181,7 @@ def _spans(sizes: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _slots(sources: DataFrame, spec: MixSpec) -> DataFrame:
     chunk = 65_536
+    tasks = int(sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0] // chunk) + 1
     first = Window.orderBy(F.col("source").isNotNull().desc(), "source").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     chunks = (
@@ -188,7 +189,7 @@ def _slots(sources: DataFrame, spec: MixSpec) -> DataFrame:
         .withColumn("all_slots", F.sum("slots").over(every))
         .where("slots > 0")
         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(chunk).cast("long"))))
-        .repartition("source", "chunk")
+        .repartition(max(tasks, 1), "source", "chunk")
     )
     slots = chunks.withColumn(
         "j", F.explode(F.sequence("chunk", F.least(F.col("chunk") + chunk, F.col("slots")) - 1))
@@ -221,11 +222,12 @@ def _pieces(spans: DataFrame, spec: MixSpec) -> DataFrame:
 
 def totals(mix: Mix) -> DataFrame:
     """A row per document: id, source, size, source_size, target, taken."""
+    # Merge joins: the size of exploded rows is guessed from the few they come of.
     times = mix.slots.groupBy(F.col("source").alias("of"), F.col("block").alias("at")).agg(
         F.count("*").alias("times")
     )
     taken = (
-        mix.pieces.join(times, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")))
+        mix.pieces.join(times.hint("merge"), F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")))
         .groupBy(F.col("source").alias("of"), F.col("start").alias("at"))
         .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     )
@@ -239,34 +241,57 @@ def totals(mix: Mix) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, mix: Mix, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+def mixed(
+    docs: DataFrame, mix: Mix, spec: MixSpec = MixSpec(), text_col: str = "text", chars_col: str = "n_chars"
+) -> DataFrame:
     """The mix itself: ``docs``' columns, a row per document and block taken, text
-    being the words in the block with the white space after them; ``docs`` must
-    be what the plan was made of. ``chars_col``, if there is one, counts anew."""
+    being the words in the block with the white space after them; ``docs`` and
+    ``spec`` must be what the plan was made of. ``chars_col``, if there is one,
+    counts anew.
+
+    A text is cut once, at its block bounds; its parts then meet the slots that
+    took them, so the work is in proportion to the text's length.
+    """
     columns = docs.columns
-    cuts = (
-        mix.slots.join(
-            mix.pieces.withColumnsRenamed({"source": "of", "block": "at"}),
-            F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")),
+    slots = mix.slots.select(F.col("source").alias("of"), F.col("block").alias("at"), F.struct("shard", "slot").alias("take"))
+    per_block = (
+        mix.pieces.join(
+            slots.hint("merge"), F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")), "left"
         )
-        .groupBy("place")
-        .agg(F.array_sort(F.collect_list(F.struct("shard", "slot", "first_word", "words"))).alias("cuts"))
+        .groupBy("place", "block", "words")
+        .agg(F.sort_array(F.collect_list("take")).alias("takes"))
+    )
+    per_document = per_block.groupBy("place").agg(
+        F.sort_array(F.collect_list(F.struct("block", "takes"))).alias("blocks"),
+        F.min_by("words", "block").alias("first_words"),
     )
-    gap = SPACE[:-1]
-    parts = F.regexp_extract_all(F.col(f"row.{text_col}"), F.lit(rf"(?:\A{gap}+)?{WORD}{gap}*"), F.lit(0))
+    gap, letter = SPACE[:-1], WORD[:-1]
+    run = rf"(?:{letter}++{gap}*+)"
+    to_first_bound = F.concat(F.lit(rf"\A{gap}*+{run}{{1,"), F.col("first_words"), F.lit("}+"))
+    first = F.regexp_substr("body", to_first_bound)
+    others = [c for c in columns if c != text_col]
     rows = (
-        docs.select(place().alias("in"), F.struct(*columns).alias("row"))
-        .join(cuts, F.col("in") == F.col("place"))
-        .select("row", parts.alias("parts"), F.explode("cuts").alias("cut"))
+        docs.select(place().alias("in"), F.col(text_col).alias("body"), F.struct(*others, F.lit(0)).alias("row"))
+        .join(per_document, F.col("in") == F.col("place"))
+        .select("row", "blocks", "body", first.alias("first"))
+        .select(
+            "row", "blocks", "first",
+            F.expr("substring(body, length(first) + 1)").alias("rest"),
+        )
         .select(
             "row",
-            F.array_join(F.slice("parts", F.col("cut.first_word").cast("int") + 1, F.col("cut.words").cast("int")), "").alias("text"),
+            F.explode(
+                F.arrays_zip(
+                    F.concat(F.array("first"), F.regexp_extract_all("rest", F.lit(rf"{run}{{1,{spec.block}}}+"), F.lit(0))).alias("text"),
+                    F.col("blocks.takes").alias("takes"),
+                )
+            ).alias("part"),
         )
-    )
-    kind = dict(docs.dtypes)
+        .select("row", F.col("part.text").alias("text"), F.explode("part.takes"))
+    )
     new = {text_col: F.col("text")}
     if chars_col in columns:
-        new[chars_col] = F.length("text").cast(kind[chars_col])
+        new[chars_col] = F.length("text").cast(dict(docs.dtypes)[chars_col])
     return rows.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))
 
 
