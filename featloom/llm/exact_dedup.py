@@ -32,7 +32,9 @@ _STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # For all state partitions of an executor together.
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     # Logs grow as they are written: with many state partitions, space set aside
     # for each would be many times what they hold.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
