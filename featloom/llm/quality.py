@@ -11,8 +11,9 @@ The model is learned on the driver from at most about ``per_class`` labelled
 documents of each class (a documented bound; which ones is a function of the id
 alone), encoded on the executors; scores are then corrected to the share of the
 classes among all labelled documents. Every passage of every document is scored;
-the attention is summed up passage group by passage group, so a long text needs no
-more memory than a short one.
+the attention is summed up passage group by passage group, so a long text needs
+little more memory than a short one. Groups are cut between passages and know how
+many the document has, so the inputs are the same as of the whole text at once.
 
 Defined results: a null text counts as empty, and an empty text is one passage
 without words; documents without a label or with a null label are not learned from;
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featloom.llm.words import CHUNK, in_chunks, words_of
+from featloom.llm.words import CHUNK, in_chunks, is_space, words_of
 
 # Kinds of bytes: 0-1 lower-case letters (vowels or not), 2 upper case, 3 digits,
 # 4 space, 5 line break, 6-14 single marks, 15 any other.
@@ -191,10 +192,10 @@ class Model:
                 out.append(self.finish(weight, z))
         return np.concatenate(out) if out else np.zeros(0)
 
-    def _score_long(self, text: bytes, spec: QualitySpec) -> np.ndarray:
+    def _score_long(self, text: bytes, spec: QualitySpec, chunk: int = CHUNK) -> np.ndarray:
         top, weight, z = None, 0.0, 0.0
-        for part in _slices(text, CHUNK):
-            t, a, b = self.sums(*passages([part], spec.passage_words), 1)
+        for x in encoded(text, spec.passage_words, chunk):
+            t, a, b = self.sums(x, np.zeros(len(x), np.int64), 1)
             if top is None:
                 top = t
             new = np.maximum(top, t)
@@ -203,16 +204,55 @@ class Model:
         return self.finish(weight, z)
 
 
-def _slices(text: bytes, size: int) -> Iterator[bytes]:
-    """Parts of about ``size`` bytes, cut at a space where there is one."""
+def encoded(text: bytes, size: int, chunk: int = CHUNK) -> Iterator[np.ndarray]:
+    """The rows that ``passages`` has for one text, of about ``chunk`` bytes at a time."""
+    bounds = np.append(_passage_starts(text, size, chunk), len(text))
+    n = len(bounds) - 1
     at = 0
-    while at < len(text):
-        end = min(at + size, len(text))
-        if end < len(text):
-            cut = max(text.rfind(b" ", at + 1, end), text.rfind(b"\n", at + 1, end))
-            end = cut if cut > at else end
-        yield text[at:end]
-        at = end
+    while at < n:
+        upto = int(np.searchsorted(bounds, bounds[at] + chunk, side="right")) - 1
+        if upto <= at:
+            upto = at + 1
+            x = _long_passage(text, int(bounds[at]), int(bounds[upto]), size, chunk)
+        else:
+            # With the next passage's first byte, whose row is left out: the pair before it counts.
+            x = passages([text[bounds[at] : bounds[upto] + 1]], size)[0][: upto - at]
+        x[:, PAIRS + 4] = np.log1p(n) / 5
+        yield x
+        at = upto
+
+
+def _passage_starts(text: bytes, size: int, chunk: int) -> np.ndarray:
+    """Where the passages of a text begin; the first has what is before its words, too."""
+    data = np.frombuffer(text, np.uint8)
+    found, words, before = [], 0, True
+    for at in range(0, len(data), chunk):
+        space = is_space(data[at : at + chunk])
+        starts = np.flatnonzero(~space & np.append(before, space[:-1])) + at
+        found.append(starts[-words % size :: size].copy())
+        words, before = words + len(starts), space[-1]
+    starts = np.concatenate([np.zeros(1, np.int64), *found])
+    return starts[:1] if len(starts) == 1 else np.append(0, starts[2:])
+
+
+def _long_passage(text: bytes, start: int, stop: int, size: int, chunk: int) -> np.ndarray:
+    """The row of one passage longer than ``chunk``: pairs are counted part by part."""
+    data, pairs = np.frombuffer(text, np.uint8), np.zeros(PAIRS, np.int64)
+    for at in range(start, stop, chunk):
+        end = min(at + chunk, stop)
+        part = data[at : end + 1] if end < len(data) else np.append(data[at:end], np.uint8(10))
+        kind = _KIND[part].astype(np.int64)
+        pairs += np.bincount(kind[:-1] * 16 + kind[1:], minlength=PAIRS)
+    # bytes.split() parts at the same six bytes as words_of.
+    words = text[start:stop].split()
+    some = max(len(words), 1)
+    x = np.zeros((1, WIDTH), np.float32)
+    x[0, :PAIRS] = np.sqrt(pairs / max(pairs.sum(), 1))
+    x[0, PAIRS] = len(set(words)) / some
+    x[0, PAIRS + 1] = sum(a == b for a, b in zip(words, words[1:])) / some
+    x[0, PAIRS + 2] = min(sum(map(len, words)) / some / 10, 3)
+    x[0, PAIRS + 3] = len(words) / size
+    return x
 
 
 def fit(

@@ -65,12 +65,17 @@ class Words:
         return mix(raw + sizes * np.uint64(0xD6E8FEB86659FD93))
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    """Which of the bytes part words."""
+    return _IS_SPACE[data]
+
+
 def words_of(texts: list[bytes], lower: bool = False) -> Words:
     """The words of ``texts``; ``lower`` turns A-Z to a-z first."""
     buffer = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     if lower:
         buffer = _LOWER[buffer]
-    space = _IS_SPACE[buffer]
+    space = is_space(buffer)
     edges = np.flatnonzero(np.diff(space, prepend=True))
     starts, ends = edges[::2], edges[1::2]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1

@@ -137,6 +137,30 @@ def test_quality_of_a_long_text_is_that_of_its_parts():
     assert abs(model.finish(weight, z)[0] - model._score_long(text, spec)[0]) < 1e-3
 
 
+@pytest.mark.parametrize("chunk", [64, 700, 5_000])
+def test_quality_encodes_a_text_in_slices_as_the_whole(chunk):
+    """Slices of passages, also of passages longer than a slice."""
+    model, spec = quality.Model(quality.QualitySpec()), quality.QualitySpec(passage_words=10)
+    r = random.Random(8)
+    words = [r.choice(["the", "the", "Ünï", "x1|", "a" * 90, "b" * 1_500]) for _ in range(499)]
+    for text in ("".join(w + r.choice([" ", "  ", " \n"]) for w in words), "  \t" + " ".join(words), " " * 900, "é" * 900, "z"):
+        data = text.encode()
+        x, owner = quality.passages([data], 10)
+        parts = list(quality.encoded(data, 10, chunk))
+        assert np.array_equal(np.concatenate(parts), x)
+        assert len(x) < 50 or len(parts) > 3
+        _, weight, z = model.sums(x, owner, 1)
+        assert abs(model.finish(weight, z)[0] - model._score_long(data, spec, chunk)[0]) < 1e-5
+
+
+def test_quality_scores_a_text_above_the_slice_size_as_the_whole():
+    model, spec = quality.Model(quality.QualitySpec()), quality.QualitySpec()
+    text = b" ".join(b"%d" % (i * 7919 % 100_003) for i in range(400_000)) + b" !!"
+    assert len(text) > 2 * quality.CHUNK
+    _, weight, z = model.sums(*quality.passages([text], spec.passage_words), 1)
+    assert abs(model.finish(weight, z)[0] - model.score([text], spec)[0]) < 1e-6
+
+
 def test_quality_gradients():
     spec = quality.QualitySpec(hidden=3, attention=2)
     r = np.random.default_rng(1)
