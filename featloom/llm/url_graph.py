@@ -12,7 +12,11 @@ Edges are counted links between different hosts (relative links stay on theirs),
 and, if ``parents``, one each way between a host and the host it lies directly
 below, where both have pages. They are summed before anything is joined, a step of
 the iteration is a join of edges with scores and a sum, and scores are written to
-the shared folder every few steps.
+the shared folder every ``stored_every`` steps. The iteration ends when in these no
+host was reached for the first time and no score grew by more than ``tolerance`` of
+itself; it raises if that takes ``most_steps``. So a host counts as unreached only if
+no path leads to it. The SQL has no such end: it is the same only where ``steps``
+rounds are enough, as where there are no edges.
 
 Defined results: a null url or one without ``://`` has host and path ``''`` and is
 allowed; a null html has no links; repeated rows count as often as they occur; an
@@ -48,10 +52,16 @@ class Rule:
 @dataclass(frozen=True)
 class GraphSpec:
     damping: float = 0.85
+    # Rounds that the SQL spells out; ``judge`` goes on to the tolerance.
     steps: int = 12
     stored_every: int = 4
     ratio: float = 2.0
     parents: bool = True
+    # Largest change of any host's score over stored_every rounds, relative to the score.
+    tolerance: float = 1e-8
+    most_steps: int = 2_000
+    # Scores that close to the ratio, relatively, are at it.
+    ties: float = 1e-6
 
 
 def _rest(url: Column) -> Column:
@@ -122,14 +132,25 @@ def host_scores(edges: DataFrame, seeds: DataFrame, spec: GraphSpec) -> DataFram
     )
     seeds = stored(seeds, "host-seeds")
     kept = seeds.select("kind", "host", (F.col("seed") * (1 - spec.damping)).alias("score"))
-    scores = kept
-    for step in range(spec.steps):
-        moved = moves.join(scores.withColumnRenamed("host", "from"), ["kind", "from"]).select(
-            "kind", F.col("to").alias("host"), (F.col("score") * F.col("share") * spec.damping).alias("score")
-        )
-        scores = kept.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (step + 1) % spec.stored_every == 0:
-            scores = stored(scores, "host-scores")
+    scores, rounds, settled = kept, 0, False
+    while not settled:
+        if rounds >= spec.most_steps:
+            raise RuntimeError(f"host scores still change by more than {spec.tolerance} after {rounds} rounds")
+        before = scores.select(F.col("kind").alias("of"), F.col("host").alias("at"), F.col("score").alias("was"))
+        for _ in range(spec.stored_every):
+            moved = moves.join(scores.withColumnRenamed("host", "from"), ["kind", "from"]).select(
+                "kind", F.col("to").alias("host"), (F.col("score") * F.col("share") * spec.damping).alias("score")
+            )
+            scores = kept.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        scores = stored(scores, "host-scores")
+        rounds += spec.stored_every
+        # Scores only grow; a host reached for the first time has none before.
+        grown = F.col("was").isNull() | (F.col("was") < F.col("score") * (1 - spec.tolerance))
+        settled = (
+            scores.join(before, (F.col("kind") == F.col("of")) & (F.col("host") == F.col("at")), "left")
+            .agg(F.coalesce(F.max(grown), F.lit(False)))
+            .first()[0]
+        ) is False
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
     return scores.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
 
@@ -146,9 +167,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], spec: GraphSpec = GraphSpec()
         .agg(F.count("*").alias("seed"))
     )
     scores = host_scores(host_edges(parted.select("host", "html"), spec), seeds, spec)
-    blocked = (F.col("distrust") > 0) & (
-        F.round("distrust", 9) >= F.round(F.col("trust") * spec.ratio, 9)
-    )
+    # Relative, as a host far from its seeds has small scores.
+    blocked = (F.col("distrust") > 0) & (F.col("distrust") >= F.col("trust") * spec.ratio * (1 - spec.ties))
     scores = scores.withColumnsRenamed({"host": "of"}).withColumn("bad", blocked)
     by_rule = F.when(F.col("rule").isin(allowed), "allow").otherwise("block")
     by_graph = F.when(F.coalesce("bad", F.lit(False)), "block").otherwise("allow")

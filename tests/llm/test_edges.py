@@ -286,6 +286,41 @@ def test_urls(spark):
     assert url_graph.judge(table.limit(0), rules).count() == 0
 
 
+def test_urls_far_from_all_seeds(spark):
+    """Sixteen hosts in a row, the last blocked: who links to it, over others, is suspect."""
+    rules = [url_graph.Rule("h16.net", "/", False), url_graph.Rule("good.org", "/", True)]
+    pages = [(i, f"http://h{i}.net/", f'<a href="http://h{i + 1}.net/">') for i in range(1, 17)]
+    pages += [(20, "http://good.org/", '<a href="http://fine.org/">'), (21, "http://fine.org/", None)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_graph.judge(table, rules).collect()}
+    assert got == {**{i: "block" for i in range(1, 17)}, 20: "allow", 21: "allow"}
+    with pytest.raises(RuntimeError, match="after 4 rounds"):
+        url_graph.judge(table, rules, url_graph.GraphSpec(most_steps=4))
+
+
+def test_host_scores_are_those_of_the_equations(spark):
+    """Against the solution of the linear equations, on a graph with circles."""
+    r, n, damping = random.Random(2), 30, 0.85
+    weight = np.zeros((n, n))
+    for i in range(n):
+        for j in {(i + 1) % n, r.randrange(n)} - {i}:
+            weight[i, j] = r.randint(1, 3)
+    seed = {"trust": {0: 1, 3: 50}, "distrust": {7: 2}}
+    edges = [(f"h{i}", f"h{j}", int(weight[i, j])) for i in range(n) for j in range(n) if weight[i, j]]
+    seeds = [(f"h{i}", kind, s) for kind, of in seed.items() for i, s in of.items()]
+    rows = url_graph.host_scores(
+        spark.createDataFrame(edges, "source string, target string, weight long"),
+        spark.createDataFrame(seeds, "host string, kind string, seed long"),
+        url_graph.GraphSpec(),
+    ).collect()
+    assert len(rows) == n
+    for kind, w in (("trust", weight), ("distrust", weight.T)):
+        start = np.array([(1 - damping) * seed[kind].get(i, 0) for i in range(n)])
+        right = np.linalg.solve(np.eye(n) - damping * (w / w.sum(axis=1, keepdims=True)).T, start)
+        for q in rows:
+            assert q[kind] == pytest.approx(right[int(q.host[1:])], rel=1e-6)
+
+
 def test_tokens_round_trip():
     ranks = b"".join(_line(bytes([b]), b) for b in range(256))
     ranks += b"".join(_line(t, 256 + i) for i, t in enumerate([b"ab", b"bc", b"abc", b"aa", b" a"]))
