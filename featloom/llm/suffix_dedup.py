@@ -292,9 +292,10 @@ def _window_keys(spec: PassageSpec):
                 if upto is not None:
                     rows.append((None, k1, k2, at, upto))
                 else:
-                    anchored = f"{name}/{sure}/".encode()
                     for o in range(max(0, spec.length - spec.half - len(right)), len(left) + 1):
-                        data = anchored + left[:o][::-1] + b"/" + right[: spec.length - spec.half - o]
+                        # With the offset, so that equal keys are of equal bytes at equal places.
+                        anchored = f"{name}/{sure}/{o:06d}/".encode()
+                        data = anchored + left[:o][::-1] + right[: spec.length - spec.half - o]
                         rows.append((hashlib.blake2b(data, digest_size=16).digest(), k1, k2, at - o, at - o + spec.length))
                 yield _batch(rows, _WINDOWS)
 

@@ -260,6 +260,21 @@ def test_passages(spark, class_rows):
         assert (rows[i].n_removed, rows[i].n_spans, bytes(rows[i].kept)) == (gone, runs, kept)
 
 
+def test_passages_with_slashes_around_the_anchor(spark):
+    """In large classes; windows of 20 bytes that differ only in what is left of the anchor."""
+    r = random.Random(6)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    texts = []
+    for _ in range(150):
+        anchor, rest = word(10), word(8)
+        texts += [f"a{anchor}/{rest}", f"a/{anchor}{rest}", f"{word(5)}{anchor}{word(5)}"]
+    docs = frame(spark, [(i, t, None) for i, t in enumerate(texts)])
+    spec = suffix_dedup.PassageSpec(length=20, class_rows=1, task_rows=50)
+    rows = {q.doc_id: q.found for q in suffix_dedup.without_repeats(docs, spec).collect()}
+    for i, (gone, runs, kept) in enumerate(brute_passages([t.encode() for t in texts], 20)):
+        assert (rows[i].n_removed, rows[i].n_spans, bytes(rows[i].kept)) == (gone, runs, kept)
+
+
 def test_passages_of_empty_table(empty):
     assert suffix_dedup.without_repeats(empty).count() == 0
 
