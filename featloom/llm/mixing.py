@@ -3,7 +3,8 @@
 1. The documents of a source, in pseudorandom order, are laid end to end and cut
    into blocks of ``block`` words; a document's place is its first word's number.
    The running sum is taken within small ranges of the order and over the ranges'
-   sums, so a source with any share of the rows is spread over tasks.
+   sums, so a source with any share of the rows is spread over tasks, and so are
+   rows without an id or of the same.
 2. Each source gets a number of slots: its target in blocks, at most
    ``max_epochs`` times what it has. Slots are dealt to output shards by a
    pseudorandom permutation of all slots, so a shard's source counts are a
@@ -147,7 +148,6 @@ def plan(
                 )
             ),
         )
-        .withColumn("ranges", F.ceil(F.col("docs") / RANGE_ROWS))
         .withColumn("seed", hashed(F.concat(F.lit(f"{spec.seed}:"), F.coalesce("source", F.lit("")))) % PRIME),
         "mix-sources",
     )
@@ -157,11 +157,14 @@ def plan(
 
 def _spans(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """``sizes`` with each document's first word's number in its source."""
-    of = sources.select(F.col("source").alias("of"), "source_size", "target", "ranges")
-    rows = sizes.join(of, F.col("source").eqNullSafe(F.col("of"))).withColumn(
-        "range", F.floor(F.col("h") / F.ceil(F.lit(1 << 60) / F.col("ranges")))
+    order = ("h", "id", "size", "text_hash", "place")
+    tasks = int(sources.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0] // RANGE_ROWS) + 1
+    # By the whole order, as many rows may share an id. Stored, so that ranges stay as they were drawn.
+    ranged = stored(
+        sizes.repartitionByRange(tasks, "source", *order).withColumn("range", F.spark_partition_id()), "mix-ranges"
     )
-    rows = rows.drop("of", "ranges")
+    of = sources.select(F.col("source").alias("of"), "source_size", "target")
+    rows = ranged.join(of, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("source", "range")
@@ -170,13 +173,13 @@ def _spans(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     )
     earlier = (
         Window.partitionBy("source", "range")
-        .orderBy("h", "id", "size", "text_hash", "place")
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     within = rows.withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
     return within.join(
         starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("in"))
-    ).select("id", "source", "size", "source_size", "target", "place", (F.col("start") + F.col("from")).alias("start"))
+    ).select("id", "source", "size", "source_size", "target", "place", "range", (F.col("start") + F.col("from")).alias("start"))
 
 
 def _slots(sources: DataFrame, spec: MixSpec) -> DataFrame:

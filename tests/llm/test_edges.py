@@ -432,6 +432,17 @@ def test_mix(spark, odd, empty):
     assert [(r.target, r.taken) for r in blank] == [(0.0, 0), (0.0, 0)]
 
 
+def test_mix_spreads_rows_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 50)
+    rows = [(None, "w " * (i % 7), "s") for i in range(1_000)] + [(5, "x", None)] * 300
+    spans = mixing.plan(spark.createDataFrame(rows, SCHEMA)).spans
+    assert max(r["count"] for r in spans.groupBy("source", "range").count().collect()) <= 200
+    got = spans.collect()
+    for source, sizes in (("s", sorted(i % 7 for i in range(1_000))), (None, [1] * 300)):
+        starts = np.cumsum([0, *sizes[:-1]]).tolist()
+        assert sorted((r.start, r.size) for r in got if r.source == source) == list(zip(starts, sizes))
+
+
 def test_permutations_are_permutations(spark):
     for n in (1, 2, 10, 1000):
         image = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(99).cast("long")).alias("p"))
