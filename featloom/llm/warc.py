@@ -282,6 +282,19 @@ _RECORDS_ARROW = pa.schema(
 )
 
 
+class _Summed:
+    """A stream whose bytes are counted and hashed as they are read."""
+
+    def __init__(self, stream):
+        self.stream, self.sha, self.bytes = stream, hashlib.sha256(), 0
+
+    def read(self, size: int) -> bytes:
+        data = self.stream.read(size)
+        self.sha.update(data)
+        self.bytes += len(data)
+        return data
+
+
 def _reader(root: str, batch_bytes: int = 4 << 20):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(root)
@@ -289,7 +302,8 @@ def _reader(root: str, batch_bytes: int = 4 << 20):
             for want in batch.to_pylist():
                 rows, size, count = [], 0, 0
                 with store.open_input_stream(f"{base}/{want['file']}", compression=None) as stream:
-                    for data in members(stream):
+                    source = _Summed(stream)
+                    for data in members(source):
                         rows.append(parse(data))
                         size, count = size + len(data), count + 1
                         if size >= batch_bytes:
@@ -297,6 +311,8 @@ def _reader(root: str, batch_bytes: int = 4 << 20):
                             rows, size = [], 0
                 if count != want["records"]:
                     raise ValueError(f"{want['file']} has {count} records, not {want['records']}")
+                if (source.bytes, source.sha.hexdigest()) != (want["bytes"], want["sha256"]):
+                    raise ValueError(f"{want['file']} differs from the manifest in its bytes")
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS_ARROW)
 

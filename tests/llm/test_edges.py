@@ -112,6 +112,20 @@ def test_a_damaged_archive_is_refused():
         warc.parse(good.replace(b"payload\r\n\r\n", b"paYload\r\n\r\n"))
 
 
+def test_a_replaced_archive_is_refused(spark):
+    """As many valid records, but not the manifest's bytes."""
+    made = []
+    for text in "xy":
+        root = scratch_path(spark, "warc")
+        table = spark.createDataFrame([(1, "u", text), (2, "v", None)], "page_id long, url string, html string")
+        made.append((root, warc.write_archives(table, root)))
+    (root, manifest), (_, other) = made
+    assert warc.read_archives(spark, root, manifest).count() == 2
+    assert [r.records for r in manifest.collect()] == [r.records for r in other.collect()] == [2]
+    with pytest.raises(Exception, match="differs from the manifest"):
+        warc.read_archives(spark, root, other).collect()
+
+
 def test_quality(spark, odd, empty):
     labels = spark.createDataFrame(
         [(1, 1), (2, 1), (7, 0), (8, 0), (9, None), (None, 1)], "doc_id long, quality int"
