@@ -16,7 +16,7 @@ from functools import reduce
 from operator import add, and_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 Centers = Sequence[Sequence[float]]
@@ -64,30 +64,39 @@ def summed(terms: Iterable[np.ndarray]) -> np.ndarray:
     return reduce(add, terms)
 
 
+def as_matrix(vectors: pa.Array, width: int) -> np.ndarray:
+    """Arrow lists of doubles, all of one width, as the rows of a matrix, without a
+    Python object per row. Null elements become NaN; null lists have no row."""
+    values = vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return values.reshape(len(vectors) - vectors.null_count, width)
+
+
 def nearest_in_batches(vector: Column, centers: Centers) -> Column:
     """Struct of the nearest centre's index and its squared distance, for an
     array column of any width. A null vector, and one with a null or NaN
     element, gives null."""
     points = np.array(centers, dtype="float64")
 
-    @F.pandas_udf("cluster int, distance double")
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        whole = vectors.notna().to_numpy()
-        x = np.array(vectors[whole].to_list(), dtype="float64").reshape(int(whole.sum()), points.shape[1])
+    @F.arrow_udf("cluster int, distance double")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        x = as_matrix(vectors, points.shape[1])
         known = ~np.isnan(x).any(axis=1)
-        whole[whole] = known
-        found = pd.DataFrame(
-            {
-                "cluster": pd.Series(pd.NA, index=vectors.index, dtype="Int32"),
-                "distance": pd.Series(pd.NA, index=vectors.index, dtype="Float64"),
-            }
-        )
-        if whole.any():
-            x = x[known]
-            # One centre at a time keeps the batch's working memory at its own size.
-            distances = np.column_stack([summed((x[:, i] - c) ** 2 for i, c in enumerate(p)) for p in points])
-            found.loc[whole, "cluster"] = distances.argmin(axis=1)
-            found.loc[whole, "distance"] = distances.min(axis=1)
-        return found
+        best = np.full(len(x), np.inf)
+        label = np.zeros(len(x), np.int32)
+        # One centre at a time keeps the batch's working memory at its own size.
+        for k, p in enumerate(points):
+            distance = summed((x[:, i] - c) ** 2 for i, c in enumerate(p))
+            closer = distance < best
+            label[closer], best[closer] = k, distance[closer]
+        # Back to one entry per vector, those without an answer null.
+        place = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False))[known]
+        missing = np.ones(len(vectors), bool)
+        missing[place] = False
+        fields = []
+        for values, kind in ((label, np.int32), (best, np.float64)):
+            spread = np.zeros(len(vectors), kind)
+            spread[place] = values[known]
+            fields.append(pa.array(spread, mask=missing))
+        return pa.StructArray.from_arrays(fields, names=["cluster", "distance"])
 
     return nearest(vector)

@@ -1,12 +1,14 @@
 """Named collections of points, kept as Parquet tables under one root.
 
-Each collection has a small registry of its own, a row per change; the newest row
-tells its settings, its size and its block table. The block table lists the stored
-files, each a block of points sorted by id, with count and smallest and largest id.
-A change writes new blocks to a fresh folder, then a block table that names them and
-the old blocks that stay, then the registry row. So a reader keeps the version it
-opened, however many changes follow, and never sees a half-written one. A commit
-fails if another writer's came first.
+Each collection has a small registry of its own, a file per change; the newest tells
+its settings, its size and its block table. The block table lists the stored files,
+each a block of points sorted by id, with count and smallest and largest id. A change
+writes new blocks to a fresh folder, then a block table that names them and the old
+blocks that stay, then the registry file. So a reader keeps the version it opened,
+however many changes follow, and never sees a half-written one. Registry files are
+numbered and created only if absent, so of two writers that start from one version
+the second to commit fails. That is as safe as the file system's exclusive create:
+HDFS and local disks have it, object stores if they support conditional writes.
 """
 
 from __future__ import annotations
@@ -20,11 +22,13 @@ from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from featloom.functions.casts import to_double
+from featloom.operators.unique import id_ranges, repeated_ids
 from featloom.sources.local import small_table
 
 _REGISTRY_FIELDS = {
@@ -65,6 +69,15 @@ class CollectionInfo:
         return self.points_count > 0 and self.max_id - self.min_id + 1 == self.points_count
 
 
+@dataclass(frozen=True)
+class Page:
+    """Points (id, payload) in id order, and the id the next page starts with: None
+    after the last."""
+
+    points: Sequence[Row]
+    next_offset: int | None
+
+
 @dataclass(frozen=True)
 class Collection:
     """One version of a collection, for reading. ``blocks`` has a row per stored
@@ -97,45 +110,90 @@ class Collection:
         payload and without vector."""
         return self._from(offset, limit).select("id", "payload").orderBy("id").limit(limit)
 
+    def page(self, limit: int = 1000, offset: int | None = None) -> Page:
+        """One page, read, with the id the next one starts with: that of the one row
+        more that is asked for. One job, whether the ids have gaps or not."""
+        rows = self._first(("id", "payload"), limit + 1, offset)
+        return Page(rows[:limit], rows[limit]["id"] if len(rows) > limit else None)
+
+    def cursor(self, limit: int = 1000) -> Iterator[Page]:
+        """Page after page to the end, each read when it is asked for."""
+        offset: int | None = self.info.min_id
+        while offset is not None:
+            page = self.page(limit, offset)
+            yield page
+            offset = page.next_offset
+
     def next_offset(self, limit: int = 1000, offset: int | None = None) -> int | None:
         """Id the page after starts with, or None after the last one."""
         if self.info.dense:
             following = self._start(offset) + limit
             return following if following <= self.info.max_id else None
-        ids = self._from(offset, limit + 1).select("id").orderBy("id").limit(limit + 1)
-        found, last = ids.agg(F.count("*"), F.max("id")).first()
-        return last if found > limit else None
+        rows = self._first(("id",), limit + 1, offset)
+        return rows[limit]["id"] if len(rows) > limit else None
 
     def pages(self, limit: int = 1000) -> Iterator[DataFrame]:
-        """Page after page to the end."""
+        """Page after page to the end, unread: for work on executors."""
         offset: int | None = self.info.min_id
         while offset is not None:
             yield self.scroll(limit, offset)
             offset = self.next_offset(limit, offset)
 
+    def _first(self, columns: Sequence[str], limit: int, offset: int | None) -> list[Row]:
+        """The first ``limit`` points from the offset on. The range read is as long
+        as, by the blocks' counts, so many ids need; only if it holds fewer points is
+        a longer one read."""
+        start = self._start(offset)
+        sure = self._end(start, limit)
+        reach = min(self._likely_end(start, limit), sure)
+        while True:
+            rows = self._between(start, reach).select(*columns).orderBy("id").limit(limit).collect()
+            if len(rows) == limit or reach >= sure:
+                return rows
+            reach = min(start + 8 * (reach - start + 1), sure)
+
     def _start(self, offset: int | None) -> int:
         return self.info.min_id if offset is None else max(offset, self.info.min_id)
 
     def _from(self, offset: int | None, limit: int) -> DataFrame:
         """The points from the offset on, up to an id by which ``limit`` of them are
-        sure to be found. It follows from the block table alone; other blocks are
-        never opened. Blocks may overlap."""
+        sure to be found."""
         start = self._start(offset)
-        ahead = sorted((b for b in self.blocks if b["max_id"] >= start), key=lambda b: b["max_id"])
-        end, sure = self.info.max_id, 0
-        if self.info.dense:
-            end = min(end, start + limit - 1)
-        else:
-            for block in ahead:
-                sure += block["points"] if block["min_id"] >= start else 0
-                if sure >= limit:
-                    end = block["max_id"]
-                    break
-        needed = [b for b in ahead if b["min_id"] <= end]
+        return self._between(start, self._end(start, limit))
+
+    def _between(self, start: int, end: int) -> DataFrame:
+        """The points of an id range. Blocks it does not meet are never opened."""
+        needed = [b for b in self.blocks if b["max_id"] >= start and b["min_id"] <= end]
         if not needed:
             return self._read(self.blocks[:1]).where(F.lit(False))
         return self._read(needed).where(F.col("id").between(start, end))
 
+    def _end(self, start: int, limit: int) -> int:
+        """An id by which ``limit`` points from ``start`` on are sure to be found. It
+        follows from the block table alone. Blocks may overlap."""
+        if self.info.dense:
+            return min(self.info.max_id, start + limit - 1)
+        sure = 0
+        for block in sorted((b for b in self.blocks if b["max_id"] >= start), key=lambda b: b["max_id"]):
+            sure += block["points"] if block["min_id"] >= start else 0
+            if sure >= limit:
+                return block["max_id"]
+        return self.info.max_id
+
+    def _likely_end(self, start: int, limit: int) -> int:
+        """An id by which there should be half as many points again as ``limit``, if
+        the ids of each block are spread evenly."""
+        wanted, end = 1.5 * limit + 16, start
+        for block in sorted((b for b in self.blocks if b["max_id"] >= start), key=lambda b: b["min_id"]):
+            first = max(start, block["min_id"])
+            apart = (block["max_id"] - block["min_id"] + 1) / block["points"]
+            held = (block["max_id"] - first + 1) / apart
+            if held >= wanted:
+                return max(end, first + int(wanted * apart))
+            wanted -= held
+            end = max(end, block["max_id"])
+        return end
+
 
 class CollectionStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -151,8 +209,8 @@ class CollectionStore:
     def changes(self, name: str | None = None) -> DataFrame:
         """All registry rows, old and current, of one collection or of all."""
         try:
-            rows = self.spark.read.schema(_REGISTRY_SCHEMA).parquet(self._registry_path(name))
-            return rows.select(*_REGISTRY_FIELDS)
+            rows = self.spark.read.schema(_REGISTRY_SCHEMA).option("mode", "DROPMALFORMED")
+            return rows.json(self._registry_path(name)).select(*_REGISTRY_FIELDS)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -167,8 +225,31 @@ class CollectionStore:
         return self.registry().select("name").orderBy("name")
 
     def find(self, name: str) -> CollectionInfo | None:
-        row = self.changes(name).orderBy(F.desc("version")).first()
-        return CollectionInfo(**row.asDict()) if row else None
+        """The newest change of a collection. A file that its writer has not finished
+        is no change yet."""
+        for version in sorted(self._versions(name), reverse=True):
+            files, place = self._file(f"{self._registry_path(name)}/version-{version}.json")
+            stream = files.open(place)
+            try:
+                written = bytes(stream.readAllBytes())
+            finally:
+                stream.close()
+            if written.endswith(b"\n"):
+                return CollectionInfo(**json.loads(written))
+        return None
+
+    def _file(self, path: str):
+        """The Hadoop file system of a path, and the path as it takes it."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _versions(self, name: str) -> list[int]:
+        """Numbers of the registry files, finished or not."""
+        files, place = self._file(self._registry_path(name))
+        if not files.exists(place):
+            return []
+        names = [entry.getPath().getName() for entry in files.listStatus(place)]
+        return [int(n[8:-5]) for n in names if n.startswith("version-") and n.endswith(".json")]
 
     def info(self, name: str) -> CollectionInfo:
         found = self.find(name)
@@ -195,14 +276,24 @@ class CollectionStore:
             return []
         return self.spark.read.schema(_BLOCK_SCHEMA).parquet(info.block_table).orderBy("min_id").collect()
 
-    def _commit(self, info: CollectionInfo, after: int) -> CollectionInfo:
-        """Makes ``info`` the newest row, if version ``after`` still is; 0: none."""
-        newest = self.find(info.name)
-        if (newest.version if newest else 0) != after:
-            raise RuntimeError(f"collection {info.name} was changed by another writer")
-        values = [vars(info)[name] for name in _REGISTRY_FIELDS]
-        row = small_table(self.spark, _REGISTRY_FIELDS, [values])
-        row.coalesce(1).write.mode("append").parquet(self._registry_path(info.name))
+    def _commit(self, info: CollectionInfo) -> CollectionInfo:
+        """Makes ``info`` the newest row. Its number must be free: creating the file
+        is the one step that decides between two writers."""
+        files, place = self._file(f"{self._registry_path(info.name)}/version-{info.version}.json")
+        try:
+            stream = files.create(place, False)
+        except Py4JJavaError as error:
+            if not files.exists(place):
+                raise
+            raise RuntimeError(
+                f"collection {info.name} was changed by another writer, or one ended "
+                f"while it wrote {place.toString()}, which is then to be removed"
+            ) from error
+        try:
+            row = {name: value for name, value in vars(info).items() if value is not None}
+            stream.write(bytearray(json.dumps(row).encode() + b"\n"))
+        finally:
+            stream.close()
         return info
 
     # --- writing --------------------------------------------------------
@@ -211,8 +302,7 @@ class CollectionStore:
         return f"{self.root}/{name}/{kind}-{uuid.uuid4().hex}"
 
     def _remove(self, path: str) -> None:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files, place = self._file(path)
         files.delete(place, True)
 
     @contextmanager
@@ -235,8 +325,8 @@ class CollectionStore:
         ``stay``, the current contents.
 
         ``together`` says that near ids are in the same partitions already.
-        Otherwise one shuffle by id range sees to it. Ids have to be unique: one
-        sum over the ids just stored finds those that are not.
+        Otherwise one shuffle by id range sees to it. Ids have to be unique, which
+        is looked up in the ids just stored.
         """
         path = self._fresh_path(info.name, "points")
         # A vector of another size fails the write itself.
@@ -252,36 +342,24 @@ class CollectionStore:
             .write.option("maxRecordsPerFile", info.block_size)
             .parquet(path)
         )
-        # Only the id column is read back.
-        stored = self.spark.read.schema(points.select("id").schema).parquet(path)
-        if not stored.groupBy("id").count().where("count > 1").isEmpty():
+        ranges = id_ranges(self.spark, path, points.select("id").schema)
+        if repeated_ids(self.spark, ranges, points.select("id").schema):
             self._remove(path)
             raise ValueError("a point id occurs more than once")
-        new = (
-            stored.groupBy(F.col("_metadata.file_path").alias("path"))
-            .agg(F.count("*").alias("points"), F.min("id").alias("min_id"), F.max("id").alias("max_id"))
-            .select(*[F.col(c).cast(kind) for c, kind in _BLOCK_FIELDS.items()])
-        )
-        kept = small_table(self.spark, _BLOCK_FIELDS, [tuple(b) for b in stay])
+        new = [(r["path"], r["points"], r["min_id"], r["max_id"]) for r in ranges]
+        blocks = new + [tuple(b) for b in stay]
         table = self._fresh_path(info.name, "blocks")
-        new.unionByName(kept).coalesce(1).write.parquet(table)
-        count, low, high = (
-            self.spark.read.schema(_BLOCK_SCHEMA)
-            .parquet(table)
-            .agg(F.coalesce(F.sum("points"), F.lit(0)), F.min("min_id"), F.max("max_id"))
-            .first()
-        )
+        small_table(self.spark, _BLOCK_FIELDS, blocks).coalesce(1).write.parquet(table)
         return self._commit(
             replace(
                 info,
                 version=info.version + 1,
-                points_count=count,
-                min_id=low,
-                max_id=high,
+                points_count=sum(b[1] for b in blocks),
+                min_id=min((b[2] for b in blocks), default=None),
+                max_id=max((b[3] for b in blocks), default=None),
                 block_table=table,
                 point_schema=checked.schema.json(),
-            ),
-            info.version,
+            )
         )
 
     def recreate(
@@ -300,7 +378,7 @@ class CollectionStore:
         version = old.version if old else 0
         fresh = CollectionInfo(name, version, vector_size, distance, block_size)
         if points is None:
-            made = self._commit(replace(fresh, version=version + 1), version)
+            made = self._commit(replace(fresh, version=version + 1))
         else:
             made = self._replace(fresh, points, together)
         self._prune(made, old)
@@ -311,8 +389,7 @@ class CollectionStore:
         named = {v.block_table for v in versions if v and v.block_table}
         for v in versions:
             named.update(b["path"].rpartition("/")[0] for b in (self._blocks(v) if v else ()))
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{versions[0].name}")
-        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files, place = self._file(f"{self.root}/{versions[0].name}")
         if not files.exists(place):
             return
         keep = {path.rpartition("/")[2] for path in named}

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from featloom.operators.features import (
     scaler_values,
     standardise,
 )
+from featloom.operators import silhouette as scoring
 from featloom.operators.silhouette import silhouette
 from featloom.specs import ClusterSpec
 
@@ -209,3 +211,24 @@ def test_silhouette_leaves_out_missing_values_and_takes_text_labels(spark, monke
     rows = [(0.0, "x"), (0.0, "x"), (9.0, "y"), (None, "x"), (float("nan"), "y")]
     df = spark.createDataFrame(rows, "a double, prediction string")
     assert silhouette(df, ["a"]).first()["silhouette"] == pytest.approx(2 / 3)
+
+
+@pytest.mark.parametrize("terms", [0, 1_000_000])
+def test_silhouette_leaves_out_rows_without_label(spark, monkeypatch, terms):
+    monkeypatch.setattr(vectors, "WRITTEN_OUT_TERMS", terms)
+    rows = [(0.0, 0), (0.0, 0), (9.0, 1), (4.0, None), (None, None), (None, 2)]
+    df = spark.createDataFrame(rows, "a double, prediction int")
+    assert silhouette(df, ["a"]).first()["silhouette"] == pytest.approx(2 / 3)
+
+
+def test_silhouette_has_a_bound_of_clusters(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "MAX_CLUSTERS", 3)
+    df = spark.range(5).select(F.col("id").cast("double").alias("a"), F.col("id").alias("prediction"))
+    with pytest.raises(ValueError, match="more than 3"):
+        silhouette(df, ["a"])
+
+
+def test_vectors_of_a_sliced_batch(spark):
+    lists = pa.array([[9.0, 9.0], [1.0, None], None, [2.0, 3.0]], pa.list_(pa.float32()))
+    found = vectors.as_matrix(lists[1:], 2)
+    assert np.array_equal(found, [[1.0, np.nan], [2.0, 3.0]], equal_nan=True)

@@ -1,7 +1,13 @@
+import random
+from collections import Counter
+from dataclasses import replace
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from featloom.operators import unique
 from featloom.operators.ids import dense_ids, number_stored_rows, positioned
 from featloom.operators.points import build_points
 from featloom.sources.collection import CollectionStore
@@ -215,12 +221,42 @@ def test_a_reader_keeps_its_version_through_many_changes(spark, store):
 
 
 def test_the_second_of_two_writers_is_refused(spark, store):
+    """Both open the same version before either writes."""
     store.recreate("c", 2, points=points(spark, range(5)))
-    info = store.info("c")
-    store._replace(info, points(spark, range(3)), together=False)
+    first, second = store.info("c"), store.info("c")
+    store._replace(first, points(spark, range(3)), together=False)
     with pytest.raises(RuntimeError, match="another writer"):
-        store._replace(info, points(spark, range(9)), together=False)
-    assert len(contents(store)) == 3
+        store._replace(second, points(spark, range(9)), together=False)
+    assert len(contents(store)) == 3 and store.info("c").version == first.version + 1
+
+
+def test_two_writers_that_commit_at_once(spark, store):
+    """Neither sees the other's file before it makes its own."""
+    store.recreate("c", 2, points=points(spark, range(5)))
+    info = replace(store.info("c"), version=2)
+    outcomes = []
+
+    def commit(count):
+        try:
+            outcomes.append(store._commit(replace(info, points_count=count)).points_count)
+        except RuntimeError:
+            outcomes.append(None)
+
+    store._commit(info)
+    commit(7)
+    commit(8)
+    assert outcomes == [None, None] and store.info("c").points_count == 5
+    assert store.changes("c").count() == 2
+
+
+def test_an_unfinished_change_is_not_seen_and_not_passed_over(spark, store, tmp_path):
+    store.recreate("c", 2, points=points(spark, range(5)))
+    (left,) = (tmp_path / "_collections").rglob("version-1.json")
+    (left.parent / "version-2.json").write_text('{"name": "c", "vers')
+    assert store.info("c").version == 1 and len(contents(store)) == 5
+    assert store.registry().first()["version"] == 1
+    with pytest.raises(RuntimeError, match="version-2.json"):
+        store.write_points("c", points(spark, range(3)))
 
 
 def test_ids_are_unique_at_every_sink(spark, store):
@@ -257,18 +293,91 @@ def test_recreate_keeps_one_version_before(spark, store, tmp_path):
     assert last.points.count() == 7 and len(list((tmp_path / "c").glob("points-*"))) == 1
 
 
-def test_a_page_over_gaps_starts_one_job(spark, store):
-    store.recreate("c", 2, points=points(spark, range(0, 600, 3)), block_size=10)
-    collection = store.open("c")
+def jobs_of(spark, name, run):
+    """What ``run`` returns, and how many jobs it started."""
     tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("page", "page")
+    spark.sparkContext.setJobGroup(name, name)
     try:
-        assert [r["id"] for r in collection.scroll(20, 100).collect()] == list(range(102, 162, 3))
-        assert len(tracker.getJobIdsForGroup("page")) <= 2
+        return run(), len(tracker.getJobIdsForGroup(name))
     finally:
         spark.sparkContext.setJobGroup("", "")
 
 
+def test_a_page_over_gaps_starts_one_job(spark, store):
+    store.recreate("c", 2, points=points(spark, range(0, 600, 3)), block_size=10)
+    collection = store.open("c")
+    page, jobs = jobs_of(spark, "page", lambda: collection.page(20, 100))
+    assert [r["id"] for r in page.points] == list(range(102, 162, 3)) and page.next_offset == 162
+    assert jobs == 1
+
+
+def test_a_page_is_whole_where_ids_bunch(spark, store):
+    """The counts promise ids that are elsewhere, so the range grows."""
+    ids = [*range(10), *range(100_000, 100_300), 1_000_000]
+    store.recreate("c", 2, points=points(spark, ids).coalesce(1), together=True)
+    collection = store.open("c")
+    found = [(len(p.points), p.next_offset) for p in collection.cursor(100)]
+    assert found == [(100, 100_090), (100, 100_190), (100, 100_290), (11, None)]
+    assert collection.next_offset(10) == 100_000 and collection.page(5, 2_000_000).points == []
+
+
+def test_dense_ids_are_published_without_a_shuffle(spark, store):
+    rows = points(spark, range(200)).repartitionByRange(4, "id")
+    store.recreate("c", 2, points=rows, together=True, block_size=20)
+    schema = rows.select("id").schema
+    folder = store.open("c").blocks[0]["path"].rpartition("/")[0]
+    files = unique.id_ranges(spark, folder, schema)
+    assert all(f["steady"] for f in files)
+    ranges = [(f["min_id"], f["max_id"]) for f in files]
+    assert unique.shared_ranges(ranges) == []
+    found, jobs = jobs_of(spark, "unique", lambda: unique.repeated_ids(spark, files, schema))
+    assert not found and jobs == 0
+
+
+def test_spread_ids_are_published_without_a_shuffle_of_ids(spark, store, monkeypatch):
+    monkeypatch.setattr(unique, "_grouped", None)
+    store.recreate("c", 2, points=points(spark, range(0, 900, 3)).repartitionByRange(4, "id"), together=True, block_size=20)
+    assert len(contents(store)) == 300
+
+
+@pytest.mark.parametrize("ids", [[0, 1, 1, 2], [0, 5, 5, 9], [0, 3, 6, 3], list(range(40)) + [7]])
+@pytest.mark.parametrize("together", [False, True])
+def test_an_id_twice_is_found_in_a_file_and_between_files(spark, store, ids, together):
+    for parts in (1, 3):
+        with pytest.raises(ValueError, match="more than once"):
+            store.recreate("c", 2, points=points(spark, ids).repartition(parts), together=together)
+    assert not store.exists("c")
+
+
+def test_a_point_without_id_is_refused(spark, store):
+    with pytest.raises(ValueError, match="no id"):
+        store.recreate("c", 2, points=points(spark, [1, None, 3]))
+
+
+def test_shared_ranges(monkeypatch):
+    assert unique.shared_ranges([(5, 9), (0, 4)]) == []
+    assert unique.shared_ranges([(0, 9), (3, 4), (9, 12), (4, 5)]) == [(3, 5), (9, 9)]
+    draw = random.Random(5)
+    for most in (64, 3):
+        monkeypatch.setattr(unique, "_MOST_RANGES", most)
+        for _ in range(200):
+            ranges = [(a, a + draw.randrange(9)) for a in (draw.randrange(200) for _ in range(20))]
+            counted = Counter(i for a, b in ranges for i in range(a, b + 1))
+            found = unique.shared_ranges(ranges)
+            held = {i for a, b in found for i in range(a, b + 1)}
+            assert len(found) <= most and all(x[1] < y[0] for x, y in zip(found, found[1:]))
+            assert {i for i, n in counted.items() if n > 1} <= held
+            if most == 64:
+                assert {i for i, n in counted.items() if n > 1} == held
+
+
+def test_runs_across_batches():
+    files = [([1, 4], [0, 1]), ([], []), ([9, 2, 3], [2, 3, 4]), ([3, 8], [5, 6]), ([50], [0]), ([51], [1])]
+    batches = [pa.record_batch([pa.array(x, pa.int64()), pa.array(r, pa.int64())], ["id", "row"]) for x, r in files]
+    found = [r for b in unique._runs(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert found == [(1, 9, False), (2, 3, True), (3, 8, False), (50, 51, False)]
+
+
 def test_upsert_rejects_an_id_twice(spark, store):
     store.recreate("c", 2, points=points(spark, range(3)))
     with pytest.raises(ValueError, match="more than once"):
@@ -289,9 +398,13 @@ def test_pages_put_together_are_the_whole(spark, store, step, limit, block):
     block or across several, of which some are empty."""
     ids = [i for i in range(5, 65, step) if step == 1 or not 20 < i < 40]
     store.recreate("c", 2, points=points(spark, ids).repartition(3), block_size=block)
-    pages = [[r["id"] for r in page.collect()] for page in store.open("c").pages(limit)]
-    assert all(len(p) == limit for p in pages[:-1]) and 0 < len(pages[-1]) <= limit
-    assert [i for p in pages for i in p] == list(ids)
+    collection = store.open("c")
+    for pages in (
+        [[r["id"] for r in page.collect()] for page in collection.pages(limit)],
+        [[r["id"] for r in page.points] for page in collection.cursor(limit)],
+    ):
+        assert all(len(p) == limit for p in pages[:-1]) and 0 < len(pages[-1]) <= limit
+        assert [i for p in pages for i in p] == list(ids)
 
 
 def test_page_has_payload_without_vector(spark, store):
