@@ -25,13 +25,47 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+# Spark's name for a stored row's place, and what a column of that name is called
+# while its place is needed.
+METADATA = "_metadata"
+_RENAMED = "_metadata__column"
+
+# Steps over a scan that neither repeat its rows nor bring in others.
+_ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "LogicalRelation", "View"}
+
+
+def _is_one_scan(df: DataFrame) -> bool:
+    """Whether each row is a different row of one stored table."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in _ROW_BY_ROW and node.children().size() == 1:
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation" and node.children().isEmpty()
+
+
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` as stored files, so that each row, repeated ones too, has a place."""
-    try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
-        return docs
-    except AnalysisException:
-        return stored(docs, "located")
+    """``docs`` as stored files, so that each row, repeated ones too, has a place:
+    a scan, filtered or projected at most, as it is; anything else (an ``explode``
+    gives several rows one place) is stored. A column ``_metadata`` would hide the
+    place, so it has another name until ``named_back``."""
+    if METADATA in (c.lower() for c in docs.columns):
+        docs = docs.withColumnRenamed(METADATA, _RENAMED)
+    if _is_one_scan(docs):
+        try:
+            docs.select("_metadata.file_path", "_metadata.row_index")
+            return docs
+        except AnalysisException:
+            pass
+    return stored(docs, "located")
+
+
+def named_back(df: DataFrame) -> DataFrame:
+    """``df`` with the column that ``located`` renamed under its own name."""
+    return df.withColumnRenamed(_RENAMED, METADATA) if _RENAMED in df.columns else df
 
 
 def place() -> Column:

@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm import bpe, exact_dedup, fingerprints, jaccard_join, language, mixing, quality, suffix_dedup, url_graph, warc
+from featloom.llm import (
+    alignment,
+    bpe,
+    exact_dedup,
+    fingerprints,
+    jaccard_join,
+    language,
+    lexical_search,
+    mixing,
+    quality,
+    sharding,
+    suffix_dedup,
+    url_graph,
+    warc,
+)
 from featloom.llm.common import held_out
 from featloom.sources.scratch import scratch_path
 
@@ -198,6 +212,59 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.plan(_table(spark, sf_dir, "documents"), 16).select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def tokenizers() -> alignment.Tokenizers:
+    path = public_tokenizers.path
+    return alignment.Tokenizers.read(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.aligned(_table(spark, sf_dir, "documents"), tokenizers(), digest=True)
+    return rows.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return lexical_search.ranked(docs, items).withColumnsRenamed({"item": "item_id", "doc": "doc_id"})
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), c AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+tf AS (
+  SELECT doc_id, term, any_value(n)::BIGINT AS n, count(*) AS tf
+  FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY doc_id, term
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * (SELECT n FROM c) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 *
+    (10 + (90 * tf.n * c.n) // c.l))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN weight USING (term) CROSS JOIN c
+  GROUP BY item_id, doc_id
+), ranks AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranks WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -210,6 +277,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_mix": op10_mix,
+        "op11_sharding": op11_sharding,
+        "op12_alignment": op12_alignment,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
@@ -220,4 +290,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_graph": url_graph.sql(URL_RULES),
         "op9_jaccard_join": OP9_SQL,
         "op10_mix": mixing.sql(),
+        "op13_lexical_search": OP13_SQL,
     }
