@@ -3,7 +3,9 @@
 Writing. Records are put in order of (page id, payload digest); every
 ``shard_records`` of that order are a shard. Where shards begin is read off the
 exact order of the keys, never off a sample, so the same pages always give the
-same files. A task writes a shard's records one by one, each a gzip member of its
+same files. Pages go to ranges of whole shards, ``MOST_RANGES`` at most, of which the
+driver holds the first keys; where the shards of a range begin comes to its task as
+rows sorted before the pages. A task writes a shard's records one by one, each a gzip member of its
 own, and rolls to the next file when ``file_bytes`` compressed bytes are reached.
 A file is written under a temporary name and renamed when whole; the manifest, a
 table of the files with their sizes, counts and digests, is the commit: what it
@@ -35,7 +37,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -44,6 +45,10 @@ from featloom.llm.common import stored
 from featloom.operators.ids import dense_ids
 from featloom.sources.scratch import scratch_path
 
+# Ranges of shards that pages are dealt to, and tasks that read: 90 bytes each at the
+# driver and in the tasks.
+MOST_RANGES = 100_000
+
 MANIFEST = "shard long, part int, file string, records long, bytes long, sha256 string"
 RECORDS = (
     "page_id long, url string, record_type string, payload_bytes long, "
@@ -66,22 +71,26 @@ def sha1_base32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _record_id(page_id: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
+def _record_id(page_id: int | None, digest: str, kind: str = "response", before: int = 0) -> str:
+    """Of the record that ``before`` records of equal page id and payload precede."""
+    name = f"{page_id}/{digest}" + (f"/{kind}/{before}" if before or kind != "response" else "")
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
 def record(
-    page_id: int | None, url: str | None, payload: bytes, revisits: tuple | None, spec: WarcSpec
+    page_id: int | None, url: str | None, payload: bytes, revisits: tuple | None, spec: WarcSpec, before: int = 0
 ) -> bytes:
-    """One record, uncompressed. ``revisits`` is a tuple of the page id revisited."""
+    """One record, uncompressed. ``revisits`` is a tuple of the page id revisited;
+    ``before`` counts the records of the same page id and payload in front of it."""
+    kind = "response" if revisits is None else "revisit"
     digest = sha1_base32(payload)
     block = HTTP.format(len(payload)).encode()
     if revisits is None:
         block += payload
     head = [
         "WARC/1.1",
-        f"WARC-Type: {'response' if revisits is None else 'revisit'}",
-        f"WARC-Record-ID: {_record_id(page_id, digest)}",
+        f"WARC-Type: {kind}",
+        f"WARC-Record-ID: {_record_id(page_id, digest, kind, before)}",
         f"WARC-Date: {spec.date}",
         f"WARC-Target-URI: {'urn:none' if url is None else quote(url, safe=_URL_SAFE)}",
         "Content-Type: application/http; msgtype=response",
@@ -150,24 +159,26 @@ class _Shard:
 
 def _writer(root: str, spec: WarcSpec):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, files, first, seen = None, [], None, False
+        shard, files, first, number, key, before = None, [], None, None, None, 0
         for batch in batches:
             columns = [batch.column(c) for c in ("shard", "id", "digest", "first_id", "is_page", "url", "html")]
             for i in range(batch.num_rows):
-                number, page, digest, first_id, is_page, url, html = (c[i].as_py() for c in columns)
+                begins, page, digest, first_id, is_page, url, html = (c[i].as_py() for c in columns)
                 if not is_page:
-                    first, seen = (page, digest, first_id), False
+                    if begins is None:
+                        first = (page, digest, first_id)
+                    else:
+                        number = begins
                     continue
                 if shard is None or number != shard.shard:
                     if shard is not None:
                         files.append(shard.close())
                     shard = _Shard(root, number, spec)
-                revisits = None
-                if first is not None and first[:2] == (page, digest):
-                    if seen or first[2] != page:
-                        revisits = (first[2],)
-                    seen = True
-                files.append(shard.add(record(page, url, html or b"", revisits, spec)))
+                before = before + 1 if key == (page, digest) else 0
+                key, revisits = (page, digest), None
+                if first is not None and first[:2] == key and (before or first[2] != page):
+                    revisits = (first[2],)
+                files.append(shard.add(record(page, url, html or b"", revisits, spec, before)))
         if shard is not None:
             files.append(shard.close())
         rows = [f for f in files if f]
@@ -194,16 +205,20 @@ def write_archives(pages: DataFrame, root: str, spec: WarcSpec = WarcSpec()) ->
     )
     keys = stored(body.select("id", "digest", F.length("html").alias("bytes")), "warc-keys")
     numbered = dense_ids(keys.select("id", "digest"), scratch_path(spark, "warc-order"), ["id", "digest"], id_col="n")
-    # One key per shard comes to the driver and goes to the tasks.
-    begins = [
-        (r.id is not None, r.id or 0, r.digest)
-        for r in numbered.where(F.col("n") % spec.shard_records == 0).orderBy("n").collect()
+    begins = numbered.where(F.col("n") % spec.shard_records == 0).select(
+        "id", "digest", F.expr(f"n div {spec.shard_records}").alias("shard")
+    )
+    shards = -(-keys.count() // spec.shard_records)
+    together = max(1, -(-shards // MOST_RANGES))
+    ranges = [
+        (r["id"] is not None, r["id"] or 0, r["digest"])
+        for r in begins.where(F.col("shard") % together == 0).orderBy("shard").collect()
     ]
 
-    @F.pandas_udf("long")
-    def shard_of(ids: pd.Series, digests: pd.Series) -> pd.Series:
-        places = ((i is not None, int(i or 0), d) for i, d in zip(ids, digests))
-        return pd.Series([bisect_right(begins, p) - 1 for p in places], dtype="int64")
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array, digests: pa.Array) -> pa.Array:
+        places = ((i is not None, i or 0, d) for i, d in zip(ids.to_pylist(), digests.to_pylist()))
+        return pa.array([bisect_right(ranges, p) - 1 for p in places], pa.int32())
 
     groups = (
         keys.where(F.col("bytes") >= spec.revisit_bytes)
@@ -211,24 +226,34 @@ def write_archives(pages: DataFrame, root: str, spec: WarcSpec = WarcSpec()) ->
         .agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
         .where("n > 1")
     )
-    notes = (
-        keys.select("id", "digest").distinct().join(groups, "digest")
-        .select("id", "digest", "first_id", F.lit(False).alias("is_page"),
-                F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("html"))
-    )
-    rows = body.select(
-        "id", "digest", F.lit(None).cast("long").alias("first_id"), F.lit(True).alias("is_page"), "url", "html"
-    )
-    # Ids travel as text, as pandas turns integers with nulls among them to floats.
-    everything = notes.unionByName(rows).withColumn(
-        "shard", shard_of(F.col("id").cast("string"), "digest")
+    none = {"first_id": "long", "shard": "long", "url": "string", "html": "binary"}
+
+    def rows_of(df: DataFrame, is_page: bool) -> DataFrame:
+        absent = [F.lit(None).cast(kind).alias(c) for c, kind in none.items() if c not in df.columns]
+        return df.select("*", *absent, F.lit(is_page).alias("is_page"))
+
+    notes = keys.select("id", "digest").distinct().join(groups.drop("n"), "digest")
+    everything = (
+        rows_of(notes, False)
+        .unionByName(rows_of(begins, False))
+        .unionByName(rows_of(body, True))
+        .withColumn("range", range_of("id", "digest"))
     )
-    return stored(
-        everything.repartition(max(len(begins), 1), "shard")
-        .sortWithinPartitions("shard", "id", "digest", "is_page", "url")
+    manifest = stored(
+        everything.repartitionByRange(max(len(ranges), 1), "range")
+        .sortWithinPartitions("range", "id", "digest", "is_page", "shard", "url")
         .mapInArrow(_writer(root, spec), MANIFEST),
         "warc-manifest",
     )
+    _remove_temporary(root)
+    return manifest
+
+
+def _remove_temporary(root: str) -> None:
+    """What tasks that were lost have left."""
+    store, base = fs.FileSystem.from_uri(root)
+    if store.get_file_info(f"{base}/_temporary").type == fs.FileType.Directory:
+        store.delete_dir(f"{base}/_temporary")
 
 
 def members(stream) -> Iterator[bytes]:
@@ -320,5 +345,8 @@ def _reader(root: str, batch_bytes: int = 4 << 20):
 
 
 def read_archives(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
-    """A row per record of the files that ``manifest`` lists; file by file."""
-    return manifest.repartition("file").mapInArrow(_reader(root), RECORDS)
+    """A row per record of the files that ``manifest`` lists: a task per file, or per
+    few of them from ``MOST_RANGES`` files on. The number is fixed, as the manifest is
+    so small that adaptive execution would make it one task."""
+    tasks = min(max(manifest.count(), 1), MOST_RANGES)
+    return manifest.repartitionByRange(tasks, "file").mapInArrow(_reader(root), RECORDS)

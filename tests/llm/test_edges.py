@@ -3,6 +3,7 @@
 import hashlib
 import random
 from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -30,6 +31,8 @@ ROWS = [
     (11, "héllo wörld 日本語", "t"),
 ]
 SCHEMA = "doc_id long, text string, source string"
+# Names that are expressions, and Spark's own for a row's place.
+ODD = ["x.y", "a`b", "_metadata"]
 CLASHING = ["place", "row", "digest", "id", "size", "n", "name", "of", "score", "k1", "spans", "label"]
 
 
@@ -104,6 +107,33 @@ def test_warc(spark):
     assert nothing.count() == 0
 
 
+def test_warc_shards_do_not_depend_on_how_they_are_dealt(spark, monkeypatch):
+    """As many tasks as files read; each record has an id of its own; ranges of several
+    shards give the same bytes; nothing temporary stays."""
+    pages = [(i // 2, f"http://h/{i % 5}", "same" if i % 3 else f"page {i // 2}") for i in range(90)]
+    table = spark.createDataFrame(pages + [(7, "u", "same")] * 9, "page_id long, url string, html string")
+    spec = warc.WarcSpec(shard_records=8, file_bytes=1500)
+    made = []
+    for most in (100_000, 3, 1):
+        monkeypatch.setattr(warc, "MOST_RANGES", most)
+        root = scratch_path(spark, "warc")
+        manifest = warc.write_archives(table, root, spec)
+        made.append(sorted(tuple(r) for r in manifest.collect()))
+        read = warc.read_archives(spark, root, manifest)
+        assert read.rdd.getNumPartitions() == min(len(made[0]), most)
+        assert read.count() == 99
+    assert made[0] == made[1] == made[2] and len({r[0] for r in made[0]}) > 8
+    folder = Path(root.removeprefix("file:"))
+    assert not (folder / "_temporary").exists()
+    heads = []
+    for file in folder.glob("*.warc.gz"):
+        with file.open("rb") as stream:
+            heads += [dict(x.split(": ", 1) for x in m.split(b"\r\n\r\n")[0].decode().split("\r\n")[1:]) for m in warc.members(stream)]
+    ids = {h["WARC-Record-ID"]: h["WARC-Type"] for h in heads}
+    assert len(heads) == len(ids) == 99
+    assert all(ids[h["WARC-Refers-To"]] == "response" for h in heads if h["WARC-Type"] == "revisit")
+
+
 def test_a_damaged_archive_is_refused():
     spec = warc.WarcSpec()
     good = warc.record(1, "u", b"payload", None, spec)
