@@ -4,10 +4,13 @@
    is written and read as a stream. A streaming aggregation without watermark
    keeps, per digest, the smallest id, where its content lies, and a count. The
    state lives in RocksDB on disk, is never expired, and is stored below the
-   cluster's checkpoint folder; later documents can be run against it again.
+   cluster's checkpoint folder. Later documents can be judged against it: the
+   state's keys have one source folder, to which each call adds its own, and of
+   equal texts the one that an earlier call let stay does so for good.
    Copies are combined before the shuffle, so one text may hold any share of rows.
 2. The state is read back as a table. Of digests seen more than once, the text of
-   the document that stays is fetched by its locator and joined to all documents
+   the document that stays is fetched by its locator, from an earlier call's files
+   if it is there, and joined to all documents
    of the digest (an outer join, so Spark splits hot digests among tasks), and
    the texts themselves are compared. Rows whose text differs in spite of an
    equal digest are grouped by digest and text.
@@ -22,9 +25,11 @@ columns, whatever their names, pass through ``survivors`` unchanged.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from featloom.llm.common import SPACE, located, place, settings, stored
+from featloom.llm.common import SPACE, located, named_back, place, quoted, settings, stored
 from featloom.sources.scratch import scratch_path
 
 _STATE = {
@@ -49,12 +54,25 @@ def sha256_of(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def _calls_before(spark: SparkSession, source: str) -> int:
+    """How many calls have added to a source folder."""
+    try:
+        last = spark.read.parquet(source).agg(F.max("call")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None
+    return 0 if last is None else last + 1
+
+
 def run_state(keys: DataFrame, state_path: str, bytes_per_batch: int) -> DataFrame:
     """Adds ``keys`` (digest, id, place) to the state at ``state_path`` and returns
-    the whole state: digest, first (the smallest id and its place), copies."""
+    the whole state: digest, first (of the earliest call the smallest id, its place
+    and the number of its call), copies."""
     spark = keys.sparkSession
-    staged = scratch_path(spark, "dedup-keys")
-    keys.write.parquet(staged)
+    staged = f"{state_path}-keys"
+    keys = keys.withColumn("call", F.lit(_calls_before(spark, staged)).cast("int"))
+    keys.write.mode("append").parquet(staged)
     with settings(spark, _STATE):
         query = (
             spark.readStream.schema(keys.schema)
@@ -62,7 +80,7 @@ def run_state(keys: DataFrame, state_path: str, bytes_per_batch: int) -> DataFra
             .parquet(staged)
             .groupBy("digest")
             .agg(
-                F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "place")).alias("first"),
+                F.min(F.struct("call", F.col("id").isNull().alias("no_id"), "id", "place")).alias("first"),
                 F.count("*").alias("copies"),
             )
             .writeStream.format("noop")
@@ -97,15 +115,19 @@ def judge(
     """A row per document: id, keep_id, group_size, kept, digest; with ``carry``
     also row, the document's columns, null if it goes.
 
-    ``digest`` replaces SHA-256 of the normalised text, named ``normal``.
+    ``digest`` replaces SHA-256 of the normalised text, named ``normal``. With a
+    ``state_path`` of earlier calls, copies of their documents go too, and group_size
+    counts all calls; their files must still be there. Rows are then told apart by
+    their files, so no call may be given a file of an earlier one.
     """
     spark = docs.sparkSession
-    columns = docs.columns
     docs = located(docs)
+    columns = [quoted(c) for c in docs.columns]
+    text = f"row.{quoted(text_col)}"
     digest = sha256_of(F.col("normal")) if digest is None else digest
-    whole = F.struct(*columns) if carry else F.struct(id_col, text_col)
+    whole = F.struct(*columns) if carry else F.struct(quoted(id_col), quoted(text_col))
     base = docs.select(
-        F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("normal"),
+        F.col(quoted(id_col)).alias("id"), normalised(F.col(quoted(text_col))).alias("normal"),
         place().alias("place"), whole.alias("row"),
     ).select(digest.alias("digest"), "id", "place", "row")
 
@@ -126,11 +148,13 @@ def judge(
             F.concat("digest", F.lit("")).alias("of"),
             F.col("id").alias("first_id"),
             F.col("place").alias("first_place"),
-            normalised(F.col(f"row.{text_col}")).alias("first_normal"),
+            normalised(F.col(text)).alias("first_normal"),
             "copies",
         )
     )
-    normal = normalised(F.col(f"row.{text_col}"))
+    if state_path:
+        firsts = firsts.unionByName(_earlier_firsts(docs, state, base, text_col))
+    normal = normalised(F.col(text))
     hit = F.col("of").isNotNull()
     kept = ~hit | (F.col("place") == F.col("first_place"))
     differs = hit & (normal != F.col("first_normal"))
@@ -152,6 +176,27 @@ def judge(
     return _settle_collisions(compared).select(out)
 
 
+def _earlier_firsts(docs: DataFrame, state: DataFrame, base: DataFrame, text_col: str) -> DataFrame:
+    """Of this call's digests whose first document came in an earlier call, that one's
+    id, place and text, read from the files it names: a path per file at the driver."""
+    spark = docs.sparkSession
+    here = docs.select(F.col("_metadata.file_path").alias("file")).distinct()
+    met = (
+        state.where("copies > 1")
+        .join(here, F.col("first.place.file") == F.col("file"), "left_anti")
+        .join(base.select(F.col("digest").alias("met")).distinct(), F.col("digest") == F.col("met"), "left_semi")
+    )
+    met = stored(met.select("digest", "first", "copies"), "dedup-earlier")
+    files = [r[0] for r in met.select("first.place.file").distinct().collect()]
+    text = StructType([docs.schema[text_col]])
+    earlier = spark.read.schema(text).parquet(*files) if files else stored(spark.createDataFrame([], text), "none")
+    texts = earlier.select(place().alias("at"), normalised(F.col(quoted(text_col))).alias("first_normal"))
+    return met.join(texts, F.col("first.place") == F.col("at")).select(
+        F.col("digest").alias("of"), F.col("first.id").alias("first_id"),
+        F.col("first.place").alias("first_place"), "first_normal", "copies",
+    )
+
+
 def _settle_collisions(compared: DataFrame) -> DataFrame:
     """Groups anew rows whose text is not that of their digest's first document."""
     odd = compared.where("differs")
@@ -178,4 +223,4 @@ def _settle_collisions(compared: DataFrame) -> DataFrame:
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    return judge(docs, id_col, text_col, carry=True).where("kept").select("row.*")
+    return named_back(judge(docs, id_col, text_col, carry=True).where("kept").select("row.*"))

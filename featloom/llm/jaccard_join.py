@@ -45,7 +45,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featloom.llm.common import located, place, stored
+from featloom.llm.common import located, named_back, place, quoted, stored
 from featloom.llm.components import components
 from featloom.llm.words import in_chunks, mix, words_of
 
@@ -525,8 +525,7 @@ def classes(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id"
 def firsts(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, all its columns."""
     docs = located(docs)
-    columns = docs.columns
+    columns = [quoted(c) for c in docs.columns]
     stays = classes(docs, spec, id_col, text_col).where("first").select(F.col("place").alias("at"))
-    return docs.select(place().alias("in"), F.struct(*columns).alias("row")).join(
-        stays, F.col("in") == F.col("at")
-    ).select("row.*")
+    rows = docs.select(place().alias("in"), F.struct(*columns).alias("row"))
+    return named_back(rows.join(stays, F.col("in") == F.col("at")).select("row.*"))

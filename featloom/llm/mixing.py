@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from featloom.llm.common import SPACE, WORD, located, place, stored
+from featloom.llm.common import SPACE, WORD, located, named_back, place, quoted, stored
 
 PRIME = 2147483647
 ROUNDS = 12
@@ -272,7 +272,7 @@ def mixed(
     run = rf"(?:{letter}++{gap}*+)"
     to_first_bound = F.concat(F.lit(rf"\A{gap}*+{run}{{1,"), F.col("first_words"), F.lit("}+"))
     first = F.regexp_substr("body", to_first_bound)
-    others = [c for c in columns if c != text_col]
+    others = [quoted(c) for c in columns if c != text_col]
     rows = (
         docs.select(place().alias("in"), F.col(text_col).alias("body"), F.struct(*others, F.lit(0)).alias("row"))
         .join(per_document, F.col("in") == F.col("place"))
@@ -295,7 +295,7 @@ def mixed(
     new = {text_col: F.col("text")}
     if chars_col in columns:
         new[chars_col] = F.length("text").cast(dict(docs.dtypes)[chars_col])
-    return rows.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))
+    return named_back(rows.select(*(new.get(c, F.col("row")[c]).alias(c) for c in columns)))
 
 
 def _permuted_sql(columns: str, x: str, n: str, seed: str) -> str:

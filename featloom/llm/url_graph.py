@@ -33,7 +33,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featloom.llm.common import stored
+from featloom.llm.common import quoted, stored
 
 HREF = r"""(?i)<a\s[^>]*href\s*=\s*["']?([^"'\s>]+)"""
 
@@ -173,8 +173,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], spec: GraphSpec = GraphSpec()
     by_rule = F.when(F.col("rule").isin(allowed), "allow").otherwise("block")
     by_graph = F.when(F.coalesce("bad", F.lit(False)), "block").otherwise("allow")
     kept = [c for c in ruled.columns if c not in ("html", "trust", "distrust", "verdict", "of", "bad")]
-    return ruled.select(kept).join(scores, F.col("host") == F.col("of"), "left").select(
-        *kept,
+    columns = [quoted(c) for c in kept]
+    return ruled.select(columns).join(scores, F.col("host") == F.col("of"), "left").select(
+        *columns,
         F.when(F.col("rule").isNotNull(), by_rule).otherwise(by_graph).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"),
         F.coalesce("distrust", F.lit(0.0)).alias("distrust"),

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featloom.llm import bpe, exact_dedup, fingerprints, jaccard_join, language, mixing, quality, suffix_dedup
-from featloom.llm import url_graph, warc
+from featloom.llm import common, url_graph, warc
 from featloom.llm.components import components
 from featloom.sources.scratch import scratch_path
 
@@ -70,15 +70,69 @@ def test_exact_dedup_tells_texts_of_equal_digest_apart(odd):
     assert {(r.id, r.keep_id, r.group_size, r.kept) for r in weak.collect()} == right
 
 
+def files_of(spark, rows, **more):
+    """``rows`` as stored Parquet files."""
+    path = scratch_path(spark, "rows")
+    spark.createDataFrame(rows, "doc_id long, text string").withColumns(more).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def judged(df, **more):
+    return sorted((r.id or 0, r.keep_id or 0, r.group_size, r.kept) for r in exact_dedup.judge(df, **more).collect())
+
+
 def test_exact_dedup_goes_on_from_its_state(spark):
+    """Later copies of earlier documents go, one of a smaller id too."""
+    state = scratch_path(spark, "state")
+    assert judged(files_of(spark, [(5, "x  a"), (6, "y"), (9, "y")]), state_path=state) == [
+        (5, 5, 1, True), (6, 6, 2, True), (9, 6, 2, False),
+    ]
+    assert judged(files_of(spark, [(2, "x a"), (8, "x\ta"), (None, "y"), (7, "z"), (3, "z")]), state_path=state) == [
+        (0, 6, 3, False), (2, 5, 3, False), (3, 3, 2, True), (7, 3, 2, False), (8, 5, 3, False),
+    ]
+    assert judged(files_of(spark, [(1, "z"), (4, "new")]), state_path=state) == [(1, 3, 3, False), (4, 4, 1, True)]
+    assert judged(files_of(spark, []), state_path=state) == []
+
+
+def test_exact_dedup_compares_texts_with_earlier_ones(spark):
     state = scratch_path(spark, "state")
-    keys = "digest string, id long, place struct<file: string, row: long>"
-    first = spark.createDataFrame([("x", 5, ("f", 0)), ("y", 6, ("f", 1))], keys)
-    later = spark.createDataFrame([("x", 2, ("g", 0)), ("z", 7, ("g", 1))], keys)
-    exact_dedup.run_state(first, state, 1 << 30)
-    # A stream goes on from the folder it knows; later keys are a stream of their own.
-    found = exact_dedup.run_state(first.unionByName(later), scratch_path(spark, "state"), 1 << 30)
-    assert {(r.digest, r["first"].id, r.copies) for r in found.collect()} == {("x", 2, 2), ("y", 6, 1), ("z", 7, 1)}
+    same = {"state_path": state, "digest": F.lit("same")}
+    judged(files_of(spark, [(5, "x")]), **same)
+    assert judged(files_of(spark, [(6, "x"), (7, "y"), (8, "y")]), **same) == [(6, 5, 2, False), (7, 7, 2, True), (8, 7, 2, False)]
+
+
+def test_exact_dedup_in_several_batches(odd):
+    once = judged(odd)
+    assert judged(odd.repartition(7), bytes_per_batch=1) == once
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.survivors, jaccard_join.firsts])
+def test_exploded_rows_have_places_of_their_own(spark, stage):
+    """Both rows of an exploded one have the place of that one."""
+    twice = files_of(spark, [(1, "a b c d e f"), (2, "u v w x y z")]).withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    assert sorted(r.doc_id for r in stage(twice).collect()) == [1, 2]
+    mix = mixing.mixed(*(lambda d: (d, mixing.plan(d)))(common.located(twice.withColumns({"source": F.lit("s"), "n_chars": F.lit(1)}))))
+    assert mix.count() == 4
+    assert fingerprints.with_next(twice).count() == 4 and suffix_dedup.without_repeats(twice).count() == 4
+
+
+def test_names_that_are_expressions(spark):
+    """Of every operator that returns the columns of its documents."""
+    names = {c: F.lit(i) for i, c in enumerate(ODD)}
+    docs = files_of(spark, [(1, "a b c d e f"), (2, "u v w x y z"), (3, None)], source=F.lit("s"), n_chars=F.lit(1), **names)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for df in (docs, files_of(spark, [(1, "a b c d e f"), (2, None)], source=F.lit("s"), n_chars=F.lit(1), **names)):
+        located = common.located(df)
+        out = {
+            "survivors": exact_dedup.survivors(df), "firsts": jaccard_join.firsts(df),
+            "mixed": mixing.mixed(located, mixing.plan(located)),
+        }
+        for name, found in out.items():
+            assert found.columns == df.columns, name
+            assert {tuple(r[-3:]) for r in found.collect()} == {(0, 1, 2)}, name
+        pages = df.withColumns({"url": F.lit("http://a.org/x"), "html": F.col("text")})
+        judged_pages = url_graph.judge(pages, [])
+        assert set(ODD) <= set(judged_pages.columns) and judged_pages.count() == df.count()
 
 
 def test_warc(spark):
