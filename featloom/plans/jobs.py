@@ -27,7 +27,7 @@ from featloom.operators.points import build_points
 from featloom.operators.silhouette import silhouette
 from featloom.sources.collection import CollectionInfo, CollectionStore
 from featloom.sources.delimited import load_features
-from featloom.sources.parquet import read_parquet, write_parquet
+from featloom.sources.parquet import read_parquet, write_counted
 from featloom.specs import PipelineSpec
 
 log = logging.getLogger(__name__)
@@ -68,15 +68,14 @@ def ingest(spark: SparkSession, spec: PipelineSpec) -> CollectionInfo:
 def preprocess(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     """Input collection to cleaned Parquet; returns the stored table.
 
-    The row count before comes from the collection and the one after from the
-    footers, so the collection is read twice: for the bounds and for the result.
+    The row count before comes from the collection, the one after is observed as the
+    rows are written, so the collection is read twice: for the bounds and the result.
     """
     collection = CollectionStore(spark, spec.collections.root).open(spec.collections.input_name)
     raw = collection.scan(spec.clean.columns, passthrough=spec.clean.passthrough)
-    write_parquet(clean(raw, spec.clean), spec.preprocessed_path)
-    stored = read_parquet(spark, spec.preprocessed_path)
-    log.info("%d rows, %d after cleaning", collection.info.points_count, stored.count())
-    return stored
+    written = write_counted(clean(raw, spec.clean), spec.preprocessed_path)
+    log.info("%d rows, %d after cleaning", collection.info.points_count, written)
+    return read_parquet(spark, spec.preprocessed_path)
 
 
 def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
@@ -91,14 +90,14 @@ def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
     model = fit_model(source, columns, settings)
     predictions = predict(source, model)
     result = result_columns(predictions, columns, settings.prediction_col, settings.passthrough)
-    write_parquet(result, spec.predictions_path)
+    written = write_counted(result, spec.predictions_path)
     save_model(model, spec.model_path)
     stored = read_parquet(spark, spec.predictions_path)
     scaled = standardise(stored, model_scaler(model, columns), "_scaled")
     score = silhouette(
         scaled, [f"{c}_scaled" for c in columns], settings.prediction_col
     ).first()["silhouette"]
-    log.info("%d rows clustered, silhouette %.4f", stored.count(), score)
+    log.info("%d rows clustered, silhouette %.4f", written, score)
     return ClusterResult(
         predictions=stored,
         model=model,

@@ -7,6 +7,7 @@ from featloom.__main__ import _parser, _spec, main
 from featloom.plans import jobs
 from featloom.operators.cluster import evaluate, load_model, predict
 from featloom.sources.collection import CollectionStore
+from featloom.sources.parquet import write_counted
 from featloom.sources.delimited import load_features, read_delimited
 from featloom.specs import BandSpec, CleanSpec, CollectionSpec, PipelineSpec, TierSpec
 
@@ -149,3 +150,18 @@ def test_any_table_by_arguments_alone(spark, sf_dir, tmp_path, monkeypatch):
     found = spark.read.parquet(f"{base}/p")
     assert found.columns == ["l_orderkey", *columns, "size"]
     assert found.count() == table.where("l_quantity < 40").count()
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path):
+    """By the writing job itself: no other job starts."""
+    df = spark.range(1000).where("id % 3 = 0")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        assert write_counted(df, str(tmp_path / "out")) == 334
+        assert len(tracker.getJobIdsForGroup("counted")) == 1
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert write_counted(df.where("id < 0"), str(tmp_path / "out")) == 0
+    assert write_counted(spark.createDataFrame([], "x int"), str(tmp_path / "out")) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 0

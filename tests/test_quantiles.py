@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from featloom.operators import quantiles
 from featloom.operators.quantiles import exact_quantiles, quantile_bounds
 from featloom.specs import BandSpec
@@ -68,3 +69,24 @@ def test_nothing_to_take_quantiles_of(spark, error):
         quantile_bounds(df, ["x", "y"], BandSpec(relative_error=error))
     with pytest.raises(ValueError, match="x, y"):
         quantile_bounds(df.limit(0), ["x", "y"], BandSpec(relative_error=error))
+
+
+@pytest.mark.parametrize("rows, sortable, passes", [(200_000, 10_000, 2), (50_000, 100, 3)])
+def test_a_pass_counts_and_gets_the_next_one_ready(spark, monkeypatch, rows, sortable, passes):
+    """One sketch, then a pass for every hundredth; not a second sketch each time."""
+    monkeypatch.setattr(quantiles, "_SORTABLE_VALUES", sortable)
+    df = spark.range(rows).select(((F.col("id") * 7919) % rows).cast("double").alias("x"), F.rand(2).alias("y"))
+    scans = []
+    first = type(df).first
+    monkeypatch.setattr(type(df), "first", lambda self: scans.append(1) or first(self))
+    found = exact_quantiles(df, ["x", "y"], [0.01, 0.99])
+    assert found["x"] == [rows * 0.01 - 1, rows * 0.99 - 1] and len(scans) == passes
+
+
+def test_windows_reach_the_scan(spark, sf_dir):
+    searches = [
+        quantiles._Search("l_extendedprice", 5, 100, low=950.0, high=960.0),
+        quantiles._Search("l_quantity", 5, 100, low=2.0),
+    ]
+    plan = plan_of(spark.read.parquet(f"{sf_dir}/lineitem.parquet").where(quantiles._windows(searches)))
+    assert "Or(And(GreaterThan(l_extendedprice,950.0),LessThan(l_extendedprice,960.0)),GreaterThan(l_quantity,2.0))" in plan
