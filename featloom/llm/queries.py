@@ -221,7 +221,7 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenizers() -> alignment.Tokenizers:
     path = public_tokenizers.path
-    return alignment.Tokenizers.read(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    return alignment.Tokenizers.read(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

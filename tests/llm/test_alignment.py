@@ -182,6 +182,18 @@ def test_perfect_hash(n):
     assert (table.places(other) == -1).all()
 
 
+def test_ranks_and_library_agree(tokenizers, sf_dir, spark):
+    """A by ranks is used for short units, and gives what the library gives."""
+    plain = alignment.Tokenizers(tokenizers.a_json, tokenizers.b_model)
+    assert tokenizers.a_ranks is not None and plain.a_ranks is None
+    other = json.loads(tokenizers.a_json)
+    other["model"]["merges"][0], other["model"]["merges"][1] = other["model"]["merges"][1], other["model"]["merges"][0]
+    assert alignment.Tokenizers(json.dumps(other), tokenizers.b_model, tokenizers.a_pattern).a_ranks is None
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()
+    for text in [" " + (r.text or "") for r in docs] + HARD:
+        assert tokenizers.encode_a(text, 0) == plain.encode_a(text, 0) == tokenizers.encode_a(text, 10_000)
+
+
 def test_equal_keys_are_refused():
     with pytest.raises(ValueError, match="not distinct"):
         PerfectHash.build(np.array([4, 4]))
