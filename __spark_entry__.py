@@ -397,6 +397,16 @@ def lloyd_step(spark, sf_dir):
     return step.select("cluster", "cluster_size", *_rounded(SCALED))
 
 
+KEYED_ROUNDS = 4
+
+
+def kmeans_keyed(spark, sf_dir):
+    fit = clustering.fit_keyed(_lineitem(spark, sf_dir), FEATURES, 5, KEYS, KEYED_ROUNDS)
+    fields = {"cluster": "int", "cluster_size": "long"} | dict.fromkeys(FEATURES, "double")
+    rows = [(i, n, *c) for i, (n, c) in enumerate(zip(fit.sizes, fit.centers))]
+    return small_table(spark, fields, rows).select("cluster", "cluster_size", *_rounded(FEATURES))
+
+
 def within_cluster_cost(spark, sf_dir):
     cost = clustering.within_cluster_cost(_scaled(spark, sf_dir), SCALED, SCALED_CENTERS)
     return cost.select(*_rounded(["cost"], 3))
@@ -853,6 +863,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cluster_sizes": cluster_sizes,
         "centers_of": centers_of,
         "lloyd_step": lloyd_step,
+        "kmeans_keyed": kmeans_keyed,
         "within_cluster_cost": within_cluster_cost,
         "silhouette_fixed": silhouette_fixed,
         "silhouette_by_metric": silhouette_by_metric,

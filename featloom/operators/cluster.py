@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -143,6 +144,53 @@ def lloyd_step(df: DataFrame, columns: Sequence[str], centers: Centers) -> DataF
     )
 
 
+@dataclass(frozen=True)
+class KeyedFit:
+    centers: list[list[float]]
+    sizes: list[int]  # rows of each in the last round
+    rounds: int
+    settled: bool  # whether the last round moved no centre
+
+
+# Sums of coordinates are taken of whole multiples of 2**-20, so that they do not depend
+# on the order they are added up in. Coordinates may be up to 2**42.
+_STEPS_PER_UNIT = float(1 << 20)
+
+
+def keyed_seeds(df: DataFrame, columns: Sequence[str], k: int, key: Sequence[str]) -> list[list[float]]:
+    """``k`` rows without missing values, drawn by a hash of the key: the same ones
+    however the rows are partitioned. Rows of equal hash go by their values."""
+    drawn = F.md5(F.concat_ws("/", *[F.col(c).cast("string") for c in key]).cast("binary"))
+    values = [F.col(c).cast("double").alias(c) for c in columns]
+    rows = df.where(present(columns)).select(drawn.alias("_hash"), *values).orderBy("_hash", *columns).limit(k).collect()
+    if len(rows) < k:
+        raise ValueError(f"{len(rows)} rows without missing values for {k} clusters")
+    return [[r[c] for c in columns] for r in rows]
+
+
+def fit_keyed(
+    df: DataFrame, columns: Sequence[str], k: int, key: Sequence[str], max_rounds: int = 20
+) -> KeyedFit:
+    """K-Means that does not depend on how the rows are partitioned, unlike the
+    estimator: seeds drawn by key, then Lloyd rounds with exact sums, until no centre
+    moves or ``max_rounds`` are done. A centre that no row is nearest to stays where it
+    is. A round is one aggregate; a row per cluster comes to the driver."""
+    centers, sizes, rounds, settled = keyed_seeds(df, columns, k, key), [0] * k, 0, False
+    while rounds < max_rounds and not settled:
+        labelled = assign_nearest(df.select(*columns), columns, centers, "cluster")
+        steps = [F.floor(F.col(c) * _STEPS_PER_UNIT + 0.5).cast("decimal(20,0)") for c in columns]
+        sums = labelled.groupBy("cluster").agg(F.count("*").alias("n"), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(steps)])
+        found = {r["cluster"]: r for r in sums.collect() if r["cluster"] is not None}
+        moved = [
+            [float(int(found[j][f"s{i}"])) / (found[j]["n"] * _STEPS_PER_UNIT) for i in range(len(columns))]
+            if j in found else center
+            for j, center in enumerate(centers)
+        ]
+        sizes = [found[j]["n"] if j in found else 0 for j in range(k)]
+        settled, centers, rounds = moved == centers, moved, rounds + 1
+    return KeyedFit(centers, sizes, rounds, settled)
+
+
 def within_cluster_cost(df: DataFrame, columns: Sequence[str], centers: Centers) -> DataFrame:
     """Sum of squared distances of all rows without missing values to their nearest
     centre, one row."""

@@ -35,6 +35,29 @@ labelled AS (SELECT n.*, r.cluster AS prediction, r.d
   FROM numbered n JOIN ranked r ON n.rid = r.rid AND r.place = 1)"""
 
 
+def _keyed(k: int, rounds: int) -> str:
+    """Seeds by a hash of the key, then Lloyd rounds with sums of multiples of 2**-20."""
+    named = ", ".join(f"{x} AS c{i}" for i, x in enumerate(FEATURES))
+    terms = " + ".join(f"({x} - c{i}) * ({x} - c{i})" for i, x in enumerate(FEATURES))
+    means = ", ".join(
+        f"CAST(sum(CAST(floor({x} * 1048576.0::DOUBLE + 0.5::DOUBLE) AS HUGEINT)) AS DOUBLE) / (count(*) * 1048576.0::DOUBLE) AS c{i}"
+        for i, x in enumerate(FEATURES)
+    )
+    parts = [
+        f"""WITH numbered AS (SELECT *, row_number() OVER () AS rid FROM lineitem),
+drawn AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('/', {KEYS})), {", ".join(FEATURES)}) - 1 AS cluster
+  FROM numbered),
+m0 AS (SELECT cluster, {named} FROM drawn WHERE cluster < {k})"""
+    ]
+    for r in range(1, rounds + 1):
+        parts.append(f"""d{r} AS (SELECT rid, cluster, row_number() OVER (PARTITION BY rid ORDER BY {terms}, cluster) AS place
+  FROM numbered, m{r - 1}),
+m{r} AS (SELECT cluster, count(*) AS n, {means}
+  FROM numbered JOIN d{r} USING (rid) WHERE place = 1 GROUP BY cluster)""")
+    rounded = ", ".join(f"round(c{i}, 4) + 0.0 AS {x}" for i, x in enumerate(FEATURES))
+    return ",\n".join(parts) + f"\nSELECT CAST(cluster AS INT) AS cluster, n AS cluster_size, {rounded} FROM m{rounds}"
+
+
 _SCALED_NAMES = tuple(f"{c}_scaled" for c in FEATURES)
 _MOMENTS = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURES)
 SCALED = f"""moments AS (SELECT {_MOMENTS} FROM lineitem),
@@ -202,6 +225,7 @@ SELECT prediction, count(*) AS cluster_size FROM labelled GROUP BY prediction"""
 SELECT prediction AS cluster, count(*) AS cluster_size, {", ".join(
         f"round(avg({c}), 4) + 0.0 AS {c}" for c in _SCALED_NAMES
     )} FROM labelled GROUP BY prediction""",
+    "kmeans_keyed": _keyed(5, 4),
     "within_cluster_cost": f"{_SCALED_LABELLED} SELECT round(sum(d), 3) AS cost FROM labelled",
     "silhouette_fixed": SILHOUETTE,
     "silhouette_by_metric": SILHOUETTE,

@@ -232,3 +232,25 @@ def test_vectors_of_a_sliced_batch(spark):
     lists = pa.array([[9.0, 9.0], [1.0, None], None, [2.0, 3.0]], pa.list_(pa.float32()))
     found = vectors.as_matrix(lists[1:], 2)
     assert np.array_equal(found, [[1.0, np.nan], [2.0, 3.0]], equal_nan=True)
+
+
+def test_a_keyed_fit_does_not_depend_on_the_partitions(spark):
+    df, names = blobs(spark, k=4, each=60, columns=3)
+    keyed = df.withColumn("key", F.concat_ws("/", *names))
+    gaps = keyed.unionByName(keyed.limit(3).withColumn(names[0], F.lit(None).cast("double")))
+    fits = [
+        clustering.fit_keyed(rows, names, 4, ["key"])
+        for rows in (gaps.repartition(1), gaps.repartition(7), gaps.orderBy(F.desc(names[1])).repartition(3, "key"))
+    ]
+    assert fits[0] == fits[1] == fits[2]
+    assert fits[0].settled and sum(fits[0].sizes) == 240
+    cost = lambda centers: clustering.within_cluster_cost(gaps, names, centers).first()["cost"]
+    assert cost(fits[0].centers) <= cost(clustering.keyed_seeds(gaps, names, 4, ["key"]))
+
+
+def test_a_keyed_fit_of_equal_rows_and_of_too_few(spark):
+    df = spark.createDataFrame([(i, 2.0, 3.0) for i in range(5)], "key int, a double, b double")
+    fit = clustering.fit_keyed(df, ["a", "b"], 3, ["key"])
+    assert fit.sizes == [5, 0, 0] and fit.centers == [[2.0, 3.0]] * 3 and fit.settled
+    with pytest.raises(ValueError, match="5 rows"):
+        clustering.fit_keyed(df, ["a", "b"], 6, ["key"])
