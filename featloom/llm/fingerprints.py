@@ -2,18 +2,22 @@
 
 A text's shingles are its runs of five words (lower-cased; fewer words: the whole
 sequence as one), hashed to 63 bits. The sketch keeps every hash below a fixed
-fraction of the range. A text with fewer than ``floor`` of them keeps its ``floor``
-smallest instead, so that short texts can be compared at all. A sketch carries
-its limit, the number up to which it has every hash of the text: sketches merge
-by taking the smaller limit and the union of the hashes up to it, and two
-sketches, of texts however unequal in length, are compared by the hashes up to
-the smaller limit, an unbiased sample of the shingles of both.
+fraction of the range. The fractions are a ladder, 1, 1/2, 1/4 and 1/8: a text's is
+the smallest by which it can expect to keep ``floor`` hashes, so 1/8 from 256
+different shingles on and 1 below 64. The number of shingles alone decides, never
+their hashes, so a sketch is a fair sample of its text. It carries its limit, the
+number up to which it has every hash: sketches merge by taking the smaller limit
+and the union of the hashes up to it, and two sketches, of texts however unequal in
+length, are compared by the hashes up to the smaller limit, a fair sample of the
+shingles of both. Between texts below 64 shingles the likeness is exact.
 
 Written as a string: limit and hashes in hexadecimal, ``limit:hash,hash,...``.
 
 Defined results: a null text counts as empty; an empty text has no shingles, a
 likeness of 1 to another without any and 0 to all others. Repeated rows are
-documents of their own, ordered by where they are stored. Null ids come first.
+documents of their own, ordered by where they are stored. Null ids come first. The
+containment of a short text none of whose hashes lies below the other's limit is
+null: the sketches do not tell.
 """
 
 from __future__ import annotations
@@ -33,18 +37,31 @@ TOP = (1 << 63) - 1
 class SketchSpec:
     words: int = 5
     fraction: float = 1 / 8
-    floor: int = 16
+    floor: int = 32
 
     @property
-    def threshold(self) -> int:
-        return int((1 << 63) * self.fraction)
+    def ladder(self) -> list[float]:
+        """Fractions from the smallest on, each twice the one before, up to 1."""
+        steps = [self.fraction]
+        while steps[-1] < 1:
+            steps.append(min(1.0, 2 * steps[-1]))
+        return steps
+
+    def limit(self, shingles: Column) -> Column:
+        """The largest hash kept of a text with so many different shingles."""
+        *steps, _ = self.ladder
+        limit = F.lit(TOP)
+        for fraction in reversed(steps):
+            below = int((1 << 63) * fraction)
+            limit = F.when(shingles >= self.floor / fraction, below - 1).otherwise(limit)
+        return limit
 
 
 def with_sketch(df: DataFrame, text: str, out: str, spec: SketchSpec = SketchSpec()) -> DataFrame:
     """``df`` with a column ``out``: struct of limit and sorted hashes of column ``text``."""
     words = F.filter(F.split(F.lower(text), SPACE), lambda w: w != "")
     k = spec.words
-    hashed, many, low = f"{out}_words", f"{out}_all", f"{out}_low"
+    hashed, many, limit = f"{out}_words", f"{out}_all", f"{out}_limit"
     window = F.sequence(F.lit(0), F.size(hashed) - k)
     shingles = F.transform(
         window, lambda i: F.xxhash64(*(F.col(hashed)[i + j] for j in range(k))).bitwiseAND(TOP)
@@ -52,26 +69,13 @@ def with_sketch(df: DataFrame, text: str, out: str, spec: SketchSpec = SketchSpe
     few = F.when(F.size(hashed) > 0, F.array(F.xxhash64(hashed).bitwiseAND(TOP))).otherwise(
         F.array().cast("array<bigint>")
     )
-    smallest = F.slice(F.sort_array(F.array_distinct(many)), 1, spec.floor)
-    enough = F.size(low) >= spec.floor
-    sketch = (
-        F.when(enough, F.struct(F.lit(spec.threshold - 1).alias("limit"), F.col(low).alias("hashes")))
-        .otherwise(
-            F.struct(
-                # Fewer hashes than the floor: the sketch has them all.
-                F.when(F.size(smallest) < spec.floor, F.lit(TOP))
-                .otherwise(F.element_at(smallest, -1))
-                .alias("limit"),
-                smallest.alias("hashes"),
-            )
-        )
-    )
+    kept = F.sort_array(F.filter(many, lambda h: h <= F.col(limit)))
     return (
         df.withColumn(hashed, F.transform(words, lambda w: F.xxhash64(w)))
-        .withColumn(many, F.when(F.size(hashed) >= k, shingles).otherwise(few))
-        .withColumn(low, F.sort_array(F.array_distinct(F.filter(many, lambda h: h < spec.threshold))))
-        .withColumn(out, sketch)
-        .drop(hashed, many, low)
+        .withColumn(many, F.array_distinct(F.when(F.size(hashed) >= k, shingles).otherwise(few)))
+        .withColumn(limit, spec.limit(F.size(many)))
+        .withColumn(out, F.struct(F.col(limit).alias("limit"), kept.alias("hashes")))
+        .drop(hashed, many, limit)
     )
 
 
@@ -89,11 +93,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that are also b's."""
+    """Estimated share of a's shingles that are also b's; null if none of a's hashes
+    can be compared."""
     limit = F.least(a["limit"], b["limit"])
     x, y = _upto(a, limit), _upto(b, limit)
-    return F.when(F.size(x) == 0, F.when(F.size(y) == 0, 1.0).otherwise(0.0)).otherwise(
-        F.size(F.array_intersect(x, y)) / F.greatest(F.size(x), F.lit(1))
+    nothing = F.when(F.size(y) == 0, 1.0).otherwise(0.0)
+    return F.when(F.size(a["hashes"]) == 0, nothing).when(
+        F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.greatest(F.size(x), F.lit(1))
     )
 
 

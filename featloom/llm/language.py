@@ -54,23 +54,31 @@ class LanguageSpec:
     families: dict = field(default_factory=lambda: FAMILIES)
 
 
-def vector(text: str, width: int) -> np.ndarray:
+def vector(text: str, width: int, slice_size: int = 1 << 20) -> np.ndarray:
     """Hashed letter runs of a text; length 1, or 0 for a text without letters."""
     counts = np.zeros(width, np.int64)
-    # Long texts in slices, so that memory does not grow with them.
-    for at in range(0, len(text), 1 << 20):
-        part = text[at : at + (1 << 20)].lower()
+    # In slices, so that memory does not grow with the text; the last two codes go
+    # on to the next slice, so that runs over a cut count as elsewhere.
+    before = np.array([32], np.uint64)
+    for at in range(0, len(text), slice_size):
+        # The lower case of a capital sigma would depend on the letters around it.
+        part = text[at : at + slice_size].replace("\u03a3", "\u03c3").lower()
         codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = (codes >= 1 << 16) | _ALPHA[np.minimum(codes, (1 << 16) - 1)]
         codes = np.where(letter, codes, 32)
         spaced = codes == 32
         # Runs of non-letters are one space.
-        codes = np.concatenate([[32], codes[~(spaced & np.concatenate([[True], spaced[:-1]]))], [32]])
-        codes = codes.astype(np.uint64)
+        codes = codes[~(spaced & np.concatenate([[before[-1] == 32], spaced[:-1]]))].astype(np.uint64)
+        if at + slice_size >= len(text):
+            codes = np.append(codes, np.uint64(32))
+        held = len(before)
+        codes = np.concatenate([before, codes])
         two = codes[:-1] * np.uint64(1_000_003) + codes[1:]
         three = two[:-1] * np.uint64(1_000_003) + codes[2:]
-        for runs in (codes[codes != 32], two + np.uint64(1 << 40), three + np.uint64(1 << 50)):
+        one, two, three = codes[held:], two[held - 1 :], three[max(held - 2, 0) :]
+        for runs in (one[one != 32], two + np.uint64(1 << 40), three + np.uint64(1 << 50)):
             counts += np.bincount((mix(runs) % np.uint64(width)).astype(np.int64), minlength=width)
+        before = codes[-2:]
     total = counts.sum()
     return np.sqrt(counts / total if total else counts).astype(np.float32)
 

@@ -298,6 +298,14 @@ def test_language(spark, empty):
     assert {r.language.lang for r in language.predicted(docs, nothing).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_language_inputs_do_not_depend_on_slices(size):
+    texts = ["the cat", "  ab  c\t\u0130d ", "1", "a", "\u039f\u0394\u039f\u03a3 \u03a3\u0391\u03a3 x", "\U0001d400 zw\u00f6lf -- 12 \ufb01n"]
+    for text in texts:
+        assert (language.vector(text, 512, size) == language.vector(text, 512)).all()
+    assert language.vector("", 512, size).sum() == 0
+
+
 def test_fingerprints(spark, odd, empty):
     rows = fingerprints.with_next(odd).select(
         "id", "text", fingerprints.written(F.col("sketch")).alias("f"),
@@ -328,6 +336,46 @@ def test_sketches_merge_and_contain(spark):
     assert r.xy == 1.0 and abs(r.yx - 0.5) < 0.06 and r.same
 
 
+@pytest.mark.parametrize("words, fraction", [(4, 1), (60, 1), (100, 1 / 2), (200, 1 / 4), (800, 1 / 8)])
+def test_likeness_by_length(spark, words, fraction):
+    """A fixed share of the hashes is kept at each length, and the likeness has no
+    bias and the spread of so large a sample."""
+    shift, pairs = words // 4, 200
+    rows = [(" ".join(f"p{p}w{i}" for i in range(words)), " ".join(f"p{p}w{i}" for i in range(shift, shift + words)))
+            for p in range(pairs)]
+    df = spark.createDataFrame(rows, "x string, y string").coalesce(2)
+    for c in "xy":
+        df = fingerprints.with_sketch(df, c, f"s{c}")
+    x, y = F.col("sx"), F.col("sy")
+    got = df.select("sx", fingerprints.likeness(x, y).alias("near"), fingerprints.containment(x, y).alias("part")).collect()
+    a = {tuple(range(i, i + min(words, 5))) for i in range(max(words - 4, 1))}
+    b = {tuple(j + shift for j in s) for s in a}
+    true, kept = len(a & b) / len(a | b), fraction * len(a | b)
+    assert {r.sx.limit for r in got} == {int((1 << 63) * fraction) - 1}
+    assert abs(np.mean([len(r.sx.hashes) for r in got]) - fraction * len(a)) < 0.05 * len(a) * (fraction < 1) + 1e-9
+    errors, shares = np.array([r.near - true for r in got]), np.array([r.part - len(a & b) / len(a) for r in got])
+    if fraction == 1:
+        assert not errors.any() and not shares.any()
+    else:
+        spread = np.sqrt(true * (1 - true) / kept)
+        assert abs(errors.mean()) < 4 * spread / np.sqrt(pairs) and np.sqrt((errors**2).mean()) < 1.3 * spread
+        assert abs(shares.mean()) < 0.03
+
+
+def test_short_texts_in_long_ones(spark):
+    """What the sketches cannot tell is null; nothing is in everything empty only."""
+    rows = [(" ".join(f"a{i}" for i in range(n)), " ".join(f"a{i}" for i in range(4000))) for n in (0, 5, 40, 300)]
+    df = spark.createDataFrame(rows, "x string, y string").coalesce(1)
+    for c in "xy":
+        df = fingerprints.with_sketch(df, c, f"s{c}")
+    x, y = F.col("sx"), F.col("sy")
+    got = df.select("sx", "sy", fingerprints.containment(x, y).alias("part")).collect()
+    for r in got:
+        comparable = [h for h in r.sx.hashes if h <= r.sy.limit]
+        assert r.part == (1.0 if comparable else 0.0 if not r.sx.hashes else None)
+    assert got[0].part == 0.0 and got[3].part == 1.0
+
+
 def brute_passages(texts, length):
     seen = {}
     for t in texts:
