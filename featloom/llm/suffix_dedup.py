@@ -24,7 +24,7 @@ by counting hashes of 128 bits instead, as a group in one task must be bounded.
 Defined results: a null text counts as empty; texts shorter than ``length`` have
 nothing removed; repeated rows are documents of their own (each wholly removed if long
 enough); matches never cross documents. Bytes that are left are not decoded, as a
-cut may go through a character. Other columns pass unchanged beside ``found``.
+cut may go through a character. The result has the id and ``found`` only.
 """
 
 from __future__ import annotations
