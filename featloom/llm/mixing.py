@@ -35,6 +35,9 @@ from featloom.llm.common import SPACE, WORD, located, named_back, place, quoted,
 PRIME = 2147483647
 ROUNDS = 12
 RANGE_ROWS = 5_000
+CHUNK = 65_536
+# At most so many tasks for each of the session's shuffle partitions.
+TASKS = 16
 
 
 @dataclass(frozen=True)
@@ -155,10 +158,19 @@ def plan(
     return Mix(spans, _slots(sources, spec), _pieces(spans, spec))
 
 
+def _tasks(sources: DataFrame, count: str, each: int) -> int:
+    """A task for ``each`` of what ``count`` counts, within what a driver can schedule."""
+    total = sources.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    return min(int(total // each) + 1, TASKS * int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _spans(sizes: DataFrame, sources: DataFrame) -> DataFrame:
-    """``sizes`` with each document's first word's number in its source."""
+    """``sizes`` with each document's first word's number in its source.
+
+    A range is one task's; its running sum is over sorted rows, which Spark spills.
+    """
     order = ("h", "id", "size", "text_hash", "place")
-    tasks = int(sources.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0] // RANGE_ROWS) + 1
+    tasks = _tasks(sources, "docs", RANGE_ROWS)
     # By the whole order, as many rows may share an id. Stored, so that ranges stay as they were drawn.
     ranged = stored(
         sizes.repartitionByRange(tasks, "source", *order).withColumn("range", F.spark_partition_id()), "mix-ranges"
@@ -183,19 +195,18 @@ def _spans(sizes: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def _slots(sources: DataFrame, spec: MixSpec) -> DataFrame:
-    chunk = 65_536
-    tasks = int(sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0] // chunk) + 1
+    tasks = _tasks(sources, "slots", CHUNK)
     first = Window.orderBy(F.col("source").isNotNull().desc(), "source").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     chunks = (
         sources.withColumn("first", F.coalesce(F.sum("slots").over(first), F.lit(0)))
         .withColumn("all_slots", F.sum("slots").over(every))
         .where("slots > 0")
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(chunk).cast("long"))))
-        .repartition(max(tasks, 1), "source", "chunk")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long"))))
+        .repartition(tasks, "source", "chunk")
     )
     slots = chunks.withColumn(
-        "j", F.explode(F.sequence("chunk", F.least(F.col("chunk") + chunk, F.col("slots")) - 1))
+        "j", F.explode(F.sequence("chunk", F.least(F.col("chunk") + CHUNK, F.col("slots")) - 1))
     )
     epoch = F.floor(F.col("j") / F.col("blocks"))
     seed = (F.col("seed") + epoch * 7919) % PRIME
