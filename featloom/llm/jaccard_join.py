@@ -141,6 +141,13 @@ def _describe(spec: JoinSpec):
     return run
 
 
+def _binary(data: bytes, bounds: np.ndarray) -> pa.Array:
+    """``data`` cut at ``bounds``, the first being 0 and the last its end."""
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
+    )
+
+
 def _owner(names: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(names), np.uint64)[::2] & _LOW
 
@@ -171,16 +178,20 @@ def _list_out(buckets: int):
             known = shared[send]
             token, owner = token[send], owner[send]
             bucket = (token >> np.uint64(16)).astype(np.int64) * buckets >> 32
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            rows = [
-                dict(bucket=b, token=_six(token[i:j]), owner=_six(owner[i:j]), known=known[i:j].tobytes(), count=b"")
-                for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i
-            ]
+            # A row per bucket met, never more than members; one buffer holds all their bytes.
+            begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+            bounds = np.append(begins, len(bucket))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[begins].astype(np.int32)), _binary(_six(token), bounds * 6),
+                 _binary(_six(owner), bounds * 6), _binary(known.tobytes(), bounds),
+                 _binary(b"", np.zeros(len(bounds), np.int64))],
+                schema=_LISTS,
+            )
             if len(credit):
                 # Counts go along with any bucket.
-                rows.append(dict(bucket=int(credit[0]) % buckets, token=b"", owner=_six(credit), known=b"",
-                                 count=n.astype(np.int32).tobytes()))
-            yield pa.RecordBatch.from_pylist(rows, schema=_LISTS)
+                row = dict(bucket=int(credit[0]) % buckets, token=b"", owner=_six(credit), known=b"",
+                           count=n.astype(np.int32).tobytes())
+                yield pa.RecordBatch.from_pylist([row], schema=_LISTS)
 
     return run
 
