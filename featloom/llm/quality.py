@@ -9,7 +9,9 @@ labels are known: what a junk passage is, the attention learns.
 
 The model is learned on the driver from at most about ``per_class`` labelled
 documents of each class (a documented bound; which ones is a function of the id
-alone), encoded on the executors; scores are then corrected to the share of the
+alone) and ``learned_passages`` of each document, spread evenly over the whole text;
+they are encoded on the executors, a long text in slices, so a labelled text of any
+length takes little memory there and at the driver. Scores are then corrected to the share of the
 classes among all labelled documents. Every passage of every document is scored;
 the attention is summed up passage group by passage group, so a long text needs
 little more memory than a short one. Groups are cut between passages and know how
@@ -53,6 +55,8 @@ WIDTH = PAIRS + 5
 class QualitySpec:
     passage_words: int = 48
     per_class: int = 1_500
+    # Passages of a document that are learned from, spread evenly over it.
+    learned_passages: int = 128
     hidden: int = 24
     attention: int = 16
     epochs: int = 12
@@ -222,6 +226,23 @@ def encoded(text: bytes, size: int, chunk: int = CHUNK) -> Iterator[np.ndarray]:
         at = upto
 
 
+def sampled(text: bytes, size: int, most: int, chunk: int = CHUNK) -> np.ndarray:
+    """The rows of ``most`` passages of a text at even distances; of all, if there are fewer."""
+    if len(text) <= chunk:
+        x = passages([text], size)[0]
+        return x[_spread(len(x), most)]
+    wanted = _spread(len(_passage_starts(text, size, chunk)), most)
+    found, at = [], 0
+    for x in encoded(text, size, chunk):
+        found.append(x[wanted[(wanted >= at) & (wanted < at + len(x))] - at])
+        at += len(x)
+    return np.concatenate(found)
+
+
+def _spread(n: int, most: int) -> np.ndarray:
+    return np.arange(n) if n <= most else np.arange(most) * n // most
+
+
 def _passage_starts(text: bytes, size: int, chunk: int) -> np.ndarray:
     """Where the passages of a text begin; the first has what is before its words, too."""
     data = np.frombuffer(text, np.uint8)
@@ -277,12 +298,11 @@ def fit(
     share = F.when(F.col("y") == 1, min(1.0, spec.per_class / counts[1])).otherwise(min(1.0, spec.per_class / counts[0]))
     # At most about two classes' bound of rows.
     chosen = F.broadcast(known.where(draw < share * 1_000_003).distinct())
-    size = spec.passage_words
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode() for t in batch.column(1).to_pylist()]
-            x = [passages([t], size)[0].astype(np.float16).tobytes() for t in texts]
+            texts = (t.as_py().encode() for t in batch.column(1))
+            x = [sampled(t, spec.passage_words, spec.learned_passages).astype(np.float16).tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.binary())], ["of", "y", "x"])
 
     rows = (
