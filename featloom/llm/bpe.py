@@ -8,7 +8,11 @@ which a merge changes two entries, found in a hash table of pairs; both matrices
 are then closed up by a shift, and rows without a pair left go. A piece that is
 itself in the vocabulary is that id.
 
-A piece of n bytes takes up to n rounds of n steps; ordinary pieces are words.
+A part of n bytes takes up to n rounds of n steps; ordinary pieces are words. A piece
+above ``PIECE`` bytes is first cut between bytes that stand side by side in no token,
+where no merge can cross: its parts are merged on their own, with the same ids. What
+is still above ``PIECE`` (a run of one letter, say) is merged with a queue of its
+pairs by rank and place, in the same order, in n log n steps.
 What a task holds is bounded: pieces are looked up in groups of ``GROUP``,
 however long the text, matrices have at most ``CELLS`` cells, and the memory of
 pieces seen is emptied at ``SEEN`` of them.
@@ -21,8 +25,10 @@ touched.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -32,6 +38,7 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 GROUP = 200_000
 CELLS = 1 << 20
+PIECE = 1_000
 SEEN = 250_000
 LONG = 1 << 22
 # Before a piece that is looked up as it is; other keys are words after one space.
@@ -107,6 +114,12 @@ class Coder:
                     pairs.append(a << 32 | b)
                     merged.append(rank)
         self.table = PairTable(np.array(pairs, np.int64), np.array(merged, np.int32))
+        every = np.frombuffer(b"".join(self.ids), np.uint8)
+        side_by_side = np.ones(max(len(every) - 1, 0), bool)
+        ends = np.cumsum([len(token) for token in self.ids])[:-1]
+        side_by_side[ends - 1] = False
+        self.inside = np.zeros((256, 256), bool)
+        self.inside[every[:-1][side_by_side], every[1:][side_by_side]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -123,24 +136,85 @@ class Coder:
                 rest.append(i)
             else:
                 out[i] = np.array([] if known is None else [known], np.int32)
-        rest.sort(key=lambda i: len(pieces[i]))
+        parts = [self._parts(pieces[i]) for i in rest]
+        found = iter(self._merge_parts([p for some in parts for p in some]))
+        for i, some in zip(rest, parts):
+            out[i] = np.concatenate([next(found) for _ in some])
+        return out
+
+    def _parts(self, piece: bytes) -> list[bytes]:
+        """A long piece cut where no token goes across."""
+        if len(piece) <= PIECE:
+            return [piece]
+        data = np.frombuffer(piece, np.uint8)
+        cuts = np.flatnonzero(~self.inside[data[:-1], data[1:]]) + 1
+        bounds = [0, *cuts.tolist(), len(piece)]
+        return [piece[i:j] for i, j in zip(bounds, bounds[1:])]
+
+    def _merge_parts(self, parts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each part by merges alone."""
+        out: list = [None] * len(parts)
+        rest = []
+        for i, part in enumerate(parts):
+            if len(part) > PIECE:
+                out[i] = self._merge_queued(part)
+            else:
+                rest.append(i)
+        rest.sort(key=lambda i: len(parts[i]))
         start = 0
         while start < len(rest):
-            shortest = len(pieces[rest[start]])
+            shortest = len(parts[rest[start]])
             end = start
             # A bucket: lengths within an eighth of the shortest, cells bounded.
             while (
                 end < len(rest)
-                and (n := len(pieces[rest[end]])) <= shortest + max(shortest // 8, 1)
+                and (n := len(parts[rest[end]])) <= shortest + max(shortest // 8, 1)
                 and (end == start or (end - start + 1) * n <= CELLS)
             ):
                 end += 1
             bucket = rest[start:end]
-            for i, ids in zip(bucket, self._merge_bucket([pieces[i] for i in bucket])):
+            for i, ids in zip(bucket, self._merge_bucket([parts[i] for i in bucket])):
                 out[i] = ids
             start = end
         return out
 
+    @cached_property
+    def _pairs(self) -> dict[int, int]:
+        used = self.table.keys >= 0
+        return dict(zip(self.table.keys[used].tolist(), self.table.ranks[used].tolist()))
+
+    def _merge_queued(self, part: bytes) -> np.ndarray:
+        """The same merges, the next one found by a queue; ids are a linked list."""
+        ids = self.byte_ids[np.frombuffer(part, np.uint8)]
+        n = len(ids)
+        ranks = self.table.find(ids[:-1], ids[1:])
+        places = np.flatnonzero(ranks != NONE)
+        queue = (ranks[places].astype(np.int64) << 32 | places).tolist()
+        heapify(queue)
+        ids, rank_of = array("q", ids.tolist()), self._pairs.get
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        gone = bytearray(n)
+
+        def pair(at: int) -> int | None:
+            return rank_of(ids[at] << 32 | ids[after[at]]) if after[at] < n else None
+
+        while queue:
+            entry = heappop(queue)
+            rank, at = entry >> 32, entry & 0xFFFFFFFF
+            # An entry is old if its id was merged away or is now part of another pair.
+            if gone[at] or pair(at) != rank:
+                continue
+            merged = after[at]
+            gone[merged] = 1
+            ids[at], after[at] = rank, after[merged]
+            if after[at] < n:
+                before[after[at]] = at
+            for changed in (before[at], at):
+                if changed >= 0 and (new := pair(changed)) is not None:
+                    heappush(queue, new << 32 | changed)
+        keep = np.frombuffer(gone, np.uint8) == 0
+        return np.array(ids, np.int32)[keep]
+
     def _merge_bucket(self, pieces: list[bytes]) -> list[np.ndarray]:
         sizes = np.array([len(p) for p in pieces])
         width = int(sizes.max())

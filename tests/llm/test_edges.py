@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from dataclasses import replace
 from pathlib import Path
 
@@ -259,6 +260,23 @@ def test_quality_scores_a_text_above_the_slice_size_as_the_whole():
     assert abs(model.finish(weight, z)[0] - model.score([text], spec)[0]) < 1e-6
 
 
+def test_quality_learns_from_passages_spread_over_a_text():
+    text = b" ".join(b"%d" % (i * 31 % 997) for i in range(5_000))
+    x, _ = quality.passages([text], 10)
+    for most, chunk in ((7, 300), (7, 1 << 20), (499, 300), (500, 300), (900, 1 << 20)):
+        assert np.array_equal(quality.sampled(text, 10, most, chunk), x[quality._spread(len(x), most)])
+    assert len(quality.sampled(text, 10, 7)) == 7 and len(quality.sampled(b"", 10, 7)) == 1
+
+
+def test_quality_learns_from_a_text_of_30_mb_in_little_memory():
+    text = b"some words of a long text | " * 1_100_000
+    tracemalloc.start()
+    x = quality.sampled(text, 48, 128)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(x) == 128 and peak < 300 << 20
+
+
 def test_quality_gradients():
     spec = quality.QualitySpec(hidden=3, attention=2)
     r = np.random.default_rng(1)
@@ -497,6 +515,37 @@ def test_tokens_round_trip():
         coder.decode([9999])
 
 
+@pytest.mark.parametrize("limit", [1, 3, 40, 1_000_000])
+def test_long_pieces_have_the_ids_of_single_merges(monkeypatch, limit):
+    """Cut where no token goes across or queued: the leftmost pair of least rank first."""
+    monkeypatch.setattr(bpe, "PIECE", limit)
+    tokens = [b"ab", b"bc", b"aa", b"aab", b"aaaa", b"bca", b"cd", b"abab", b"dd", b"aabc"]
+    ids = {**{bytes([b]): b for b in range(256)}, **{t: 256 + i for i, t in enumerate(tokens)}}
+    coder = bpe.Coder(b"".join(_line(t, i) for t, i in ids.items()), r"\S+|\s+")
+    assert coder.inside.sum() == 7 and not coder.inside[ord("c"), ord("b")]
+
+    def merged(piece):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while True:
+            ranks = [ids.get(a + b, 9_999) for a, b in zip(parts, parts[1:])]
+            if not ranks or (least := min(ranks)) == 9_999:
+                return [ids[p] for p in parts]
+            at = ranks.index(least)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    r = random.Random(5)
+    pieces = ["".join(r.choice("aaabbcd") for _ in range(r.randint(2, 90))).encode() for _ in range(200)]
+    pieces += [b"a" * 77, b"ab" * 30, "äa".encode() * 9]
+    for piece, got in zip(pieces, coder.merge(pieces)):
+        assert got.tolist() == ([ids[piece]] if piece in ids else merged(piece))
+
+
+def test_a_run_of_a_million_letters():
+    ranks = b"".join(_line(bytes([b]), b) for b in range(256)) + _line(b"aa", 256) + _line(b"aaaa", 257)
+    ids, counts = bpe.Coder(ranks, r"\S+|\s+").encode(["a" * 1_000_003])
+    assert counts.tolist() == [250_002] and ids[-2:].tolist() == [256, 97] and set(ids[:-2].tolist()) == {257}
+
+
 def _line(token, rank):
     import base64
 
@@ -552,6 +601,18 @@ def test_jaccard_join_against_all_pairs(spark, block):
     assert [(rows[i].component_id, rows[i].links) for i in range(len(texts))] == [(root(i), links[i]) for i in range(len(texts))]
 
 
+def test_jaccard_lists_meet_in_any_number_of_buckets(spark):
+    """Also with more buckets than members."""
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"{i % 5}w{j + (j == 29) * i}" for j in range(30))) for i in range(20)], "doc_id long, text string"
+    )
+    rows = [
+        sorted(map(tuple, jaccard_join.classes(docs, jaccard_join.JoinSpec(list_entries=n)).select("id", "component_id", "links").collect()))
+        for n in (2_000_000, 1)
+    ]
+    assert rows[0] == rows[1] and {r[1] for r in rows[0]} == set(range(5))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     got = {r.vertex: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
@@ -589,6 +650,38 @@ def test_mix_spreads_rows_of_one_id(spark, monkeypatch):
         assert sorted((r.start, r.size) for r in got if r.source == source) == list(zip(starts, sizes))
 
 
+def test_mix_tasks_are_bounded(spark, odd, monkeypatch):
+    """However many rows and slots there are, and with the same result."""
+    spec = mixing.MixSpec(block=2)
+    key = lambda r: (r.id or 0, r.size, r.taken)
+    right = sorted(map(key, mixing.totals(mixing.plan(odd, spec)).collect()))
+    most = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, value in (("RANGE_ROWS", 1), ("CHUNK", 100), ("TASKS", 2)):
+        monkeypatch.setattr(mixing, name, value)
+    mix = mixing.plan(odd, spec)
+    assert mix.spans.agg(F.max("range")).first()[0] < most
+    assert 1 < mix.slots.rdd.getNumPartitions() <= most
+    assert sorted(map(key, mixing.totals(mix).collect())) == right
+
+
+def test_mixed_odd_rows(odd, empty):
+    """The mix's texts are the words that ``totals`` counts, with the other columns as they were."""
+    spec = mixing.MixSpec(block=7)
+    for table in (odd, empty):
+        docs = common.located(table)
+        mix = mixing.plan(docs, spec)
+        out = mixing.mixed(docs, mix, spec)
+        assert out.columns == table.columns
+        words = {}
+        for r in out.collect():
+            assert r.place == "place" and 1 <= len(r.text.split()) <= 7
+            words[r.doc_id, r.source] = words.get((r.doc_id, r.source), 0) + len(r.text.split())
+        taken = {}
+        for r in mixing.totals(mix).where("taken > 0").collect():
+            taken[r.id, r.source] = taken.get((r.id, r.source), 0) + r.taken
+        assert words == taken and bool(taken) == (table is odd)
+
+
 def test_permutations_are_permutations(spark):
     for n in (1, 2, 10, 1000):
         image = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(99).cast("long")).alias("p"))
