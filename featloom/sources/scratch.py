@@ -6,14 +6,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# The first that is set. Both are folders that all executors share.
-_SETTINGS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
+CHECKPOINTS, WAREHOUSE = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder that the session names for checkpoints or,
-    if it names none, in its warehouse."""
-    base = next(filter(None, (spark.conf.get(s, None) for s in _SETTINGS)), None)
+    """A new path in the shared folder that the session names for checkpoints. A
+    local session that names none has its warehouse, by default a folder of the
+    driver's, which on a cluster the executors would not share."""
+    base = spark.conf.get(CHECKPOINTS, None)
+    master = spark.conf.get("spark.master", None) or "local"
+    if base is None and master.startswith("local") and not master.startswith("local-cluster"):
+        base = spark.conf.get(WAREHOUSE, None)
     if base is None:
-        raise ValueError(f"set {_SETTINGS[0]} to a folder all executors share")
+        raise ValueError(f"set {CHECKPOINTS} to a folder all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
