@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from featloom.operators import unique
+from featloom.operators import ids as numbering, unique
 from featloom.operators.ids import dense_ids, number_stored_rows, positioned
 from featloom.operators.points import build_points
 from featloom.sources.collection import CollectionStore
@@ -82,6 +82,38 @@ def test_rows_of_one_key_keep_their_order(spark, tmp_path):
     assert [(r["key"], r["n"]) for r in found] == sorted((r["key"], r["n"]) for r in found)
 
 
+def test_many_rows_are_sorted_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS_PER_TASK", 1000, raising=False)
+    df = spark.range(30_000).select((F.col("id") * 7919 % 101).alias("key"), F.col("id").alias("n")).repartition(8)
+    sizes = positioned(df, ["key"]).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == 30 and max(sizes) < 3000 and sum(sizes) == 30_000
+    found = dense_ids(df, str(tmp_path / "staged"), ["key"]).orderBy("id").collect()
+    assert [r["id"] for r in found] == list(range(30_000))
+    assert [r["key"] for r in found] == sorted(r["key"] for r in found)
+
+
+def test_counting_rows_per_file_sorts_nothing(spark, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "files"), []
+    spark.range(500).withColumnRenamed("id", "n").repartition(4).write.parquet(path)
+    kind, collect = type(spark.range(1)), type(spark.range(1)).collect
+    monkeypatch.setattr(kind, "collect", lambda self: plans.append(plan_of(self)) or collect(self))
+    number_stored_rows(spark, path)
+    assert plans and all("Aggregate" in p and "Sort" not in p for p in plans)
+
+
+def test_many_ids_stay_together_in_partitions_of_bounded_size(spark, store, tmp_path, monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(unique, "_grouped", None)
+    path = str(tmp_path / "files")
+    rows(spark, range(950)).drop("id").repartition(7).write.parquet(path)
+    numbered = number_stored_rows(spark, path, together=True)
+    held = sorted(numbered.rdd.mapPartitions(lambda rows: [sorted(r["id"] for r in rows)]).collect())
+    assert held == [list(range(i, min(i + 100, 950))) for i in range(0, 950, 100)]
+    store.recreate("c", 2, points=build_points(numbered, COLUMNS), together=True)
+    blocks = store.open("c").blocks
+    assert [(b["min_id"], b["max_id"]) for b in blocks] == [(h[0], h[-1]) for h in held]
+
+
 def test_ids_hold_across_the_splits_of_a_file(spark, tmp_path):
     path = str(tmp_path / "large")
     rows = spark.range(200_000).select(F.col("id").alias("n"), F.rand(1).alias("x")).coalesce(1)
