@@ -595,7 +595,7 @@ def _part_collection(spark, sf_dir):
     store = _store(spark)
     parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", *PART_COLUMNS)
     with store.staging("parts") as path:
-        numbered = dense_ids(parts, path, ["p_name", "p_partkey"])
+        numbered = dense_ids(parts, path, ["p_name", "p_partkey"], together=True)
         points = build_points(numbered, PART_COLUMNS, passthrough=["p_name", "p_partkey"])
         store.recreate("parts", len(PART_COLUMNS), points=points, together=True)
     return store.open("parts")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,10 +25,38 @@ from featloom.sources.local import small_table
 from featloom.specs import ClusterSpec
 
 
+# What the estimator keeps of a partition, and reads again in each iteration, at 8 bytes
+# a value and some per row: little while few partitions do, bounded at any size. Up to
+# 200 partitions a shuffle is written without keeping its rows in memory.
+_ROW_BYTES = 96
+_KEPT_BYTES = 16 << 20
+_MOST_KEPT_BYTES = 192 << 20
+_FEW_PARTITIONS = 192
+
+
+def _bounded(rows: DataFrame, values: int) -> DataFrame:
+    """The rows as they are stored or, if there are more than a small partition
+    holds, dealt evenly to as many partitions as they need. The number follows from
+    the rows and ``values`` per row, never from the cluster. Sorted by where they
+    were read, they are the same in each partition whenever it is computed."""
+    size = rows.count() * (_ROW_BYTES + 8 * values)
+    parts = max(min(math.ceil(size / _KEPT_BYTES), _FEW_PARTITIONS), math.ceil(size / _MOST_KEPT_BYTES))
+    if parts <= 1:
+        return rows
+    placed = rows.withColumn("_position", F.monotonically_increasing_id())
+    return placed.repartition(parts, "_position").sortWithinPartitions("_position").drop("_position")
+
+
 def fit_kmeans(scaled: DataFrame, spec: ClusterSpec) -> KMeansModel:
     """Fit on the scaled vector column. The estimator keeps the vectors, and
     only them, in memory or on disk for its iterations; do not persist the
-    input as well."""
+    input as well. Many rows are dealt to partitions of bounded size first."""
+    vectors = scaled.select(spec.scaled_features_col)
+    one = vectors.first()
+    return _fit(_bounded(vectors, one[0].size if one and one[0] is not None else 0), spec)
+
+
+def _fit(scaled: DataFrame, spec: ClusterSpec) -> KMeansModel:
     return KMeans(
         k=spec.k,
         seed=spec.seed,
@@ -40,7 +69,8 @@ def fit_kmeans(scaled: DataFrame, spec: ClusterSpec) -> KMeansModel:
 
 def fit_model(df: DataFrame, columns: Sequence[str], spec: ClusterSpec) -> PipelineModel:
     """Scaler and clusters fitted on the columns, as one model, in as many
-    partitions as ``spec`` says."""
+    partitions as ``spec`` says; otherwise as stored or, if there are many rows, in
+    partitions of bounded size."""
     features = fit_features(
         df,
         columns,
@@ -49,8 +79,8 @@ def fit_model(df: DataFrame, columns: Sequence[str], spec: ClusterSpec) -> Pipel
     )
     # The plain columns are what moves, not the vectors made of them.
     rows = df.select(*columns)
-    scaled = features.transform(rows.repartition(spec.partitions) if spec.partitions else rows)
-    return join_models(features, fit_kmeans(scaled, spec))
+    rows = rows.repartition(spec.partitions) if spec.partitions else _bounded(rows, len(columns))
+    return join_models(features, _fit(features.transform(rows), spec))
 
 
 def join_models(features: PipelineModel, kmeans: KMeansModel) -> PipelineModel:

@@ -26,8 +26,10 @@ from featloom.sources.local import small_table
 # Spark's own names: part-<task>-<job>[-c<roll>|.c<roll>].
 _TASK = r"/part-(\d+)-[^/]*$"
 _ROLL = r"[-.]c(\d+)[^/]*$"
-# Rows that one task sorts, about: some hundred megabytes of narrow rows.
+# Rows that one task sorts at most, about: some hundred megabytes of narrow rows. Fewer
+# if that takes no more partitions than a shuffle writes without keeping rows in memory.
 ROWS_PER_TASK = 2_000_000
+_FEW_ROWS, _FEW_PARTITIONS = 250_000, 192
 
 
 def number_stored_rows(
@@ -38,7 +40,7 @@ def number_stored_rows(
 
     Partitions are as they are read. ``together`` is for those who sort by id or
     store by it: if there are more than ``ROWS_PER_TASK`` rows, each partition gets
-    that many ids in a row, in one shuffle.
+    at most that many ids in a row, in one shuffle.
     """
     stored = spark.read.parquet(path)
     columns = stored.columns
@@ -70,10 +72,11 @@ def number_stored_rows(
     )
     here = F.col("_file") == F.col("_of")
     numbered = placed.join(F.broadcast(offsets), here).select((F.col("_start") + F.col("_row")).alias(id_col), *columns)
-    parts = math.ceil(sum(r["rows"] for r in counted) / ROWS_PER_TASK)
-    if not together or parts <= 1:
+    total = sum(r["rows"] for r in counted)
+    if not together or total <= ROWS_PER_TASK:
         return numbered
-    return numbered.repartitionById(parts, (F.col(id_col) / ROWS_PER_TASK).cast("int"))
+    each = min(max(_FEW_ROWS, math.ceil(total / _FEW_PARTITIONS)), ROWS_PER_TASK)
+    return numbered.repartitionById(math.ceil(total / each), F.floor(F.col(id_col) / each).cast("int"))
 
 
 def _number(pattern: str, path: str) -> int | None:

@@ -57,7 +57,7 @@ def ingest(spark: SparkSession, spec: PipelineSpec) -> CollectionInfo:
     store = CollectionStore(spark, spec.collections.root)
     name = spec.collections.input_name
     with store.staging(name) as path:
-        points = build_points(dense_ids(rows, path), columns, passthrough=carried)
+        points = build_points(dense_ids(rows, path, together=True), columns, passthrough=carried)
         info = store.recreate(
             name, len(columns), spec.collections.distance, points, together=True
         )
@@ -109,10 +109,11 @@ def cluster(spark: SparkSession, spec: PipelineSpec) -> ClusterResult:
 
 def publish(spark: SparkSession, spec: PipelineSpec) -> CollectionInfo:
     """Predictions to the output collection. The rows are numbered where they
-    are stored, so this is a scan and a write."""
+    are stored, so this is a scan and a write, with a shuffle by id between them if
+    there are more rows than a task is to sort."""
     columns, settings = spec.clean.columns, spec.cluster
     tier = spec.clean.tier.output if spec.clean.tier else ""
-    numbered = number_stored_rows(spark, spec.predictions_path)
+    numbered = number_stored_rows(spark, spec.predictions_path, together=True)
     points = build_points(
         numbered, columns, tier, settings.prediction_col, passthrough=settings.passthrough
     )

@@ -69,8 +69,8 @@ class ClusterSpec:
     seed: int = 51
     max_iter: int = 20
     tol: float = 1e-4
-    # Partitions to fit in; None: as stored. A fit depends on how rows are split,
-    # so the number is the caller's and never the cluster's.
+    # Partitions to fit in; None: as stored, or by the number of rows if there are many.
+    # A fit depends on how rows are split, so the number is never the cluster's.
     partitions: int | None = None
     features_col: str = "features"
     scaled_features_col: str = "scaled_features"

@@ -177,6 +177,30 @@ def test_a_fit_does_not_depend_on_the_cluster(spark):
     assert centers[0] == centers[1]
 
 
+def test_many_rows_are_fitted_in_partitions_of_bounded_size(spark, tmp_path, monkeypatch):
+    df, names = blobs(spark, k=4, each=250, columns=3)
+    df.coalesce(1).write.parquet(str(tmp_path / "rows"))
+    stored, sizes = spark.read.parquet(str(tmp_path / "rows")), []
+    fit = clustering.KMeans.fit
+
+    def noted(self, rows):
+        sizes.append(rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+        return fit(self, rows)
+
+    monkeypatch.setattr(clustering.KMeans, "fit", noted)
+    few = clustering.fit_model(stored, names, ClusterSpec(k=4))
+    monkeypatch.setattr(clustering, "_KEPT_BYTES", 100 * (clustering._ROW_BYTES + 8 * 3), raising=False)
+    many = [clustering.fit_model(stored, names, ClusterSpec(k=4)) for _ in range(2)]
+    vectors = few.stages[0].transform(stored)
+    clustering.fit_kmeans(vectors, ClusterSpec(k=4, scaled_features_col="features"))
+    assert sizes[0] == [1000]
+    for found in sizes[1:]:
+        assert len(found) == 10 and max(found) < 200 and sum(found) == 1000
+    centers = [clustering.model_centers(spark, m).collect() for m in many]
+    assert centers[0] == centers[1]
+    assert clustering.predict(stored, many[0]).count() == 1000
+
+
 @pytest.mark.parametrize("terms", [0, 1_000_000])
 def test_missing_values_have_no_label_either_way(spark, monkeypatch, terms):
     monkeypatch.setattr(vectors, "WRITTEN_OUT_TERMS", terms)
