@@ -15,6 +15,10 @@ from featloom.sources.scratch import scratch_path
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Bytes of rows that Spark hands to Python at a time. Without it a batch is 10,000 rows,
+# however long, in the task's JVM and in its worker.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: cuts lineage,

@@ -45,7 +45,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featloom.llm.common import located, named_back, place, quoted, stored
+from featloom.llm.common import SMALL_BATCHES, located, named_back, place, quoted, settings, stored
 from featloom.llm.components import components
 from featloom.llm.words import in_chunks, mix, words_of
 
@@ -118,6 +118,8 @@ def _from_six(data: bytes) -> np.ndarray:
 
 
 PROBES = 1 << 19
+# Entries of inverted lists that are sorted together.
+_SORTED = 1 << 18
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -205,8 +207,13 @@ def _credits(owner: np.ndarray, n: np.ndarray) -> pa.Table:
     return pa.Table.from_arrays([pa.array(owner.astype(np.int64)), pa.array(n.astype(np.int64))], schema=_CREDITS)
 
 
+def _joined(column: pa.ChunkedArray) -> bytes:
+    return b"".join(value.as_buffer() for chunk in column.chunks for value in chunk)
+
+
 def _count_shared(table: pa.Table) -> pa.Table:
-    """Per bucket: how many of each set's members other sets have as well."""
+    """Per bucket: how many of each set's members other sets have as well. Members are
+    sorted and counted in parts, so that little is held besides the lists."""
     done = pc.greater(pc.binary_length(table.column("count")), 0)
     ready = table.filter(done)
     local = [
@@ -214,11 +221,25 @@ def _count_shared(table: pa.Table) -> pa.Table:
         for o, c in zip(ready.column("owner").to_pylist(), ready.column("count").to_pylist())
     ]
     table = table.filter(pc.invert(done))
-    columns = {c: table.column(c).to_pylist() for c in ("token", "owner", "known")}
-    token, owner = (_from_six(b"".join(columns[c])) for c in ("token", "owner"))
-    known = np.frombuffer(b"".join(columns["known"]), bool)
+    token, owner = (_from_six(_joined(table.column(c))) for c in ("token", "owner"))
+    known = np.frombuffer(_joined(table.column("known")), bool)
+    del table, ready
+    parts = len(token) // _SORTED + 1
+    found = []
+    for k in range(parts):
+        mine = np.flatnonzero(token % np.uint64(parts) == k) if parts > 1 else slice(None)
+        found.append(_shared(token[mine], owner[mine], known[mine]))
+    who, n = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(who)
+    who, n = who[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]])[: len(who)])
+    return pa.concat_tables([_credits(who[first], np.add.reduceat(n, first) if len(first) else n), *local])
+
+
+def _shared(token: np.ndarray, owner: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owners of members that several have, and how many such members each has."""
     if not len(token):
-        return pa.concat_tables(local)
+        return owner, np.zeros(0, np.int64)
     order = np.lexsort((owner, token))
     token, owner, known = token[order], owner[order], known[order]
     first = np.ones(len(token), bool)
@@ -231,8 +252,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     # A set that one batch has counted must not be counted again for a copy.
     runs = np.flatnonzero(new_owner)
     counted = np.logical_or.reduceat(known, runs)[np.cumsum(new_owner) - 1]
-    who, n = np.unique(owner[(owners[group] > 1) & new_owner & ~counted], return_counts=True)
-    return pa.concat_tables([_credits(who, n), *local])
+    return np.unique(owner[(owners[group] > 1) & new_owner & ~counted], return_counts=True)
 
 
 def _search_task(spec: JoinSpec):
@@ -375,8 +395,13 @@ class Classes:
 
 
 def search_links(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> Classes:
-    spark = docs.sparkSession
     docs = located(docs)
+    with settings(docs.sparkSession, SMALL_BATCHES):
+        return _search_links(docs, spec, id_col, text_col)
+
+
+def _search_links(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str) -> Classes:
+    spark = docs.sparkSession
     id_type = dict(docs.dtypes)[id_col]
     at = "struct<file: string, row: bigint>"
     rows = docs.select(F.col(id_col).alias("id"), place().alias("place"), F.col(text_col).alias("text"))
