@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featloom.llm.common import quoted, stored
+from featloom.llm.common import SMALL_BATCHES, quoted, settings, stored
 from featloom.llm.perfect_hash import PerfectHash, Table
 from featloom.llm.words import in_chunks
 
@@ -48,12 +48,15 @@ ROWS_PER_VECTOR = 2_000_000
 FAN_IN = 8
 # Pairs that every task holds: 17 bytes each and some 4 bits of hash, 40 MB.
 FREQUENT = 2_000_000
-# Bytes of text encoded together, and units remembered, per task.
+# Bytes of text encoded together, and units remembered, per task: so many, and so many
+# bytes of what is known of them.
 _TOGETHER = 1 << 16
 _MOST_UNITS = 400_000
+_MOST_BYTES = 128 << 20
+_UNIT_BYTES = 250  # of each, besides its text, pairs and groups
 _SHORT = 500
 # Text whose pairs are counted together, and pairs after which a task's are written.
-_COUNTED = 4 << 20
+_COUNTED = 1 << 20
 _HELD = 1_000_000
 _UNIT = re.compile(r"[ \n]+[^ \n]*")
 # Other white space (Unicode's White_Space), after which a unit does not end.
@@ -172,8 +175,29 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 Aligned = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]
 
 
+class _Rows:
+    """An array that rows are added to, with room for more so that few adds copy it."""
+
+    def __init__(self, *shape: int, dtype: type = np.int64):
+        self.room, self.size = np.empty((0, *shape), dtype), 0
+
+    def add(self, rows: np.ndarray) -> None:
+        end = self.size + len(rows)
+        if end > len(self.room):
+            room = np.empty((end + end // 4, *self.room.shape[1:]), self.room.dtype)
+            room[: self.size] = self.room[: self.size]
+            self.room = room
+        self.room[self.size : end] = rows
+        self.size = end
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
 class Units:
-    """What is known of units: counts, linked pairs and written groups of each."""
+    """What is known of units: counts, linked pairs and written groups of each. With a
+    table, of the pairs only those that it lacks."""
 
     def __init__(self, tokenizers: Tokenizers, table: Table | None = None, written: bool = True):
         self.tokenizers, self.table, self.written = tokenizers, table, written
@@ -187,19 +211,40 @@ class Units:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        # Per unit: tokens of A, of B, groups, links; -1 if it is not given back.
-        self.counts = np.zeros((0, 4), np.int64)
         self.groups: list[bytes] = []
-        self.pairs = np.zeros(0, np.int64)  # of one unit after the other
-        self.times = np.zeros(0, np.int64)  # how often each is linked in it
-        self.starts = np.zeros(1, np.int64)
-        # Per unit, of pairs in the table: links with the best count, sum of counts.
-        self.scores = np.zeros((0, 2), np.int64)
-        self.missed = np.zeros(0, bool)  # pairs that are not in the table
+        self.held = 0  # bytes, about
+        self._counts = _Rows(4)
+        self._pairs, self._times, self._starts = _Rows(), _Rows(), _Rows()
+        self._starts.add(np.zeros(1, np.int64))
+        self._scores = _Rows(2)
+
+    @property
+    def counts(self) -> np.ndarray:
+        """Per unit: tokens of A, of B, groups, links; -1 if it is not given back."""
+        return self._counts.rows
+
+    @property
+    def pairs(self) -> np.ndarray:
+        """Of one unit after the other."""
+        return self._pairs.rows
+
+    @property
+    def times(self) -> np.ndarray:
+        """How often each pair is linked in its unit; kept with a table only."""
+        return self._times.rows
+
+    @property
+    def starts(self) -> np.ndarray:
+        return self._starts.rows
+
+    @property
+    def scores(self) -> np.ndarray:
+        """Per unit, of pairs in the table: links with the best count, sum of counts."""
+        return self._scores.rows
 
     def of(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Per text the numbers of its units, in order."""
-        if len(self.number) > _MOST_UNITS:
+        if len(self.number) > _MOST_UNITS or self.held > _MOST_BYTES:
             self.clear()
         cut = [_units(t) for t in texts]
         get = self.number.get
@@ -213,19 +258,17 @@ class Units:
         return [np.array(known, np.int64) for known in found]
 
     def _learn(self, new: list[str]) -> None:
-        found = [part for units in _together(new) for part in self._parts(units)]
-        for u in (u for units, _ in found for u in units):
-            self.number[u] = len(self.number)
-        counts, pairs, times, sizes, groups = zip(*(part for _, part in found))
-        pairs, times, sizes = map(np.concatenate, (pairs, times, sizes))
-        self.counts = np.concatenate([self.counts, *counts])
-        self.pairs = np.concatenate([self.pairs, pairs])
-        self.times = np.concatenate([self.times, times])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        for g in groups:
-            self.groups += g
-        if self.table is not None:
-            self._look_up(pairs, times, sizes)
+        for units, (counts, pairs, times, sizes, groups) in (x for some in _together(new) for x in self._parts(some)):
+            for u in units:
+                self.number[u] = len(self.number)
+            self._counts.add(counts)
+            self.groups += groups if self.written else []
+            if self.table is not None:
+                pairs, times, sizes = self._look_up(pairs, times, sizes)
+                self._times.add(times)
+            self._pairs.add(pairs)
+            self._starts.add(self.starts[-1] + np.cumsum(sizes))
+            self.held += _UNIT_BYTES * len(units) + sum(map(len, units)) + sum(map(len, groups)) + 16 * len(pairs)
 
     def _parts(self, units: list[str]) -> Iterator[tuple[list[str], Aligned]]:
         """The units aligned together or, if one of them hinders that, in halves."""
@@ -239,15 +282,17 @@ class Units:
             for half in (units[: len(units) // 2], units[len(units) // 2 :]):
                 yield from self._parts(half)
 
-    def _look_up(self, pairs: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> None:
+    def _look_up(self, pairs: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores the units; gives back the pairs that the table lacks."""
         at = self.table.places(pairs)
         docs, best = (v[at] if len(v) else np.zeros(len(at), np.int64) for v in self.table.values)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         known = np.where(at >= 0, times, 0)
         new = np.zeros((len(sizes), 2), np.int64)
         np.add.at(new, owner, np.column_stack([known * best, known * docs]))
-        self.scores = np.concatenate([self.scores, new])
-        self.missed = np.concatenate([self.missed, at < 0])
+        self._scores.add(new)
+        missed = at < 0
+        return pairs[missed], times[missed], np.bincount(owner[missed], minlength=len(sizes))
 
     def _aligned(self, units: list[str]) -> Aligned | None:
         """Of units, encoded as one text; None if a tokenizer does not give it back or
@@ -372,14 +417,18 @@ class _Counted:
 
     def add(self, keys: np.ndarray, docs: np.ndarray) -> None:
         self.parts.append((keys, docs))
-        if sum(len(k) for k, _ in self.parts) > 2 * _HELD:
+        # What is new is merged when it is half of what was merged before, so that few
+        # pairs take little memory and many are not merged often.
+        if sum(len(k) for k, _ in self.parts[1:]) > max(_HELD // 4, len(self.parts[0][0]) // 2):
             self.merge()
 
     def merge(self) -> None:
-        keys = np.concatenate([k for k, _ in self.parts])
-        docs = np.concatenate([d for _, d in self.parts])
-        found, where = np.unique(keys, return_inverse=True)
-        self.parts = [(found, np.bincount(where, docs, len(found)).astype(np.int64))]
+        keys, docs = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts.clear()
+        order = np.argsort(keys)
+        keys, docs = keys[order], docs[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        self.parts.append((keys[first], np.add.reduceat(docs, first) if len(first) else docs))
 
 
 def _pairs_of_docs(units: Units, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -392,7 +441,8 @@ def _pairs_of_docs(units: Units, texts: list[bytes]) -> tuple[np.ndarray, np.nda
     doc, unit = np.divmod(seen, max(span, 1))
     sizes = np.diff(units.starts)[unit]
     held = units.pairs[_ranges(units.starts[unit], sizes)]
-    once = _distinct((np.repeat(doc, sizes) << 32) | held)
+    held |= np.repeat(doc << 32, sizes)
+    once = _distinct(held)
     return np.unique(once & 0xFFFFFFFF, return_counts=True)
 
 
@@ -412,8 +462,8 @@ def pair_rows(docs: DataFrame, tokenizers: Tokenizers, text_col: str = "text") -
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(docs), pa.array(np.full(len(keys), part, np.int64))], names)
 
         for batch in batches:
-            texts = (t for t in batch.column(0).to_pylist() if t)
-            for chunk in in_chunks(texts, _COUNTED):
+            texts = (t.as_py() for t in batch.column(0))
+            for chunk in in_chunks((t for t in texts if t), _COUNTED):
                 counted.add(*_pairs_of_docs(units, chunk))
                 if len(counted.parts) == 1 and len(counted.parts[0][0]) > _HELD:
                     yield from rows()
@@ -471,7 +521,8 @@ def _summed(rows: pa.Table) -> pa.Table:
 def pair_counts(docs: DataFrame, tokenizers: Tokenizers, text_col: str = "text") -> DataFrame:
     """A stored row per linked pair: pair, a, b, docs, and best: whether no other pair
     of its A id is in more documents."""
-    rows = stored(pair_rows(docs, tokenizers, text_col), "pair-rows")
+    with settings(docs.sparkSession, SMALL_BATCHES):
+        rows = stored(pair_rows(docs, tokenizers, text_col), "pair-rows")
     bucket = F.pmod(F.xxhash64("pair"), F.lit(BUCKETS)).cast("int").alias("bucket")
     spark = docs.sparkSession
     slices = -(-rows.count() // (BUCKETS * ROWS_PER_VECTOR)) or 1
@@ -549,7 +600,7 @@ def aligned(
         units = Units(*held.value)
         for batch in batches:
             start = 0
-            for chunk in in_chunks((t or b"" for t in batch.column(1).to_pylist()), _COUNTED):
+            for chunk in in_chunks((t.as_py() or b"" for t in batch.column(1)), _COUNTED):
                 found = [_row(units, u, digest) for u in units.of([t.decode() for t in chunk])]
                 values, groups, pairs, times = zip(*found)
                 columns = [batch.column(0).slice(start, len(chunk)), *map(pa.array, np.array(values, np.int64).T)]
@@ -561,7 +612,9 @@ def aligned(
     rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = ", ".join([f"id {kind}", *[f"{c} long" for c in numbers], "groups string, pairs array<long>, times array<long>"])
-    found = rows.mapInArrow(run, schema)
+    found = rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    with settings(spark, SMALL_BATCHES):
+        found = stored(found, "aligned")
     if n > FREQUENT:
         found = _with_rest(found, counts)
     return found.select("id", *numbers, "groups")
@@ -574,19 +627,17 @@ def _row(units: Units, cut: np.ndarray, digest: bool) -> tuple:
     values = [*units.counts[cut].sum(axis=0).tolist(), *units.scores[cut].sum(axis=0).tolist()]
     groups = b";".join([units.groups[u] for u in cut.tolist()])
     text = hashlib.sha256(groups).hexdigest() if digest else groups.decode()
-    if not units.missed.any():
+    if not len(units.pairs):
         return values, text, [], []
     each, often = np.unique(cut, return_counts=True)
     sizes = np.diff(units.starts)[each]
     at = _ranges(units.starts[each], sizes)
     times = units.times[at] * np.repeat(often, sizes)
-    missed = units.missed[at]
-    return values, text, units.pairs[at][missed].tolist(), times[missed].tolist()
+    return values, text, units.pairs[at].tolist(), times.tolist()
 
 
 def _with_rest(found: DataFrame, counts: DataFrame) -> DataFrame:
     """Adds what the pairs that were not in the table count. They are the rarer ones."""
-    found = stored(found.withColumn("row", F.monotonically_increasing_id()), "aligned")
     missed = found.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("m"))
     links = missed.select("row", F.col("m.pairs").alias("pair"), F.col("m.times").alias("times"))
     more = (

@@ -4,7 +4,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from featloom.llm import jaccard_join
+from featloom.llm import alignment, jaccard_join
+from featloom.llm import queries as llm
 
 LEAST = 1 << 18
 
@@ -76,3 +77,59 @@ def test_lists_are_counted_in_parts(monkeypatch):
     sorted_at_once.clear()
     assert found(1_000) == whole and len(whole) > 200
     assert max(sorted_at_once) < 1_200
+
+
+def test_the_alignment_gets_few_bytes_at_a_time(spark, long_rows, watched, monkeypatch):
+    monkeypatch.setattr(alignment, "SMALL_BATCHES", watched, raising=False)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    rows = alignment.aligned(long_rows, llm.tokenizers(), digest=True).collect()
+    assert sorted(r.id for r in rows) == list(range(120)) and all(r.n_a and r.n_links <= r.count_sum for r in rows)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_remembered_units_are_bounded_in_bytes(monkeypatch, written):
+    """Few long units take as much as many short ones."""
+    monkeypatch.setattr(alignment, "_MOST_BYTES", 100_000, raising=False)
+    tokenizers = llm.tokenizers()
+    units = alignment.Units(tokenizers, written=written)
+    alone = alignment.Units(tokenizers, written=written)
+    for i in range(60):
+        text = f"{i}" + "abcdefghij"[i % 10] * 3 * 1_500 + " the same"
+        (cut,) = units.of([text])
+        alone.clear()
+        (want,) = alone.of([text])
+        assert (units.counts[cut] == alone.counts[want]).all()
+        sizes, known = np.diff(units.starts), np.diff(alone.starts)
+        assert (sizes[cut] == known[want]).all()
+        for u, w in zip(cut, want):
+            mine = units.pairs[units.starts[u] : units.starts[u + 1]]
+            assert (mine == alone.pairs[alone.starts[w] : alone.starts[w + 1]]).all()
+        assert sum(map(len, units.number)) < 120_000
+
+
+def test_a_table_leaves_only_the_pairs_it_lacks():
+    tokenizers = llm.tokenizers()
+    plain = alignment.Units(tokenizers)
+    plain.of(["some words of a text"])
+    pairs = np.unique(plain.pairs)
+    ones = np.ones(len(pairs), np.int64)
+    full = alignment.Units(tokenizers, alignment.Table.build(pairs, ones, ones))
+    full.of(["some words of a text"])
+    assert len(full.pairs) == 0 and (full.scores == plain.counts[:, 3:]).all()
+    half = alignment.Units(tokenizers, alignment.Table.build(pairs[1:], ones[1:], ones[1:]))
+    half.of(["some words of a text"])
+    assert set(half.pairs.tolist()) == {int(pairs[0])}
+
+
+def test_counted_pairs_are_added_up():
+    draw = np.random.default_rng(3)
+    counted, want = alignment._Counted(), np.zeros(1_000, np.int64)
+    for _ in range(400):
+        keys = np.unique(draw.integers(0, 1_000, 900))
+        counted.add(keys, keys % 7 + 1)
+        want[keys] += keys % 7 + 1
+        assert sum(len(k) for k, _ in counted.parts) <= 300_000
+    counted.merge()
+    ((keys, docs),) = counted.parts
+    assert (keys == np.flatnonzero(want)).all() and (docs == want[keys]).all()
