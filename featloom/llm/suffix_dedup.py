@@ -16,7 +16,8 @@ the suffixes concerned, to the depth of ``length`` bytes.
    the byte before gives the order of the suffixes that begin one byte earlier, and
    their common prefixes are one more than the least between them before. A suffix
    that shares ``length`` bytes with a neighbour starts a repeated string.
-4. Intervals go back to their documents, are united and cut out.
+4. Intervals go back to their documents, are united and cut out, by Spark's own
+   expressions: whole texts do not pass through Python again.
 
 An anchor that more than ``class_rows`` suffixes share is settled window by window
 by counting hashes of 128 bits instead, as a group in one task must be bounded.
@@ -35,13 +36,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from featloom.llm.common import located, place, stored
+from featloom.llm.common import SMALL_BATCHES, located, place, settings, stored
 from featloom.llm.words import _powers, in_chunks, mix
 
-CHUNK = 1 << 20
+# Bytes hashed together, each of which takes some 100 bytes meanwhile.
+CHUNK = 1 << 18
 GROUP = 4 << 20
+# Rows sent on together.
+SENT = 20_000
+# Tuples compared with the one before together.
+COMPARED = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -169,7 +175,7 @@ def _tuples(spec: PassageSpec, large: bool):
                     rows.append((k1, None, None, None, k1, k2, p - before, p - nearest + length))
             sure = int.from_bytes(hashlib.blake2b(context[before : before + half], digest_size=7).digest())
             rows.append((name, sure, context[before + half :], context[:before][::-1], *places[0], None))
-            if len(rows) >= 20_000:
+            if len(rows) >= SENT:
                 yield _batch(rows, _TUPLES)
                 rows = []
         if rows:
@@ -198,24 +204,25 @@ def _range_minima(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def induce(
-    classes: np.ndarray, right: list[bytes], left: list[bytes], spec: PassageSpec
+    classes: np.ndarray, right: list[pa.Array], left: list[pa.Array], spec: PassageSpec
 ) -> tuple[np.ndarray, np.ndarray]:
     """For tuples in order of (class, right): the nearest and farthest begin, in bytes
     before the anchor, of a repeated string; (1, 0) if there is none."""
     n, depth = len(classes), spec.length - spec.half
-    after = _matrix(right, depth)
-    before = _matrix(left, spec.half)
-    n_right, n_left = (np.fromiter(map(len, x), np.int64, n) for x in (right, left))
-    nearest, farthest = np.full(n, spec.length), np.full(n, -1)
+    after, n_right = _matrix(right, depth)
+    before, n_left = _matrix(left, spec.half)
+    nearest, farthest = np.full(n, spec.length, np.int32), np.full(n, -1, np.int32)
     order = np.arange(n)
     # Bytes in common after the anchor with the tuple before; -1: another class.
-    common = np.full(n, -1, np.int64)
-    if n > 1:
+    common = np.full(n, -1, np.int32)
+    for i in range(1, n, COMPARED):
+        j = min(i + COMPARED, n)
         equal = np.minimum(
-            np.argmin(np.pad(after[1:] == after[:-1], ((0, 0), (0, 1))), axis=1),
-            np.minimum(n_right[1:], n_right[:-1]),
+            np.argmin(np.pad(after[i:j] == after[i - 1 : j - 1], ((0, 0), (0, 1))), axis=1),
+            np.minimum(n_right[i:j], n_right[i - 1 : j - 1]),
         )
-        common[1:] = np.where(classes[1:] == classes[:-1], equal, -1)
+        common[i:j] = np.where(classes[i:j] == classes[i - 1 : j - 1], equal, -1)
+    del after
     offset = 0
     while len(order):
         best = common.copy()
@@ -231,7 +238,7 @@ def induce(
         byte = classes[order[kept]] * 256 + before[order[kept], offset]
         turned = np.argsort(byte, kind="stable")
         old, byte = kept[turned], byte[turned]
-        new = np.full(len(old), -1, np.int64)
+        new = np.full(len(old), -1, np.int32)
         same = np.flatnonzero(byte[1:] == byte[:-1]) + 1
         if len(same):
             new[same] = _range_minima(common, old[same - 1] + 1, old[same])
@@ -244,37 +251,52 @@ def induce(
     return nearest, farthest
 
 
-def _matrix(rows: list[bytes], width: int) -> np.ndarray:
-    data = b"".join(r.ljust(width, b"\0") for r in rows)
-    return np.frombuffer(data, np.uint8).reshape(len(rows), width)
+def _matrix(columns: list[pa.Array], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of at most ``width`` bytes, padded with zeros, and their lengths."""
+    out = np.zeros((sum(map(len, columns)), width), np.uint8)
+    lengths, at = np.zeros(len(out), np.int32), 0
+    for column in columns:
+        _, offsets, data = column.cast(pa.binary()).buffers()
+        if not len(column) or data is None:
+            at += len(column)
+            continue
+        offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+        sizes = lengths[at : at + len(column)] = np.diff(offsets)
+        out[at : at + len(column)][np.arange(width) < sizes[:, None]] = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+        at += len(column)
+    return out, lengths
 
 
 def _induce_shard(spec: PassageSpec):
-    def settle(rows: list[tuple]) -> pa.RecordBatch:
-        names = np.array([r[0] for r in rows])
-        sure = np.array([r[1] for r in rows])
-        change = np.ones(len(rows), np.int64)
+    def settle(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        names, sure, k1, k2, at = (
+            np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("name", "sure", "k1", "k2", "at")
+        )
+        change = np.ones(len(names), np.int64)
         change[1:] = (names[1:] != names[:-1]) | (sure[1:] != sure[:-1])
-        nearest, farthest = induce(np.cumsum(change), [r[2] for r in rows], [r[3] for r in rows], spec)
-        hit = np.flatnonzero(farthest >= nearest)
-        found = [(rows[i][4], rows[i][5], rows[i][6] - int(farthest[i]), rows[i][6] - int(nearest[i]) + spec.length)
-                 for i in hit]
-        return _batch(found, _SPANS) if found else pa.RecordBatch.from_pylist([], _SPANS)
+        sides = ([b.column(c) for b in held] for c in ("right", "left"))
+        nearest, farthest = induce(np.cumsum(change), *sides, spec)
+        hit = farthest >= nearest
+        found = [k1[hit], k2[hit], at[hit] - farthest[hit], at[hit] - nearest[hit] + spec.length]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], schema=_SPANS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[pa.RecordBatch] = []
+        n, last = 0, None
         for batch in batches:
-            settled = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[7] is not None:
-                    settled.append((row[4], row[5], row[6], row[7]))
-                    continue
-                if len(held) >= spec.task_rows and row[0] != held[-1][0]:
-                    yield settle(held)
-                    held = []
-                held.append(row)
-            if settled:
-                yield _batch(settled, _SPANS)
+            settled = batch.filter(batch.column("upto").is_valid())
+            if settled.num_rows:
+                yield pa.RecordBatch.from_arrays([settled.column(c) for c in ("k1", "k2", "at", "upto")], schema=_SPANS)
+            batch = batch.filter(batch.column("upto").is_null())
+            if not batch.num_rows:
+                continue
+            names, start = batch.column("name").to_numpy(), 0
+            for cut in np.flatnonzero(np.concatenate([[names[0] != last], names[1:] != names[:-1]])).tolist():
+                if n + cut - start >= spec.task_rows:
+                    yield settle([*held, batch.slice(start, cut - start)])
+                    held, n, start = [], 0, cut
+            held.append(batch.slice(start))
+            n, last = n + batch.num_rows - start, names[-1]
         if held:
             yield settle(held)
 
@@ -282,13 +304,15 @@ def _induce_shard(spec: PassageSpec):
 
 
 def _window_keys(spec: PassageSpec):
-    """For large classes: a key per window, from all its bytes."""
+    """For large classes: a key per window, from all its bytes. Made by the task that
+    makes the tuples, in the same Python worker."""
+    tuples = _tuples(spec, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        rows: list[tuple] = []
+        for batch in tuples(batches):
             columns = [c.to_pylist() for c in batch.columns]
             for name, sure, right, left, k1, k2, at, upto in zip(*columns):
-                rows = []
                 if upto is not None:
                     rows.append((None, k1, k2, at, upto))
                 else:
@@ -297,7 +321,11 @@ def _window_keys(spec: PassageSpec):
                         anchored = f"{name}/{sure}/{o:06d}/".encode()
                         data = anchored + left[:o][::-1] + right[: spec.length - spec.half - o]
                         rows.append((hashlib.blake2b(data, digest_size=16).digest(), k1, k2, at - o, at - o + spec.length))
-                yield _batch(rows, _WINDOWS)
+                if len(rows) >= SENT:
+                    yield _batch(rows, _WINDOWS)
+                    rows = []
+        if rows:
+            yield _batch(rows, _WINDOWS)
 
     return run
 
@@ -329,8 +357,7 @@ def repeated_spans(docs: DataFrame, spec: PassageSpec, base: DataFrame) -> DataF
     if marks.where(F.size("large") > 0).isEmpty():
         return spans
     windows = stored(
-        marked.where(F.size("large") > 0).mapInArrow(_tuples(spec, True), TUPLES)
-        .mapInArrow(_window_keys(spec), "window binary, " + SPANS),
+        marked.where(F.size("large") > 0).mapInArrow(_window_keys(spec), "window binary, " + SPANS),
         "passage-windows",
     )
     twice = windows.where("window IS NOT NULL").groupBy(F.col("window").alias("of")).agg(F.count("*").alias("n")).where("n > 1")
@@ -338,20 +365,38 @@ def repeated_spans(docs: DataFrame, spec: PassageSpec, base: DataFrame) -> DataF
     return spans.unionByName(again).unionByName(windows.where("window IS NULL").drop("window"))
 
 
-def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """What is left of a text, how many bytes went, and in how many runs."""
-    kept, removed, runs, at, until = [], 0, 0, 0, -1
-    for start, stop in sorted(spans):
-        if start > until:
-            runs += 1
-            kept.append(text[at:start])
-            removed += stop - start
-        elif stop > until:
-            removed += stop - until
-        until = max(until, stop)
-        at = until
-    kept.append(text[at:])
-    return b"".join(kept), removed, runs
+def united(spans: DataFrame) -> DataFrame:
+    """A row per document: its intervals as an array of those that neither overlap nor
+    touch, by where they start."""
+    ordered = Window.partitionBy("k1", "k2").orderBy("start", "stop")
+    before = F.max("stop").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    begins = (before.isNull() | (F.col("start") > before)).cast("int")
+    return (
+        spans.withColumn("begins", begins)
+        .withColumn("run", F.sum("begins").over(ordered))
+        .groupBy("k1", "k2", "run")
+        .agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+        .groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    )
+
+
+def cut(text: Column, spans: Column) -> Column:
+    """A struct of what is left of a text (bytes) without ``spans`` that are united,
+    n_bytes, n_removed and n_spans."""
+    data, edge = text.cast("binary"), F.array(F.lit(0).cast("bigint"))
+    spans = F.coalesce(spans, F.array().cast("array<struct<start: bigint, stop: bigint>>"))
+    size = F.octet_length(text).cast("bigint")
+    starts = F.concat(spans["start"], F.array(size))
+    between = F.arrays_zip(F.concat(edge, spans["stop"]).alias("a"), starts.alias("b"))
+    # Spark joins strings only, and the bytes need not be one.
+    kept = F.transform(between, lambda x: F.hex(F.substring(data, (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int"))))
+    return F.struct(
+        F.when(F.size(spans) == 0, data).otherwise(F.unhex(F.array_join(kept, ""))).alias("kept"),
+        size.alias("n_bytes"),
+        F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, x: n + x["stop"] - x["start"]).alias("n_removed"),
+        F.size(spans).cast("bigint").alias("n_spans"),
+    )
 
 
 def without_repeats(
@@ -365,25 +410,10 @@ def without_repeats(
         F.xxhash64(F.lit(1), where).alias("k1"), F.xxhash64(F.lit(2), where).alias("k2"),
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    spans = (
-        repeated_spans(docs, spec, base)
-        .groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2"))
-        .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    )
-
-    @F.arrow_udf("kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
-    def remove(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        rows = []
-        for text, found in zip(texts, spans):
-            data = text.as_py().encode()
-            pairs = [(s["start"], s["stop"]) for s in found.as_py() or []]
-            kept, removed, runs = cut(data, pairs)
-            rows.append({"kept": kept, "n_bytes": len(data), "n_removed": removed, "n_spans": runs})
-        return pa.array(rows, _FOUND)
-
+    # For the steps that are stored; the rest runs as the caller's session is set, so that
+    # both joins share one shuffle of the texts.
+    with settings(docs.sparkSession, SMALL_BATCHES):
+        spans = united(repeated_spans(docs, spec, base))
     return base.join(spans, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left").select(
-        F.col("id").alias(id_col), remove("text", "spans").alias(into)
+        F.col("id").alias(id_col), cut(F.col("text"), F.col("spans")).alias(into)
     )
-
-
-_FOUND = pa.struct([("kept", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])

@@ -1,10 +1,14 @@
 """What a task holds is bounded, however long the rows and lists are."""
 
+import os
+import random
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from featloom.llm import alignment, jaccard_join
+from featloom.llm import alignment, common, jaccard_join, suffix_dedup
 from featloom.llm import queries as llm
 
 LEAST = 1 << 18
@@ -87,6 +91,79 @@ def test_the_alignment_gets_few_bytes_at_a_time(spark, long_rows, watched, monke
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
 
 
+def peak_mb(run) -> float:
+    """Of what numpy and Python take meanwhile."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("class_rows", [200_000, 1])
+def test_passages_get_few_bytes_at_a_time(spark, long_rows, watched, monkeypatch, class_rows):
+    monkeypatch.setattr(suffix_dedup, "SMALL_BATCHES", watched, raising=False)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    texts = {r.doc_id: r.text for r in long_rows.collect()}
+    found = suffix_dedup.without_repeats(long_rows, suffix_dedup.PassageSpec(class_rows=class_rows))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+    # What is not stored runs under the caller's settings.
+    with common.settings(spark, watched):
+        rows = found.collect()
+    for r in rows:
+        text = texts[r.doc_id]
+        same = len(os.path.commonprefix([text, texts[r.doc_id ^ 1]]))
+        assert (r.found.n_bytes, r.found.n_removed, r.found.n_spans) == (len(text), same, 1)
+        assert r.found.kept.decode() == text[same:]
+    assert len(rows) == len(texts)
+
+
+def test_texts_pass_python_once_each_task(spark, long_rows, monkeypatch):
+    """No task has a second Python worker behind the first, and none cuts the texts."""
+    plans, plain = [], suffix_dedup.stored
+
+    def stored(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df, label)
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    out = suffix_dedup.without_repeats(long_rows, suffix_dedup.PassageSpec(class_rows=1))
+    windows = next(plan for label, plan in plans if label == "passage-windows")
+    assert windows.count("MapInArrow") == 1
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hashing_texts_takes_bounded_memory():
+    r = random.Random(4)
+    texts = ["".join(r.choices("abcdefgh ", k=3_000)).encode() for _ in range(700)]
+    spec = suffix_dedup.PassageSpec()
+    suffix_dedup.anchors(texts[:1], spec)
+    assert peak_mb(lambda: suffix_dedup.anchors(texts, spec)) < 50
+    whole = b"".join(texts)
+    assert peak_mb(lambda: suffix_dedup.anchors([whole], spec)) < 50
+
+
+def test_a_large_class_is_held_as_it_came():
+    """One anchor in 40,000 places, before which the texts agree in some bytes."""
+    n, spec = 40_000, suffix_dedup.PassageSpec()
+    draw = np.random.default_rng(7)
+    right = sorted(bytes(x) for x in draw.integers(97, 105, (n, 100), dtype=np.uint8))
+    left = [bytes(x) for x in draw.integers(97, 99, (n, 100), dtype=np.uint8)]
+    # Two tuples agree in all bytes, two in 90 after and 20 before the anchor.
+    right[11], left[11] = right[10], left[10]
+    right[21], left[21] = right[20][:90] + b"z" * 10, left[20][:20] + b"z" * 80
+    columns = [[5] * n, [6] * n, right, left, list(range(n)), [0] * n, [1_000] * n, [None] * n]
+    table = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, suffix_dedup._TUPLES.types)], schema=suffix_dedup._TUPLES)
+    settled = {"name": 9, "sure": None, "right": None, "left": None, "k1": 9, "k2": 8, "at": 7, "upto": 300}
+    batches = [*table.to_batches(10_000), pa.RecordBatch.from_pylist([settled], suffix_dedup._TUPLES)]
+    found = []
+    taken = peak_mb(lambda: found.extend(suffix_dedup._induce_shard(spec)(iter(batches))))
+    rows = sorted(tuple(r.values()) for b in found for r in b.to_pylist())
+    assert rows == sorted([(9, 8, 7, 300), *((i, 0, 900, 1_200) for i in (10, 11)), *((i, 0, 980, 1_190) for i in (20, 21))])
+    assert taken < 25
+
+
 @pytest.mark.parametrize("written", [True, False])
 def test_remembered_units_are_bounded_in_bytes(monkeypatch, written):
     """Few long units take as much as many short ones."""
