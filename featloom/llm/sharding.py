@@ -166,7 +166,9 @@ def plan(
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
 
     # By the middle of the record: floor(shards * (before + size / 2) / total).
-    own = F.expr(f"int(least({shards - 1}, {shards} * (2 * decimal(before) + size) div {2 * max(total, 1)}))")
+    # 20 digits hold any long; ``decimal`` by itself has 10 only.
+    before = "cast(before AS decimal(20))"
+    own = F.expr(f"int(least({shards - 1}, {shards} * (2 * {before} + size) div {2 * max(total, 1)}))")
     rows = rows.withColumn("own", own)
     ends = rows.groupBy("own").agg(
         F.min("number").alias("first"), F.min("hash").alias("low"), F.max("hash").alias("high")

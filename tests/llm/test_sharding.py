@@ -134,3 +134,14 @@ def test_written_shards_are_in_order(spark, tmp_path):
         assert slots == sorted(slots)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 500 and back.select("shard", "slot").distinct().count() == 500
+
+
+def test_more_bytes_than_ten_digits_count(spark, monkeypatch):
+    each = 2_000_000_000
+    monkeypatch.setattr(sharding, "text_size", lambda text: F.lit(each).cast("long"))
+    texts = {i: f"text {i}" for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), SCHEMA)
+    rows = sharding.plan(docs, 16).collect()
+    order = sorted(texts, key=lambda i: (h := xxhash.xxh64(data(texts[i]), seed=42).intdigest()) - (1 << 64) * (h >> 63))
+    assert {r.id: r.shard for r in rows} == {i: 16 * (2 * n + 1) // 80 for n, i in enumerate(order)}
+    assert {r.size for r in rows} == {each}
