@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,6 +20,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 # however long, in the task's JVM and in its worker.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
+# Shuffle files go when the step that wrote them is over. Without it they stay until the
+# driver happens to collect its garbage, those of many steps at once.
+SHORT_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: cuts lineage,
@@ -29,6 +34,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(table: DataFrame) -> None:
+    """Removes a table that ``stored`` wrote, or the ones that ``table`` reads directly.
+    Nothing that is still to be computed may read them."""
+    jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        if re.search(r"/[^/]+-[0-9a-f]{32}$", folder):
+            place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            place.getFileSystem(conf).delete(place, True)
+
+
 def quoted(name: str) -> str:
     """A column name as an expression, whatever characters it has."""
     return "`" + name.replace("`", "``") + "`"

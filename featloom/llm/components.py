@@ -2,14 +2,15 @@
 
 Each round hangs every vertex on the smallest neighbour, first the larger
 neighbours, then the smaller; the number of rounds grows with the logarithm of the
-longest chain. A round is stored in the shared folder before the next reads it.
+longest chain. A round is stored in the shared folder before the next reads it, and
+removed when that one is stored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from featloom.llm.common import stored
+from featloom.llm.common import let_go, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -44,6 +45,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         hanging = new.select(F.col("a").alias("of")).distinct()
         more = new.join(hanging, F.col("b") == F.col("of"), "left_semi")
         several = new.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+        let_go(now)
         now = new
         if more.isEmpty() and several.isEmpty():
             return now.select(F.col("a").alias("vertex"), F.col("b").alias("label"))

@@ -6,14 +6,16 @@ is at least ``share`` of their union; a set of n then shares at least
 t(n) = ceil(share * n) of its members with any partner.
 
 1. Equal sets are one: documents are grouped by a 128-bit digest of their set.
-2. Which sets can have a partner at all. Of each set the n - t(n) + l(n) members
-   least in hash order, l(n) about 0.15 n, go into inverted lists. By the prefix
-   argument linked sets share at least the smaller of their l among these; so a
-   set stays only if so many of its listed members occur in another set as well.
+2. Which sets can have a partner at all: a set stays only if t(n) of its members
+   occur in another set as well, counted by inverted lists of all members, of a
+   quarter of the hashes at a time in a large corpus. (Lists of a part of the members
+   took less room but let most sets stay once the corpus was of some GB.)
    Members that several sets of a batch share are counted there and sent on twice
    only, so a frequent shingle makes no long list. Most documents end here.
 3. The sets that stay are put together if they share a member of their prefixes
-   (the n - t(n) + 1 rarest members by exact counts), by stars and components.
+   (the n - t(n) + 1 rarest members by exact counts), by stars and components. Members
+   that no other set has come first and join nothing, so a set with over n - t(n) of
+   them is out, and passages that unrelated sets share rarely reach a prefix.
 4. Together in a task, they are searched: for each set as a query the lists of
    its members in the task are split in short and L long ones (DivideSkip); the
    short ones are merged, those that occur at least T - L times are looked up in
@@ -24,7 +26,8 @@ t(n) = ceil(share * n) of its members with any partner.
 5. Forests of blocks are joined by components again.
 
 Steps 2 to 4 lose no link, whatever the frequencies; frequency only changes the
-order in which members are looked at. Work grows with the square of the number of
+order in which members are looked at. What a step stored is removed when no later one
+reads it, and shuffle files with the step that wrote them. Work grows with the square of the number of
 different, mutually similar texts of one component (blocks of them), not of copies.
 
 Defined results: a null, empty or all-blank text has the empty set and no link;
@@ -39,13 +42,14 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from featloom.llm.common import SMALL_BATCHES, located, named_back, place, quoted, settings, stored
+from featloom.llm.common import SHORT_SHUFFLES, SMALL_BATCHES, let_go, located, named_back, place, quoted, settings, stored
 from featloom.llm.components import components
 from featloom.llm.words import in_chunks, mix, words_of
 
@@ -57,18 +61,17 @@ _FACTORS = [np.uint64(x) for x in (
 @dataclass(frozen=True)
 class JoinSpec:
     percent: int = 80
-    extra: float = 0.15
     block: int = 500_000
     list_entries: int = 2_000_000
-    frequent: int = 8
+    # Entries up to which the lists are made in one pass instead of ``_PASSES``.
+    pass_entries: int = 20_000_000
+    # From so many sets on a member's rank follows their number, below that its hash only.
+    frequent: int = 2
 
     def least(self, n):
         """Fewest members that a set of n shares with a partner."""
         return -(-n * self.percent // 100)
 
-    def level(self, n):
-        return np.floor(self.extra * n).astype(np.int64) + 1
-
     def links(self, overlap, a, b):
         return 100 * overlap >= self.percent * (a + b - overlap)
 
@@ -123,24 +126,27 @@ _SORTED = 1 << 18
 _LOW = np.uint64((1 << 48) - 1)
 
 
-def _describe(spec: JoinSpec):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, names, listed = [], [], []
-            for s in _sets_of(batch.column("text")):
-                n = len(s)
-                upto = min(n, n - spec.least(n) + int(spec.level(n))) if n else 0
-                sizes.append(n)
-                names.append(digest(s) if n else None)
-                # Order and identity in lists are those of the high bits.
-                listed.append(_six(s[:upto] >> np.uint64(16)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("place"), pa.array(sizes, pa.int64()),
-                 pa.array(names, pa.binary()), pa.array(listed, pa.binary())],
-                ["id", "place", "n", "name", "listed"],
-            )
+# Equal ranges of hashes whose lists are made one after the other.
+_PASSES = 4
+_LISTED = [f"listed{k}" for k in range(_PASSES)]
 
-    return run
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ranges = np.arange(1, _PASSES, dtype=np.uint64) * np.uint64((1 << 48) // _PASSES)
+    for batch in batches:
+        sizes, names, listed = [], [], [[] for _ in _LISTED]
+        for s in _sets_of(batch.column("text")):
+            sizes.append(len(s))
+            names.append(digest(s) if len(s) else None)
+            # Order and identity in lists are those of the high bits.
+            tokens = s >> np.uint64(16)
+            for column, some in zip(listed, np.split(tokens, np.searchsorted(tokens, ranges))):
+                column.append(_six(some))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("place"), pa.array(sizes, pa.int64()),
+             pa.array(names, pa.binary()), *(pa.array(x, pa.binary()) for x in listed)],
+            ["id", "place", "n", "name", *_LISTED],
+        )
 
 
 def _binary(data: bytes, bounds: np.ndarray) -> pa.Array:
@@ -363,26 +369,27 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
 
 
-def _prefixes(spec: JoinSpec):
-    """The members by which sets meet: the rarest, as many as a partner must share
-    one of. Members that are not listed as frequent come first, in hash order."""
+def _prefixes(found: DataFrame, spec: JoinSpec) -> DataFrame:
+    """name and prefix: the members by which a set meets others, the rarest, as many as
+    a partner must share one of. A member stands as a number that orders like how many
+    sets have it, then its hash; those that one set has are counted, not listed."""
+    each = found.select(F.xxhash64("name").alias("set"), F.explode("members").alias("member"))
+    many = each.withColumn("sets", F.count("*").over(Window.partitionBy("member"))).where("sets > 1")
+    often = F.when(F.col("sets") >= spec.frequent, F.least("sets", F.lit(_MOST_SETS))).otherwise(F.lit(0))
+    rank = F.shiftleft(often.cast("bigint"), 48).bitwiseOR(F.shiftrightunsigned("member", 16))
+    shared = many.groupBy("set").agg(F.collect_list(rank).alias("ranks"))
+    least = F.ceil(F.size("members") * spec.percent / 100)
+    sizes = found.select("name", F.xxhash64("name").alias("of"), least.cast("int").alias("least"))
+    places = F.size("ranks") - F.col("least") + 1
+    return (
+        sizes.join(shared, F.col("of") == F.col("set"))
+        .where(places > 0)
+        .select("name", F.slice(F.array_sort("ranks"), F.lit(1), places).alias("prefix"))
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prefix = []
-            for members, often in zip(batch.column("members"), batch.column("often")):
-                s = members.values.to_numpy(zero_copy_only=False)
-                count = np.zeros(len(s), np.int64)
-                pairs = often.as_py() or []
-                if pairs:
-                    known = np.array([(p["member"], p["sets"]) for p in pairs], np.int64)
-                    known = known[np.argsort(known[:, 0], kind="stable")]
-                    spot = np.minimum(np.searchsorted(known[:, 0], s), len(known) - 1)
-                    count = np.where(known[spot, 0] == s, known[spot, 1], 0)
-                prefix.append(s[np.lexsort((s, count))][: len(s) - spec.least(len(s)) + 1])
-            yield pa.RecordBatch.from_arrays([batch.column("name"), _lists(prefix)], ["name", "prefix"])
 
-    return run
+# A larger number of sets does not change a member's rank.
+_MOST_SETS = (1 << 15) - 1
 
 
 @dataclass(frozen=True)
@@ -394,9 +401,19 @@ class Classes:
     sets: DataFrame
 
 
+def _shared_members(sets: DataFrame, buckets: int) -> DataFrame:
+    """owner (the low bytes of a name) and shared: how many of a set's listed members
+    others have as well, 0 left out. ``sets``: name, listed."""
+    lists = sets.mapInArrow(
+        _list_out(buckets), "bucket int, token binary, owner binary, known binary, count binary"
+    )
+    counted = lists.groupBy("bucket").applyInArrow(_count_shared, "owner bigint, n bigint")
+    return counted.groupBy("owner").agg(F.sum("n").alias("shared"))
+
+
 def search_links(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> Classes:
     docs = located(docs)
-    with settings(docs.sparkSession, SMALL_BATCHES):
+    with settings(docs.sparkSession, SMALL_BATCHES | SHORT_SHUFFLES):
         return _search_links(docs, spec, id_col, text_col)
 
 
@@ -406,18 +423,21 @@ def _search_links(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str) -
     at = "struct<file: string, row: bigint>"
     rows = docs.select(F.col(id_col).alias("id"), place().alias("place"), F.col(text_col).alias("text"))
     described = stored(
-        rows.mapInArrow(_describe(spec), f"id {id_type}, place {at}, n bigint, name binary, listed binary"),
+        rows.mapInArrow(
+            _describe, f"id {id_type}, place {at}, n bigint, name binary, " + ", ".join(f"{c} binary" for c in _LISTED)
+        ),
         "join-sets",
     )
-    documents = described.select("id", "place", "n", "name")
+    documents = stored(described.select("id", "place", "n", "name"), "join-documents")
     filled = described.where("name IS NOT NULL")
-    entries = filled.agg(F.coalesce(F.sum(F.length("listed") / 6), F.lit(0))).first()[0]
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(entries // spec.list_entries) + 1)
-    lists = filled.select("name", "listed").mapInArrow(
-        _list_out(buckets), "bucket int, token binary, owner binary, known binary, count binary"
-    )
-    counted = lists.groupBy("bucket").applyInArrow(_count_shared, "owner bigint, n bigint")
-    credits = counted.groupBy("owner").agg(F.sum("n").alias("shared"))
+    entries = filled.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    passes = [_LISTED] if entries <= spec.pass_entries else [[c] for c in _LISTED]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) * len(passes), int(entries // spec.list_entries) + 1)
+    counted = [
+        stored(_shared_members(filled.select("name", F.concat(*some).alias("listed")), buckets), "join-credits")
+        for some in passes
+    ]
+    credits = reduce(DataFrame.unionByName, counted).groupBy("owner").agg(F.sum("shared").alias("shared"))
     sets = filled.groupBy("name").agg(
         F.first("n").alias("n"), F.count("*").alias("copies"), F.min("place").alias("at")
     )
@@ -425,33 +445,27 @@ def _search_links(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str) -
     stays = (
         sets.withColumn("key", _owner_column("name"))
         .join(credits, F.col("key") == F.col("owner"))
-        .where(F.col("shared") >= F.floor(fewest * spec.extra) + 1)
+        .where(F.col("shared") >= fewest)
         .select("name", "copies", "at")
     )
     # A merge join at every size: those that stay are a share of all documents.
-    stay = stored(stays, "join-stay").hint("merge")
-    texts = rows.select("place", "text").join(stay, F.col("place") == F.col("at"))
+    stay = stored(stays, "join-stay")
+    for table in (described, *counted):
+        let_go(table)
+    texts = rows.select("place", "text").join(stay.hint("merge"), F.col("place") == F.col("at"))
     found = stored(
         texts.select("name", "copies", "text").mapInArrow(
             _full_sets, "name binary, copies bigint, members array<bigint>"
         ),
         "join-found",
     )
-    short = F.xxhash64("name")
-    each = found.select(short.alias("set"), F.explode("members").alias("member"))
-    often = each.groupBy(F.col("member").alias("of")).agg(F.count("*").alias("sets")).where(F.col("sets") >= spec.frequent)
-    known = (
-        each.join(often, F.col("member") == F.col("of"))
-        .groupBy("set")
-        .agg(F.collect_list(F.struct("member", "sets")).alias("often"))
-    )
-    prefixes = found.join(known, short == F.col("set"), "left").select("name", "members", "often").mapInArrow(
-        _prefixes(spec), "name binary, prefix array<bigint>"
-    )
-    met = stored(prefixes, "join-prefixes").select("name", F.explode("prefix").alias("token"))
+    let_go(stay)
+    prefixes = stored(_prefixes(found, spec), "join-prefixes")
+    met = prefixes.select("name", F.explode("prefix").alias("token"))
     stars = met.groupBy("token").agg(F.min("name").alias("least"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("token", "of")
     edges = met.join(stars, F.col("token") == F.col("of")).select(F.col("name").alias("a"), F.col("least").alias("b"))
     groups = components(edges.distinct())
+    let_go(prefixes)
     return Classes(documents, _search_groups(found, groups, spec))
 
 
@@ -472,6 +486,7 @@ def _search_groups(found: DataFrame, groups: DataFrame, spec: JoinSpec) -> DataF
     member = stored(
         member.join(sizes, F.col("label") == F.col("of")).select("vertex", "label", "size", "n"), "join-members"
     )
+    let_go(groups)
     total = member.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tasks = total // spec.block + 1
     placed = found.join(member, F.col("name") == F.col("vertex")).select("name", "copies", "members", "label", "size", "n")
@@ -526,6 +541,8 @@ def _search_groups(found: DataFrame, groups: DataFrame, spec: JoinSpec) -> DataF
         small.unionByName(several).groupBy("task").applyInArrow(_search_task(spec), "name binary, root binary, links bigint"),
         "join-forest",
     )
+    let_go(found)
+    let_go(member)
     labels = components(forest.select(F.col("name").alias("a"), F.col("root").alias("b")))
     links = forest.groupBy("name").agg(F.sum("links").alias("links")).where("links > 0")
     return links.join(labels.withColumnRenamed("vertex", "of"), F.col("name") == F.col("of"), "left").select(

@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 import tracemalloc
 
 import numpy as np
@@ -210,3 +211,47 @@ def test_counted_pairs_are_added_up():
     counted.merge()
     ((keys, docs),) = counted.parts
     assert (keys == np.flatnonzero(want)).all() and (docs == want[keys]).all()
+
+
+def test_sets_stay_in_the_join_by_all_their_members(spark, monkeypatch):
+    """Half of each text stands in others too, which no link can come of."""
+    passages = [" ".join(f"p{k}w{j}" for j in range(40)) for k in range(30)]
+    texts = {i: " ".join([*(f"d{i}w{j}" for j in range(60)), passages[i // 2], passages[(i // 2 + 1) % 30]]) for i in range(60)}
+    texts[100] = texts[0] + " end"
+    kept = {}
+
+    def stored(df, label):
+        out = common.stored(df, label)
+        kept[label] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = jaccard_join.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.id: (r.component_id, r.links) for r in rows} == {i: (0, 1) if i in (0, 100) else (i, 0) for i in texts}
+    assert kept["join-found"] == 2
+
+
+def test_the_join_in_passes_is_the_same(spark, long_rows):
+    whole, parts = (
+        sorted(map(tuple, jaccard_join.classes(long_rows, jaccard_join.JoinSpec(pass_entries=n)).select("id", "n", "component_id", "links").collect()))
+        for n in (1 << 40, 0)
+    )
+    assert whole == parts and {r[3] for r in whole} == {1}
+
+
+def test_the_join_leaves_only_what_its_result_reads(spark, long_rows):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    local = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+
+    def shuffles():
+        return {n for top in local for _, _, names in os.walk(top) for n in names if n.startswith("shuffle_")}
+
+    old, old_shuffles = set(os.listdir(shared)), shuffles()
+    found = jaccard_join.search_links(long_rows)
+    left = sorted(x[:-33] for x in set(os.listdir(shared)) - old)
+    assert left == ["component-edges", "join-documents", "join-forest"]
+    until = time.time() + 30
+    while shuffles() - old_shuffles and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - old_shuffles
+    assert found.sets.count() == found.documents.count() == 120
